@@ -1,0 +1 @@
+"""stratum.streaming."""
