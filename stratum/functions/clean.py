@@ -81,7 +81,7 @@ def parse_decimal(c: Column | str, type_: str = "decimal(38,10)") -> tuple[Colum
 def parse_date(c: Column | str, fmt: str = "d/M/yyyy") -> tuple[Column, Column]:
     """``dd/mm/yyyy`` with one-digit day or month accepted, 4-digit year."""
     cleaned = clean_text(c)
-    value = F.when(cleaned.rlike(DATE_PATTERN), F.try_to_date(cleaned, F.lit(fmt)))
+    value = F.when(cleaned.rlike(DATE_PATTERN), F.try_to_date(cleaned, fmt))
     return value, cleaned.isNotNull() & value.isNull()
 
 

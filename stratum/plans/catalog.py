@@ -106,3 +106,129 @@ def parameterised_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         args={"year": 1998, "status": "F"},
         orders=T.table(spark, sf_dir, "orders"),
     )
+
+
+# ------------------------------------------------------------ batch 2: cleaning
+
+from stratum.functions import clean as C  # noqa: E402
+from stratum.operators import silver as S  # noqa: E402
+
+RAW_TEXT = ("YR", "INT_TXT", "MONEY_TXT", "DATE_TXT", "TIME_TXT", "STATUS_TXT")
+SOURCE = "fixture"
+
+
+@query
+def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned value and null flag of every raw text cell (long form)."""
+    raw = T.v_raw(spark, sf_dir)
+    long = raw.unpivot(["k"], list(RAW_TEXT), "column", "raw")
+    cleaned = C.clean_text("raw")
+    return long.select("k", "column", cleaned.alias("cleaned"), cleaned.isNull().alias("is_null"))
+
+
+@query
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents cleaned: length of the cleaned text and null flag."""
+    docs = T.table(spark, sf_dir, "documents")
+    cleaned = C.clean_text("text")
+    return docs.select(
+        "doc_id",
+        F.length(cleaned).cast("bigint").alias("clean_len"),
+        cleaned.isNull().alias("is_null"),
+    )
+
+
+def _parsed(spark: SparkSession, sf_dir: str, column: str, parser) -> DataFrame:
+    raw = T.v_raw(spark, sf_dir)
+    value, invalid = parser(column)
+    return raw.select("k", value.alias("value"), invalid.alias("invalid"))
+
+
+@query
+def parse_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir, "INT_TXT", C.parse_integer)
+
+
+@query
+def parse_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir, "MONEY_TXT", C.parse_decimal)
+
+
+@query
+def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir, "DATE_TXT", C.parse_date)
+
+
+@query
+def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir, "TIME_TXT", C.parse_time)
+
+
+@query
+def parse_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = T.v_raw(spark, sf_dir)
+    d, _ = C.parse_date("DATE_TXT")
+    t, _ = C.parse_time("TIME_TXT")
+    return raw.select("k", d.alias("date_val"), t.alias("time_val"),
+                      C.combine_datetime(d, t).alias("ts_val"))
+
+
+@query
+def normalize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messy source names (accents, spaces, symbols, a duplicate) normalised."""
+    part = T.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("Código Peça"),
+        F.col("p_name").alias("Nome Completo"),
+        F.col("p_brand").alias(" Marca "),
+        F.col("p_type").alias("Tipo-Produto"),
+        F.col("p_size").alias("Tamanho (cm)"),
+        F.col("p_retailprice").alias("Preço Varejo"),
+        F.lit("-").alias("Campo vazio"),
+        F.upper("p_type").alias("TIPO produto"),
+    )
+    return S.normalize_table(part)
+
+
+@query
+def blank_record_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record numbers kept after dropping records whose every cell is blank."""
+    raw = T.raw_orders(spark, sf_dir, blanks=True)
+    return raw.where(S.not_blank_record(T.RAW_CONTRACT)).select(F.col("_record_no").alias("k"))
+
+
+@query
+def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full silver output of the raw records: lineage, typed, ordered."""
+    silver = S.to_silver(T.raw_orders(spark, sf_dir), T.RAW_CONTRACT, SOURCE, keep_invalid=False)
+    return silver.select(*S.silver_columns(T.RAW_CONTRACT))
+
+
+@query
+def invalid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = S.to_silver(T.raw_orders(spark, sf_dir), T.RAW_CONTRACT, SOURCE)
+    return S.invalid_counts(silver, T.RAW_CONTRACT)
+
+
+@query
+def silver_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = T.raw_orders(spark, sf_dir, blanks=True)
+    silver = S.to_silver(raw, T.RAW_CONTRACT, SOURCE)
+    return S.totals(raw, silver)
+
+
+@query
+def partition_year_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose parsed date's year differs from the partition year."""
+    silver = S.to_silver(T.raw_orders(spark, sf_dir), T.RAW_CONTRACT, SOURCE)
+    with_year = silver.withColumn("date_year", F.year("date_val"))
+    return S.year_mismatches(with_year, "date_year").select(
+        F.col("source_row_number").alias("k"), F.col("_partition_year").alias("part_yr"), "date_val"
+    )
+
+
+@query
+def member_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = T.v_member(spark, sf_dir)
+    return S.classify_members(members, "name", "part_yr").select(
+        "k", "name", "dataset", "fund", "dimension", "member_year", "status"
+    )

@@ -61,3 +61,147 @@ ORACLE["view_location_child"] = W(
 )
 ORACLE["parameterised_sql"] = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
     FROM orders WHERE year(o_orderdate) = 1998 AND o_orderstatus = 'F'"""
+
+
+# ------------------------------------------------------------ batch 2: cleaning
+
+WS = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
+TOKENS = "'', '-', 'na', 'n/a', 'null', 'none', 'nan'"
+SENTINELS = "'#########', '#div/0!', '#n/a', '#valor!'"
+
+
+def CLEAN(x: str) -> str:
+    collapsed = f"trim(regexp_replace({x}, '{WS}', ' ', 'g'))"
+    return f"(CASE WHEN lower({collapsed}) IN ({TOKENS}) THEN NULL ELSE {collapsed} END)"
+
+
+def INT(c: str, t: str = "INTEGER") -> str:
+    return f"(CASE WHEN regexp_full_match({c}, '-?[0-9]+') THEN TRY_CAST({c} AS {t}) END)"
+
+
+def DEC(c: str) -> str:
+    n = f"replace(replace({c}, '.', ''), ',', '.')"
+    return (f"(CASE WHEN regexp_full_match({n}, '-?[0-9]+(\\.[0-9]{{1,10}})?') "
+            f"AND lower({c}) NOT IN ({SENTINELS}) THEN TRY_CAST({n} AS DECIMAL(38,10)) END)")
+
+
+DATE_RE = "(0?[1-9]|[12][0-9]|3[01])/(0?[1-9]|1[0-2])/[0-9]{4}"
+TIME_RE = "^([01]?[0-9]|2[0-3]):([0-5]?[0-9])(:([0-5]?[0-9]))?$"
+
+
+def DATE(c: str) -> str:
+    return (f"(CASE WHEN regexp_full_match({c}, '{DATE_RE}') "
+            f"THEN CAST(try_strptime({c}, '%d/%m/%Y') AS DATE) END)")
+
+
+def TIME(c: str) -> str:
+    def part(i: int) -> str:
+        return f"lpad(regexp_extract({c}, '{TIME_RE}', {i}), 2, '0')"
+
+    sec = f"(CASE WHEN regexp_extract({c}, '{TIME_RE}', 4) = '' THEN '00' ELSE {part(4)} END)"
+    return (f"(CASE WHEN regexp_matches({c}, '{TIME_RE}') "
+            f"THEN {part(1)} || ':' || {part(2)} || ':' || {sec} END)")
+
+
+def TS(d: str, t: str) -> str:
+    return f"(CASE WHEN {d} IS NOT NULL AND {t} IS NOT NULL THEN CAST(CAST({d} AS VARCHAR) || 'T' || {t} AS TIMESTAMP) END)"
+
+
+RAW_COLS = ("YR", "INT_TXT", "MONEY_TXT", "DATE_TXT", "TIME_TXT", "STATUS_TXT")
+# raw_c: cleaned raw cells; raw_b: the same with every cell blank where k % 41 = 0
+RAW_CLEAN = ("SELECT k, part_yr, "
+             + ", ".join(f"{CLEAN(c)} AS {c.lower()}" for c in RAW_COLS) + " FROM v_raw")
+RAW_BLANK_CLEAN = (
+    "SELECT k, part_yr, "
+    + ", ".join(f"CASE WHEN k % 41 = 0 THEN NULL ELSE {CLEAN(c)} END AS {c.lower()}" for c in RAW_COLS)
+    + " FROM v_raw")
+NOT_BLANK = "coalesce(yr, int_txt, money_txt, date_txt, time_txt, status_txt) IS NOT NULL"
+KIND_P = "CASE WHEN part_yr % 2 = 0 THEN 'even' ELSE 'odd' END"
+
+
+def RAW(body: str, blanks: bool = False) -> str:
+    src = RAW_BLANK_CLEAN if blanks else RAW_CLEAN
+    return W(f"WITH_RAW_C AS ({src})\n{body}", "v_raw").replace("WITH_RAW_C", ", raw_c")
+
+
+def _typed_sql(where_blank: bool) -> str:
+    return f"""SELECT k, part_yr, {INT('yr')} AS yr, {INT('int_txt')} AS int_val,
+        {DEC('money_txt')} AS money_val, {DATE('date_txt')} AS date_val,
+        {TIME('time_txt')} AS time_val, upper(status_txt) AS status,
+        yr AS yr_c, int_txt, money_txt, date_txt, time_txt
+      FROM raw_c {'WHERE ' + NOT_BLANK if where_blank else ''}"""
+
+
+ORACLE["clean_tokens"] = W(
+    "SELECT k, col AS \"column\", " + CLEAN("raw") + " AS cleaned, " + CLEAN("raw") + " IS NULL AS is_null "
+    "FROM (UNPIVOT (SELECT k, " + ", ".join(f'"{c}"' for c in RAW_COLS) + " FROM v_raw) "
+    "ON " + ", ".join(f'"{c}"' for c in RAW_COLS) + " INTO NAME col VALUE raw)",
+    "v_raw",
+)
+ORACLE["clean_documents"] = (
+    f"SELECT doc_id, CAST(length({CLEAN('text')}) AS BIGINT) AS clean_len, "
+    f"{CLEAN('text')} IS NULL AS is_null FROM documents"
+)
+ORACLE["parse_integer"] = RAW(
+    f"SELECT k, {INT('int_txt')} AS value, int_txt IS NOT NULL AND {INT('int_txt')} IS NULL AS invalid FROM raw_c")
+ORACLE["parse_decimal"] = RAW(
+    f"SELECT k, {DEC('money_txt')} AS value, money_txt IS NOT NULL AND {DEC('money_txt')} IS NULL AS invalid FROM raw_c")
+ORACLE["parse_date"] = RAW(
+    f"SELECT k, {DATE('date_txt')} AS value, date_txt IS NOT NULL AND {DATE('date_txt')} IS NULL AS invalid FROM raw_c")
+ORACLE["parse_time"] = RAW(
+    f"SELECT k, {TIME('time_txt')} AS value, time_txt IS NOT NULL AND {TIME('time_txt')} IS NULL AS invalid FROM raw_c")
+ORACLE["parse_timestamp"] = RAW(
+    f"SELECT k, date_val, time_val, {TS('date_val', 'time_val')} AS ts_val FROM "
+    f"(SELECT k, {DATE('date_txt')} AS date_val, {TIME('time_txt')} AS time_val FROM raw_c)")
+ORACLE["normalize_table"] = (
+    f"SELECT p_partkey AS codigo_peca, {CLEAN('p_name')} AS nome_completo, {CLEAN('p_brand')} AS marca, "
+    f"p_size AS tamanho_cm, p_retailprice AS preco_varejo, CAST(NULL AS VARCHAR) AS campo_vazio, "
+    f"{CLEAN('upper(p_type)')} AS tipo_produto FROM part"
+)
+ORACLE["blank_record_filter"] = RAW(f"SELECT k FROM raw_c WHERE {NOT_BLANK}", blanks=True)
+ORACLE["silver_typed"] = RAW(
+    f"""SELECT 'silver' AS silver_layer, 'fixture' AS source_name, k AS source_row_number,
+        'orders.parquet' AS source_archive, 'raw_orders_' || part_yr || '.csv' AS source_member,
+        yr, {KIND_P} AS tipo_eleicao, 'raw' AS tipo_fundo, 'orders' AS dimensao_agregacao,
+        int_val, money_val, date_val, time_val, status, {TS('date_val', 'time_val')} AS ts_val
+    FROM ({_typed_sql(True)})""")
+ORACLE["invalid_counts"] = RAW(
+    f"""SELECT source_member, "column", n FROM (
+      SELECT 'raw_orders_' || part_yr || '.csv' AS source_member,
+        count(*) FILTER (WHERE yr_c IS NOT NULL AND yr IS NULL) AS yr,
+        count(*) FILTER (WHERE int_txt IS NOT NULL AND int_val IS NULL) AS int_val,
+        count(*) FILTER (WHERE money_txt IS NOT NULL AND money_val IS NULL) AS money_val,
+        count(*) FILTER (WHERE date_txt IS NOT NULL AND date_val IS NULL) AS date_val,
+        count(*) FILTER (WHERE time_txt IS NOT NULL AND time_val IS NULL) AS time_val
+      FROM ({_typed_sql(True)}) GROUP BY part_yr
+    ) UNPIVOT (n FOR "column" IN (yr, int_val, money_val, date_val, time_val)) WHERE n > 0""")
+ORACLE["silver_totals"] = RAW(
+    f"""SELECT part_yr AS yr, CAST(count(*) AS BIGINT) AS source_rows,
+        CAST(count(*) FILTER (WHERE {NOT_BLANK}) AS BIGINT) AS rows
+    FROM raw_c GROUP BY ROLLUP (part_yr)""", blanks=True)
+ORACLE["partition_year_check"] = RAW(
+    f"""SELECT k, part_yr, date_val FROM ({_typed_sql(True)})
+    WHERE year(date_val) IS DISTINCT FROM part_yr""")
+_MEMBER_NAME = ("'dir/' || CASE o_orderkey % 4 WHEN 0 THEN 'fefc_genero' WHEN 1 THEN 'fefc_cor_raca' "
+                "WHEN 2 THEN 'fp_genero' ELSE 'fp_cor_raca' END || '_' || "
+                "CAST(CASE WHEN o_orderkey % 11 = 2 THEN 1900 ELSE year(o_orderdate) END AS VARCHAR) || '.csv'")
+_MEMBER_RE = "^(fefc|fp)_(genero|cor_raca)_([0-9]{4})\\.csv$"
+ORACLE["member_classification"] = f"""
+WITH m AS (
+  SELECT o_orderkey AS k, year(o_orderdate) AS part_yr,
+    CASE WHEN o_orderkey % 11 = 0 THEN upper({_MEMBER_NAME})
+         WHEN o_orderkey % 11 = 1 THEN translate({_MEMBER_NAME}, '_', '-')
+         ELSE {_MEMBER_NAME} END AS name
+  FROM orders),
+b AS (SELECT *, regexp_extract(name, '([^/]+)$', 1) AS base FROM m),
+c AS (SELECT *, regexp_matches(base, '{_MEMBER_RE}', 'i') AS ok FROM b)
+SELECT k, name,
+  CASE WHEN ok THEN lower(regexp_extract(base, '{_MEMBER_RE}', 1, 'i')) || '_' || lower(regexp_extract(base, '{_MEMBER_RE}', 2, 'i')) END AS dataset,
+  CASE WHEN ok THEN lower(regexp_extract(base, '{_MEMBER_RE}', 1, 'i')) END AS fund,
+  CASE WHEN ok THEN lower(regexp_extract(base, '{_MEMBER_RE}', 2, 'i')) END AS dimension,
+  CASE WHEN ok THEN CAST(regexp_extract(base, '{_MEMBER_RE}', 3, 'i') AS INTEGER) END AS member_year,
+  CASE WHEN NOT ok THEN 'unrecognised'
+       WHEN CAST(regexp_extract(base, '{_MEMBER_RE}', 3, 'i') AS INTEGER) <> part_yr THEN 'year_mismatch'
+       ELSE 'ok' END AS status
+FROM c"""

@@ -9,9 +9,7 @@ a check cheaper, and every view reads its tables whole.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.contracts import Conditional, Contract, Treatment
@@ -195,6 +193,52 @@ def raw_treatments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=None)
-def raw_treatment_list() -> tuple[Treatment, ...]:
-    return tuple(Treatment(y, "even" if y % 2 == 0 else "odd", ("raw_orders",)) for y in range(1990, 2030))
+# Declared treatments of the fixture (a config table, not data): even / odd.
+RAW_TREATMENTS = tuple(
+    Treatment(y, "even" if y % 2 == 0 else "odd", ("raw_orders",)) for y in range(1990, 2031)
+)
+
+
+def treatment_kind(year: Column, treatments=RAW_TREATMENTS) -> Column:
+    """Kind of a partition year from a declared treatment list (a literal map)."""
+    mapping = F.create_map(*[x for t in treatments for x in (F.lit(t.year), F.lit(t.kind))])
+    return F.element_at(mapping, year)
+
+
+def raw_orders(spark: SparkSession, sf_dir: str, blanks: bool = False) -> DataFrame:
+    """v_raw as a raw record frame; ``blanks`` empties every cell where k % 41 = 0."""
+    raw = v_raw(spark, sf_dir)
+    if blanks:
+        blank = F.col("k") % 41 == 0
+        fill = {"YR": "N/A", "INT_TXT": " ", "MONEY_TXT": "-", "DATE_TXT": "", "TIME_TXT": "null", "STATUS_TXT": "  "}
+        raw = raw.withColumns({c: F.when(blank, F.lit(v)).otherwise(F.col(c)) for c, v in fill.items()})
+    from stratum.operators.silver import raw_from_table
+
+    return raw_from_table(
+        raw,
+        RAW_CONTRACT,
+        archive=F.lit("orders.parquet"),
+        member=F.concat(F.lit("raw/raw_orders_"), F.col("part_yr").cast("string"), F.lit(".csv")),
+        record_no=F.col("k"),
+        year=F.col("part_yr"),
+        kind=treatment_kind(F.col("part_yr")),
+    )
+
+
+def v_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive member names, one per order, with naming defects."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    year = F.year("o_orderdate")
+    dataset = (
+        F.when(k % 4 == 0, "fefc_genero").when(k % 4 == 1, "fefc_cor_raca")
+        .when(k % 4 == 2, "fp_genero").otherwise("fp_cor_raca")
+    )
+    name = F.concat(F.lit("dir/"), dataset, F.lit("_"),
+                    F.when(k % 11 == 2, F.lit(1900)).otherwise(year).cast("string"), F.lit(".csv"))
+    name = (
+        F.when(k % 11 == 0, F.upper(name))
+        .when(k % 11 == 1, F.translate(name, "_", "-"))
+        .otherwise(name)
+    )
+    return o.select(k.alias("k"), year.alias("part_yr"), name.alias("name"))
