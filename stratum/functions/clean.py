@@ -42,15 +42,26 @@ def clean_text(c: Column | str) -> Column:
     return F.when(~F.lower(collapsed).isin(*EMPTY_TOKENS), collapsed)
 
 
+BLANK_PATTERN = "^" + WHITESPACE[:-1] + "*$"
+
+
 def is_blank(c: Column | str) -> Column:
     """Null, or only whitespace (Python ``str(v).strip() == ''``)."""
     c = _col(c)
-    return c.isNull() | (collapse_whitespace(c) == "")
+    return c.isNull() | c.cast("string").rlike(BLANK_PATTERN)
+
 
+def _cleaned(c: Column | str, cleaned: bool) -> Column:
+    return _col(c) if cleaned else clean_text(c)
 
-def parse_integer(c: Column | str, type_: str = "int") -> tuple[Column, Column]:
-    """``-?[0-9]+`` after cleaning; out-of-range values are invalid."""
-    cleaned = clean_text(c)
+
+def parse_integer(c: Column | str, type_: str = "int", cleaned: bool = False) -> tuple[Column, Column]:
+    """``-?[0-9]+`` after cleaning; out-of-range values are invalid.
+
+    ``cleaned=True`` when ``c`` already went through :func:`clean_text` (the
+    silver step cleans every cell once in its own projection).
+    """
+    cleaned = _cleaned(c, cleaned)
     value = F.when(cleaned.rlike(INTEGER_PATTERN), cleaned.try_cast(type_))
     return value, cleaned.isNotNull() & value.isNull()
 
@@ -60,14 +71,14 @@ def _scale(type_: str) -> int:
     return int(match.group(1)) if match else 0
 
 
-def parse_decimal(c: Column | str, type_: str = "decimal(38,10)") -> tuple[Column, Column]:
+def parse_decimal(c: Column | str, type_: str = "decimal(38,10)", cleaned: bool = False) -> tuple[Column, Column]:
     """Brazilian notation: dots are thousands separators, comma is decimal.
 
     ``1.234,56`` -> 1234.56; ``1234.56`` -> 123456 (dots are always dropped);
     sentinels such as ``#########`` and values with more fraction digits than
     the target scale are invalid (never rounded silently).
     """
-    cleaned = clean_text(c)
+    cleaned = _cleaned(c, cleaned)
     normalized = F.replace(F.replace(cleaned, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     scale = _scale(type_)
     fraction = rf"(\.[0-9]{{1,{scale}}})?" if scale else ""
@@ -78,16 +89,16 @@ def parse_decimal(c: Column | str, type_: str = "decimal(38,10)") -> tuple[Colum
     return value, cleaned.isNotNull() & value.isNull()
 
 
-def parse_date(c: Column | str, fmt: str = "d/M/yyyy") -> tuple[Column, Column]:
+def parse_date(c: Column | str, fmt: str = "d/M/yyyy", cleaned: bool = False) -> tuple[Column, Column]:
     """``dd/mm/yyyy`` with one-digit day or month accepted, 4-digit year."""
-    cleaned = clean_text(c)
+    cleaned = _cleaned(c, cleaned)
     value = F.when(cleaned.rlike(DATE_PATTERN), F.try_to_date(cleaned, fmt))
     return value, cleaned.isNotNull() & value.isNull()
 
 
-def parse_time(c: Column | str) -> tuple[Column, Column]:
+def parse_time(c: Column | str, cleaned: bool = False) -> tuple[Column, Column]:
     """``H:M`` or ``H:M:S`` (one or two digits each), always ``HH:mm:ss`` out."""
-    cleaned = clean_text(c)
+    cleaned = _cleaned(c, cleaned)
     ok = cleaned.rlike(TIME_PATTERN)
 
     def part(i: int) -> Column:

@@ -7,8 +7,8 @@ The archive reader (:mod:`stratum.sources.archives`) produces it from ZIP
 members; :func:`raw_from_table` produces it from any table of text columns.
 
 Everything is one narrow projection: no shuffle until the writer partitions
-the output.  Invalid conversions are flagged per row in ``_invalid`` (an array
-of column names, empty for clean rows) and counted in the same pass.
+the output.  Invalid conversions are flagged per row and column in boolean
+``_invalid_<column>`` columns and counted with one ``count_if`` each.
 """
 
 from __future__ import annotations
@@ -66,44 +66,69 @@ def not_blank_record(contract: Contract) -> Column:
     return F.coalesce(*[C.clean_text(c) for c in contract.source_columns]).isNotNull()
 
 
-def typed_columns(contract: Contract) -> tuple[list[Column], Column]:
-    """Typed canonical columns and the ``_invalid`` array, from source columns."""
+def _clean_name(src: str) -> str:
+    return f"_c_{src}"
+
+
+def invalid_flag(name: str) -> str:
+    return f"_invalid_{name}"
+
+
+def typed_columns(contract: Contract) -> tuple[list[Column], list[Column]]:
+    """Typed canonical columns and one boolean ``_invalid_<column>`` flag per
+    typed column (plain booleans keep the projection in whole-stage codegen).
+
+    Reads the cleaned cells ``_c_<source>`` produced by the previous
+    projection, so each cell is cleaned exactly once.
+    """
     out: list[Column] = []
-    invalid_flags: list[Column] = []
+    flags: list[Column] = []
     for src in contract.source_columns:
         name = contract.canonical(src)
         kind = contract.kind(name)
+        cell = F.col(_clean_name(src))
         if kind == "integer":
-            value, bad = C.parse_integer(src, contract.integer_type)
+            value, bad = C.parse_integer(cell, contract.integer_type, cleaned=True)
         elif kind == "decimal":
-            value, bad = C.parse_decimal(src, contract.decimal_type)
+            value, bad = C.parse_decimal(cell, contract.decimal_type, cleaned=True)
         elif kind == "date":
-            value, bad = C.parse_date(src)
+            value, bad = C.parse_date(cell, cleaned=True)
         elif kind == "time":
-            value, bad = C.parse_time(src)
+            value, bad = C.parse_time(cell, cleaned=True)
         else:
-            value = C.clean_category(src) if name in contract.upper_columns else C.clean_text(src)
+            value = F.upper(cell) if name in contract.upper_columns else cell
             bad = None
         out.append(value.alias(name))
         if bad is not None:
-            invalid_flags.append(F.when(bad, F.lit(name)))
-    invalid = (
-        F.filter(F.array(*invalid_flags), lambda x: x.isNotNull())
-        if invalid_flags
-        else F.array().cast("array<string>")
-    )
-    return out, invalid
+            flags.append(bad.alias(invalid_flag(name)))
+    return out, flags
+
 
+def to_silver(raw: DataFrame, contract: Contract, source_name: str, keep_invalid: bool = True,
+              passthrough: Sequence[str] = ()) -> DataFrame:
+    """Clean, drop blank records, type, stamp lineage and order columns.
 
-def to_silver(raw: DataFrame, contract: Contract, source_name: str, keep_invalid: bool = True) -> DataFrame:
-    """Blank filter, typing, lineage stamp and column order in one projection.
+    Three narrow projections: (1) clean every cell once, (2) drop records
+    whose cells are all null, type the cells and flag invalid ones, (3) add
+    the derived date-time and fix the column order.  Catalyst keeps them
+    apart where collapsing would re-evaluate an expensive expression, and
+    whole-stage codegen fuses them into one pass.
 
     Output columns: lineage, year, treatment, data columns (without the
-    year), the combined date-time, and ``_invalid`` when ``keep_invalid``.
+    year), the combined date-time, ``_partition_year`` and the
+    ``_invalid_<column>`` flags (when ``keep_invalid``).
     """
-    typed, invalid = typed_columns(contract)
+    cleaned = raw.select(
+        *RAW_LINEAGE,
+        *[C.clean_text(c).alias(_clean_name(c)) for c in contract.source_columns],
+        *passthrough,
+    )
+    present = F.coalesce(*[F.col(_clean_name(c)) for c in contract.source_columns]).isNotNull()
+    typed, flags = typed_columns(contract)
+    flag_names = [invalid_flag(contract.canonical(s)) for s in contract.source_columns
+                  if contract.kind(contract.canonical(s)) != "text"]
     year_col = contract.year_column
-    stage = raw.where(not_blank_record(contract)).select(
+    stage = cleaned.where(present).select(
         F.lit(SILVER_LAYER).alias("silver_layer"),
         F.lit(source_name).alias("source_name"),
         F.col("_record_no").alias("source_row_number"),
@@ -114,15 +139,16 @@ def to_silver(raw: DataFrame, contract: Contract, source_name: str, keep_invalid
         F.lit(contract.dimension).alias("dimensao_agregacao"),
         F.col("_year").alias("_partition_year"),
         *typed,
-        invalid.alias("_invalid"),
+        *flags,
+        *passthrough,
     )
     derived: list[Column] = []
     if contract.datetime_column:
         d, t, out = contract.datetime_column
         derived.append(C.combine_datetime(d, t).alias(out))
     cols = [*LINEAGE, year_col, *TREATMENT, *contract.data_columns]
-    result = stage.select(*cols, *derived, "_partition_year", "_invalid")
-    return result if keep_invalid else result.drop("_invalid")
+    result = stage.select(*cols, *derived, "_partition_year", *flag_names, *passthrough)
+    return result if keep_invalid else result.drop(*flag_names)
 
 
 def silver_columns(contract: Contract) -> list[str]:
@@ -149,9 +175,7 @@ def invalid_counts(silver: DataFrame, contract: Contract, by: Sequence[str] = ("
         for s in contract.source_columns
         if contract.kind(contract.canonical(s)) != "text"
     ]
-    agg = silver.groupBy(*by).agg(
-        *[F.count_if(F.array_contains("_invalid", c)).alias(c) for c in typed]
-    )
+    agg = silver.groupBy(*by).agg(*[F.count_if(invalid_flag(c)).alias(c) for c in typed])
     long = agg.unpivot(list(by), typed, "column", "n")
     return long.where(F.col("n") > 0)
 

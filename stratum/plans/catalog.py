@@ -232,3 +232,158 @@ def member_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.classify_members(members, "name", "part_yr").select(
         "k", "name", "dataset", "fund", "dimension", "member_year", "status"
     )
+
+
+# ----------------------------------------------------------- batch 3: row rules
+
+from stratum.operators import quality as Q  # noqa: E402
+from stratum.operators import validate as V  # noqa: E402
+from stratum.plans import quality_fixture as QF  # noqa: E402
+
+
+def _row_rule_query(spark: SparkSession, sf_dir: str, rules: set[str]) -> DataFrame:
+    issues = QF.row_issues(QF.q_raw(spark, sf_dir), rules)
+    return issues.select("artifact", "record_no", "rule", "severity", "column")
+
+
+@query
+def quality_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_rule_query(spark, sf_dir, {"required_not_null"})
+
+
+@query
+def quality_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_rule_query(spark, sf_dir, {"accepted_values", "metadata_integrity"})
+
+
+@query
+def quality_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_rule_query(spark, sf_dir, {"negative_value", "percentage_outlier", "negative_financial_value"})
+
+
+@query
+def quality_numeric_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_rule_query(spark, sf_dir, {"invalid_integer", "invalid_decimal"})
+
+
+@query
+def quality_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _row_rule_query(spark, sf_dir, {"datetime_integrity"})
+
+
+@query
+def quality_conditional_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    geo = T.v_geo_bad(spark, sf_dir)
+    rules = Q.conditional_rules(geo, T.GEO_RULES)
+    issues = Q.row_violations(geo, rules, F.col("yr").cast("string"), F.col("l_orderkey"))
+    return issues.select(F.col("record_no").alias("l_orderkey"), "column", "message")
+
+
+@query
+def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    geo = T.v_geo_bad(spark, sf_dir)
+    return Q.null_counts(geo, ["lvl", "uf", "ue", "city"], by=["yr"])
+
+
+@query
+def positive_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = T.table(spark, sf_dir, "customer")
+    return V.positive_field_violations(customer, ["c_acctbal"], ["c_custkey"])
+
+
+# ----------------------------------------------------------- batch 4: set rules
+
+
+@query
+def duplicate_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem rows repeating (l_orderkey, l_linenumber), after the first in
+    a total order over all columns."""
+    li = T.table(spark, sf_dir, "lineitem")
+    return Q.duplicates_after_first(li, ["l_orderkey", "l_linenumber"], li.columns)
+
+
+@query
+def duplicate_source_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users seen again on the same day (day = artifact, user = record number)."""
+    ev = T.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    dups = Q.duplicates_after_first(ev, ["day", "user_id"], ["ts", "event_id"])
+    return dups.select("event_id", "day", "user_id")
+
+
+@query
+def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole event rows repeating (user, type, day), after the first by event id."""
+    ev = T.table(spark, sf_dir, "events")
+    return V.find_duplicate_rows(ev.withColumn("day", F.to_date("ts")), ["user_id", "event_type", "day"],
+                                 ["event_id"]).drop("day")
+
+
+@query
+def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parent = T.v_parent(spark, sf_dir)
+    child = T.v_child_bad(spark, sf_dir)
+    return Q.coverage(parent, child, ["party_no", "party_name", "seg"], group=["yr"])
+
+
+@query
+def dataset_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = T.v_artifact(spark, sf_dir)
+    return Q.completeness(arts, ("child", "parent"))
+
+
+@query
+def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required columns absent from the child file, one issue per artifact year."""
+    child = T.v_child(spark, sf_dir)
+    contract = T.CHILD_CONTRACT
+    arts = child.select(F.concat(F.lit("child_"), F.col("yr").cast("string")).alias("artifact"))
+    return Q.missing_columns(child, contract, arts).select("artifact", "rule", "column")
+
+
+@query
+def scope_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = T.table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate"))
+    return V.out_of_scope(orders, "yr", T.SCOPE_YEARS)
+
+
+@query
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.operators import dims as D
+
+    li = T.table(spark, sf_dir, "lineitem")
+    return D.duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = T.table(spark, sf_dir, "lineitem")
+    return V.validate_records(li, required=["l_orderkey", "l_partkey", "l_returnflag", "l_shipdate"],
+                              unique=["l_orderkey", "l_linenumber"], order=li.columns)
+
+
+# ------------------------------------------------------------- batch 5: rollups
+
+
+@query
+def issue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues, arts = QF.all_issues(spark, sf_dir)
+    return Q.rollup(issues, arts.select("artifact", "rows"))
+
+
+@query
+def issue_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues, _ = QF.all_issues(spark, sf_dir)
+    return Q.samples(issues)
+
+
+@query
+def artifact_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues, arts = QF.all_issues(spark, sf_dir)
+    return Q.profiles(issues, arts)
+
+
+@query
+def quality_report_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues, arts = QF.all_issues(spark, sf_dir)
+    year = F.regexp_extract("artifact", r"_([0-9]{4})\.csv$", 1).cast("int")
+    return Q.report(issues.withColumn("yr", year), arts, ["yr"])

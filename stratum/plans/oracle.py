@@ -205,3 +205,248 @@ SELECT k, name,
        WHEN CAST(regexp_extract(base, '{_MEMBER_RE}', 3, 'i') AS INTEGER) <> part_yr THEN 'year_mismatch'
        ELSE 'ok' END AS status
 FROM c"""
+
+
+# ----------------------------------------------------------- batch 3: row rules
+
+BLANK_RE = WS[:-1] + "*"
+
+
+def BLANK(x: str) -> str:
+    return f"({x} IS NULL OR regexp_full_match({x}, '{BLANK_RE}'))"
+
+
+def TINT(x: str) -> str:
+    return f"TRY_CAST(trim({x}) AS BIGINT)"
+
+
+def TDEC(x: str) -> str:
+    return f"TRY_CAST(trim({x}) AS DECIMAL(38,10))"
+
+
+# q: the fixture silver read back as text (what the quality step sees)
+Q_SQL = f"""SELECT 'raw_orders_' || part_yr || '.csv' AS source_member,
+    CAST(k AS VARCHAR) AS source_row_number, 'silver' AS silver_layer, 'fixture' AS source_name,
+    {KIND_P} AS tipo_eleicao, 'raw' AS tipo_fundo, 'orders' AS dimensao_agregacao,
+    CAST(yr AS VARCHAR) AS yr, CAST(int_val AS VARCHAR) AS int_val, CAST(money_val AS VARCHAR) AS money_val,
+    CAST(date_val AS VARCHAR) AS date_val, time_val, status,
+    strftime({TS('date_val', 'time_val')}, '%Y-%m-%dT%H:%M:%S') AS ts_val,
+    int_raw, money_raw, pct_val, k AS rec, part_yr
+  FROM ({_typed_sql(True).replace('FROM raw_c', ', int_raw, money_raw, pct_val FROM raw_c')})"""
+RAW_CLEAN_Q = RAW_CLEAN.replace(
+    " FROM v_raw",
+    ", \"INT_TXT\" AS int_raw, replace(replace(\"MONEY_TXT\", '.', ''), ',', '.') AS money_raw, "
+    "CAST((k % 120) - 5 AS VARCHAR) AS pct_val FROM v_raw")
+
+
+def QV(body: str) -> str:
+    return W(f"WITH_RAW_C AS ({RAW_CLEAN_Q}), q AS ({Q_SQL})\n{body}", "v_raw").replace("WITH_RAW_C", ", raw_c")
+
+
+def _rule(rule: str, sev: str, col: str, pred: str, msg: str) -> str:
+    return (f"SELECT source_member AS artifact, {TINT('source_row_number')} AS record_no, '{rule}' AS rule, "
+            f"'{sev}' AS severity, '{col}' AS \"column\", '{msg}' AS message FROM q WHERE {pred}")
+
+
+def _null_rule(rule: str, sev: str, pred: str, msg: str) -> str:
+    return (f"SELECT source_member AS artifact, {TINT('source_row_number')} AS record_no, '{rule}' AS rule, "
+            f"'{sev}' AS severity, CAST(NULL AS VARCHAR) AS \"column\", '{msg}' AS message FROM q WHERE {pred}")
+
+
+RULES: dict[str, list[str]] = {
+    "required_not_null": [
+        _rule("required_not_null", "error", c, BLANK(c), f"required field {c} is null")
+        for c in ("date_val", "int_val", "money_val", "status", "time_val", "ts_val", "yr")
+    ],
+    "invalid_integer": [
+        _rule("invalid_integer", "error", c, f"NOT {BLANK(c)} AND {TINT(c)} IS NULL",
+              f"field {c} is not a valid integer")
+        for c in ("int_raw", "int_val", "source_row_number", "yr")
+    ],
+    "negative_value": [
+        _rule("negative_value", "error", c, f"NOT {BLANK(c)} AND {TINT(c)} < 0", f"field {c} cannot be negative")
+        for c in ("int_raw", "int_val")
+    ],
+    "invalid_decimal": [
+        _rule("invalid_decimal", "error", c, f"NOT {BLANK(c)} AND {TDEC(c)} IS NULL",
+              f"field {c} is not a valid decimal")
+        for c in ("money_raw", "money_val", "pct_val")
+    ],
+    "percentage_outlier": [
+        _rule("percentage_outlier", "warning", "pct_val", f"{TDEC('pct_val')} < 0 OR {TDEC('pct_val')} > 100",
+              "field pct_val is outside 0..100")
+    ],
+    "negative_financial_value": [
+        _rule("negative_financial_value", "warning", c, f"{TDEC(c)} < 0", f"amount {c} is negative")
+        for c in ("money_raw", "money_val")
+    ],
+    "metadata_integrity": [
+        _rule("metadata_integrity", "error", c, f"{c} IS DISTINCT FROM {v}", f"field {c} differs from its expected value")
+        for c, v in (("silver_layer", "'silver'"), ("source_name", "'fixture'"), ("tipo_fundo", "'raw'"),
+                     ("dimensao_agregacao", "'orders'"),
+                     ("tipo_eleicao", "CASE WHEN TRY_CAST(yr AS INTEGER) % 2 = 0 THEN 'even' ELSE 'odd' END"))
+    ],
+    "accepted_values": [
+        _rule("accepted_values", "error", "status", "NOT coalesce(status IN ('F', 'O'), false)",
+              "status outside the accepted domain")
+    ],
+    "datetime_integrity": [
+        _rule("datetime_integrity", "error", "ts_val",
+              "NOT coalesce(regexp_full_match(ts_val, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}') "
+              "AND strftime(TRY_CAST(ts_val AS TIMESTAMP), '%Y-%m-%d') = date_val "
+              "AND strftime(TRY_CAST(ts_val AS TIMESTAMP), '%H:%M:%S') = time_val, false)",
+              "generation date-time invalid or inconsistent")
+    ],
+}
+
+
+def _rules_query(*names: str) -> str:
+    parts = [p for n in names for p in RULES[n]]
+    body = " UNION ALL ".join(parts)
+    return QV(f"SELECT artifact, record_no, rule, severity, \"column\" FROM ({body})")
+
+
+ORACLE["quality_required"] = _rules_query("required_not_null")
+ORACLE["quality_accepted_values"] = _rules_query("accepted_values", "metadata_integrity")
+ORACLE["quality_ranges"] = _rules_query("negative_value", "percentage_outlier", "negative_financial_value")
+ORACLE["quality_numeric_validity"] = _rules_query("invalid_integer", "invalid_decimal")
+ORACLE["quality_datetime"] = _rules_query("datetime_integrity")
+
+_GEO = []
+for lvl, req, forb in (("CITY", ("uf", "ue", "city"), ()), ("STATE", ("uf",), ("ue", "city")),
+                       ("NATIONAL", (), ("uf", "ue", "city"))):
+    for c in req:
+        _GEO.append(f"SELECT l_orderkey, '{c}' AS \"column\", '{c} required for level {lvl}' AS message "
+                    f"FROM v_geo_bad WHERE lvl = '{lvl}' AND {BLANK(c)}")
+    for c in forb:
+        _GEO.append(f"SELECT l_orderkey, '{c}' AS \"column\", '{c} must be null for level {lvl}' AS message "
+                    f"FROM v_geo_bad WHERE lvl = '{lvl}' AND NOT {BLANK(c)}")
+ORACLE["quality_conditional_required"] = W(" UNION ALL ".join(_GEO), "v_geo_bad")
+ORACLE["null_counts"] = W(
+    " UNION ALL ".join(
+        f"SELECT yr, '{c}' AS \"column\", count(*) AS n FROM v_geo_bad WHERE {BLANK(c)} GROUP BY yr"
+        for c in ("lvl", "uf", "ue", "city")
+    ),
+    "v_geo_bad",
+)
+ORACLE["positive_fields"] = """SELECT c_custkey, 'c_acctbal' AS field, c_acctbal AS value
+    FROM customer WHERE NOT coalesce(c_acctbal > 0, false)"""
+
+# ----------------------------------------------------------- batch 4: set rules
+
+_LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
+            "l_tax, l_returnflag, l_linestatus, l_shipdate")
+ORACLE["duplicate_grain"] = f"""SELECT {_LI_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LI_COLS}) AS rn
+    FROM lineitem) WHERE rn > 1"""
+ORACLE["duplicate_source_row"] = """SELECT event_id, day, user_id FROM (
+    SELECT event_id, CAST(ts AS DATE) AS day, user_id,
+      row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts, event_id) AS rn
+    FROM events) WHERE rn > 1"""
+ORACLE["duplicate_rows"] = """SELECT event_id, ts, user_id, event_type, value, props FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) AS rn
+    FROM events) WHERE rn > 1"""
+ORACLE["coverage_check"] = W(
+    """, p AS (SELECT DISTINCT yr, party_no, party_name, seg FROM v_parent),
+    c AS (SELECT DISTINCT yr, party_no, party_name, seg FROM v_child_bad),
+    parents AS (SELECT yr, count(*) AS parents FROM p GROUP BY yr),
+    sides AS (
+      SELECT yr, 'parent_without_child' AS side, count(*) AS n FROM (SELECT * FROM p EXCEPT SELECT * FROM c) GROUP BY yr
+      UNION ALL
+      SELECT yr, 'child_without_parent' AS side, count(*) AS n FROM (SELECT * FROM c EXCEPT SELECT * FROM p) GROUP BY yr)
+    SELECT s.yr, side, n, round(n / greatest(coalesce(parents, 0), 1)::DOUBLE, 6) AS rate
+    FROM sides s LEFT JOIN parents USING (yr)""",
+    "v_parent", "v_child_bad",
+).replace("\n, p AS", ", p AS", 1)
+ORACLE["dataset_completeness"] = W(
+    """, a AS (SELECT yr, dataset, count(*) AS c FROM v_artifact GROUP BY yr, dataset)
+    SELECT yr,
+      concat_ws(',', CASE WHEN count(*) FILTER (WHERE dataset = 'child') = 0 THEN 'child' END,
+                     CASE WHEN count(*) FILTER (WHERE dataset = 'parent') = 0 THEN 'parent' END) AS missing,
+      coalesce(string_agg(dataset, ',' ORDER BY dataset) FILTER (WHERE c > 1), '') AS duplicated,
+      coalesce(string_agg(dataset, ',' ORDER BY dataset) FILTER (WHERE dataset NOT IN ('child', 'parent')), '') AS extra,
+      CAST((CASE WHEN count(*) FILTER (WHERE dataset = 'child') = 0 THEN 1 ELSE 0 END)
+         + (CASE WHEN count(*) FILTER (WHERE dataset = 'parent') = 0 THEN 1 ELSE 0 END)
+         + count(*) FILTER (WHERE c > 1) AS BIGINT) AS n_issues
+    FROM a GROUP BY yr""",
+    "v_artifact",
+)
+ORACLE["missing_columns"] = W(
+    """SELECT DISTINCT 'child_' || CAST(yr AS VARCHAR) AS artifact, 'missing_column' AS rule,
+        'source_member' AS "column" FROM v_child""",
+    "v_child",
+)
+ORACLE["scope_check"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS rows FROM orders
+    GROUP BY year(o_orderdate) HAVING year(o_orderdate) NOT IN (1996, 1998, 2000)"""
+ORACLE["duplicate_keys"] = """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+ORACLE["validate_table"] = """WITH s AS (
+    SELECT count(*) AS record_count,
+      count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicate_count,
+      concat_ws(',',
+        CASE WHEN count(*) FILTER (WHERE l_orderkey IS NULL) > 0 THEN 'l_orderkey' END,
+        CASE WHEN count(*) FILTER (WHERE l_partkey IS NULL) > 0 THEN 'l_partkey' END,
+        CASE WHEN count(*) FILTER (WHERE l_returnflag IS NULL OR l_returnflag = '') > 0 THEN 'l_returnflag' END,
+        CASE WHEN count(*) FILTER (WHERE l_shipdate IS NULL) > 0 THEN 'l_shipdate' END) AS missing_fields
+    FROM lineitem)
+  SELECT (missing_fields = '' AND duplicate_count = 0) AS valid, CAST(record_count AS BIGINT) AS record_count,
+    CAST(duplicate_count AS BIGINT) AS duplicate_count, missing_fields,
+    CAST((CASE WHEN missing_fields = '' THEN 0 ELSE length(missing_fields) - length(replace(missing_fields, ',', '')) + 1 END)
+      + (CASE WHEN duplicate_count > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_messages
+  FROM s"""
+
+# ------------------------------------------------------------- batch 5: rollups
+
+_ALL_RULES = " UNION ALL ".join(p for parts in RULES.values() for p in parts)
+ISSUES_SQL = f""", row_issues AS ({_ALL_RULES}),
+  arts AS (SELECT source_member AS artifact, CAST(part_yr AS INTEGER) AS yr, count(*) AS rows,
+           count(*) + CASE WHEN part_yr = 1997 THEN 1 ELSE 0 END AS expected_rows
+           FROM q GROUP BY source_member, part_yr),
+  dup_grain AS (SELECT source_member AS artifact, rec AS record_no, 'duplicate_grain' AS rule, 'error' AS severity,
+           CAST(NULL AS VARCHAR) AS "column", 'record duplicated in the grain' AS message FROM (
+           SELECT *, row_number() OVER (PARTITION BY source_member, int_val, status ORDER BY rec) AS rn FROM q)
+           WHERE rn > 1),
+  dup_src AS (SELECT source_member AS artifact, rec AS record_no, 'duplicate_source_row' AS rule, 'error' AS severity,
+           'source_row_number' AS "column", 'source row number repeated' AS message FROM (
+           SELECT *, row_number() OVER (PARTITION BY source_member, source_row_number ORDER BY rec) AS rn FROM q)
+           WHERE rn > 1),
+  rc AS (SELECT artifact, CAST(NULL AS BIGINT) AS record_no, 'row_count_integrity' AS rule, 'error' AS severity,
+           CAST(NULL AS VARCHAR) AS "column",
+           'observed count ' || rows || ' differs from manifest ' || expected_rows AS message, 1 AS n
+         FROM arts WHERE rows <> expected_rows),
+  issues AS (
+    SELECT *, 1 AS n FROM row_issues UNION ALL SELECT *, 1 AS n FROM dup_grain
+    UNION ALL SELECT *, 1 AS n FROM dup_src UNION ALL SELECT * FROM rc)
+"""
+
+
+def IQ(body: str) -> str:
+    """Query over the ``issues`` and ``arts`` tables of the fixture quality run."""
+    sql = W(f"WITH_RAW_C AS ({RAW_CLEAN_Q}), q AS ({Q_SQL}){ISSUES_SQL}{body}", "v_raw")
+    return sql.replace("WITH_RAW_C", ", raw_c")
+
+
+ORACLE["issue_rollup"] = IQ("""SELECT g.artifact, rule, severity, "column", n,
+      CASE WHEN coalesce(rows, 0) > 0 THEN round(n / rows::DOUBLE, 6) ELSE 1.0 END AS rate, message
+    FROM (SELECT artifact, rule, severity, "column", CAST(sum(n) AS BIGINT) AS n,
+            coalesce(arg_min(message, record_no), min(message)) AS message
+          FROM issues GROUP BY artifact, rule, severity, "column") g
+    LEFT JOIN arts a ON a.artifact = g.artifact""")
+ORACLE["issue_samples"] = IQ("""SELECT artifact, rule, "column", position, record_no FROM (
+      SELECT artifact, rule, "column", record_no,
+        CAST(row_number() OVER (PARTITION BY artifact, rule, "column" ORDER BY record_no) AS BIGINT) AS position
+      FROM issues WHERE record_no IS NOT NULL) WHERE position <= 5""")
+ORACLE["artifact_profile"] = IQ("""SELECT a.artifact, a.yr, a.rows, a.expected_rows,
+      CAST(coalesce(sum(CASE WHEN rule = 'duplicate_grain' THEN n ELSE 0 END), 0) AS BIGINT) AS duplicates,
+      CAST(coalesce(sum(CASE WHEN severity = 'error' THEN n ELSE 0 END), 0) AS BIGINT) AS errors,
+      CAST(coalesce(sum(CASE WHEN severity = 'warning' THEN n ELSE 0 END), 0) AS BIGINT) AS warnings
+    FROM arts a LEFT JOIN issues i ON i.artifact = a.artifact
+    GROUP BY a.artifact, a.yr, a.rows, a.expected_rows""")
+ORACLE["quality_report_by_year"] = IQ("""SELECT a.yr, coalesce(e.errors, 0) = 0 AS valid,
+      CAST(a.artifacts AS BIGINT) AS artifacts, CAST(a.rows AS BIGINT) AS rows,
+      CAST(coalesce(e.errors, 0) AS BIGINT) AS errors, CAST(coalesce(e.warnings, 0) AS BIGINT) AS warnings
+    FROM (SELECT yr, count(*) AS artifacts, sum(rows) AS rows FROM arts GROUP BY yr) a
+    LEFT JOIN (SELECT CAST(regexp_extract(artifact, '_([0-9]{4})\\.csv$', 1) AS INTEGER) AS yr,
+                 sum(CASE WHEN severity = 'error' THEN n ELSE 0 END) AS errors,
+                 sum(CASE WHEN severity = 'warning' THEN n ELSE 0 END) AS warnings
+               FROM issues GROUP BY 1) e ON e.yr = a.yr""")

@@ -72,6 +72,14 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE 'null' END AS "TIME_TXT",
                o_orderstatus AS "STATUS_TXT"
         FROM orders"""),
+    "v_artifact": (("v_parent", "v_child"), """
+        SELECT yr, dataset, CAST(observed AS BIGINT) AS observed,
+               CAST(observed + CASE WHEN yr = 1997 THEN 1 ELSE 0 END AS BIGINT) AS expected
+        FROM (SELECT yr, 'parent' AS dataset, count(*) AS observed FROM v_parent GROUP BY yr
+              UNION ALL
+              SELECT yr, 'parent' AS dataset, count(*) AS observed FROM v_parent WHERE yr = 2000 GROUP BY yr
+              UNION ALL
+              SELECT yr, 'child' AS dataset, count(*) AS observed FROM v_child WHERE yr <> 2001 GROUP BY yr)"""),
 }
 
 
