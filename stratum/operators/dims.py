@@ -76,12 +76,13 @@ def upsert(
                 raise DimensionConflict(f"conflicting {attr} for key {bad[0].asDict()}")
     e = existing.alias("e")
     n = incoming.withColumn("__incoming", F.lit(True)).alias("n")
-    cond = null_safe_condition(e, n, tuple(key))
-    came = F.coalesce(n["__incoming"], F.lit(False))
-    cols: list[Column] = [F.when(came, n[k]).otherwise(e[k]).alias(k) for k in key]
-    cols += [F.when(came, n[a]).otherwise(e[a]).alias(a) for a in attrs]
+    cond = null_safe_condition("e", "n", tuple(key))
+    came = F.coalesce(F.col("n.__incoming"), F.lit(False))
+    cols: list[Column] = [F.when(came, F.col(f"n.{k}")).otherwise(F.col(f"e.{k}")).alias(k) for k in key]
+    cols += [F.when(came, F.col(f"n.{a}")).otherwise(F.col(f"e.{a}")).alias(a) for a in attrs]
     if id_col:
-        cols.append(F.coalesce(e[id_col], surrogate_key(*[n[k] for k in key])).alias(id_col))
+        new_id = surrogate_key(*[F.col(f"n.{k}") for k in key])
+        cols.append(F.coalesce(F.col(f"e.{id_col}"), new_id).alias(id_col))
     return e.join(n, cond, "full_outer").select(*cols)
 
 
@@ -90,9 +91,9 @@ def insert_absent(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
 
     The anti join is null-safe, matching a ``NULLS NOT DISTINCT`` constraint.
     """
-    new_rows = incoming.select(*existing.columns).dropDuplicates(list(key))
-    cond = null_safe_condition(new_rows.alias("n"), existing.alias("e"), tuple(key))
-    absent = new_rows.alias("n").join(existing.alias("e"), cond, "left_anti")
+    new_rows = incoming.select(*existing.columns).dropDuplicates(list(key)).alias("n")
+    cond = null_safe_condition("n", "e", tuple(key))
+    absent = new_rows.join(existing.alias("e"), cond, "left_anti")
     return existing.unionByName(absent)
 
 

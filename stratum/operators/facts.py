@@ -114,3 +114,64 @@ def replace_slices(current: DataFrame, incoming: DataFrame, slice_cols: Sequence
     slices = incoming.select(*slice_cols).distinct()
     kept = current.join(F.broadcast(slices), list(slice_cols), "left_anti")
     return kept.unionByName(incoming.select(*current.columns))
+
+
+def typed_projection(stage: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Gold typing of a text stage: ANSI casts that *fail* on bad input.
+
+    Silver already nulled invalid values (``try_cast``); a value that still
+    does not cast here is a contract breach, so the load must stop.
+    ``nullif(c, '')`` first, as the bulk load treats empty text as null.
+    """
+    cols = []
+    for c in stage.columns:
+        if c in types:
+            cols.append(F.nullif(F.col(c), F.lit("")).cast(types[c]).alias(c)
+                        if dict(stage.dtypes)[c] == "string" else F.col(c).cast(types[c]).alias(c))
+        else:
+            cols.append(F.col(c))
+    return stage.select(*cols)
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    """One artifact's load: rows staged, rows deleted from its slice, inserted."""
+
+    year: int
+    dataset: str
+    staged: int
+    deleted: int
+    inserted: int
+
+
+def audit_rows(results: DataFrame) -> DataFrame:
+    """Audit table rows from load results ``(yr, dataset, staged, deleted, inserted)``."""
+    return results.select(
+        "yr", "dataset",
+        F.col("staged").cast("bigint").alias("source_rows"),
+        F.col("deleted").cast("bigint").alias("deleted_rows"),
+        F.col("inserted").cast("bigint").alias("inserted_rows"),
+    )
+
+
+def audit_upsert(existing: DataFrame, incoming: DataFrame, key=("yr", "dataset")) -> DataFrame:
+    """Last load wins per (year, dataset); other audit rows stay."""
+    from stratum.operators.dims import upsert
+
+    attrs = [c for c in incoming.columns if c not in key]
+    return upsert(existing, incoming, list(key), attrs, fail_on_conflict=True)
+
+
+def load_results(previous: DataFrame, incoming: DataFrame, slice_cols=("yr", "dataset")) -> DataFrame:
+    """Per slice of ``incoming``: staged rows, rows the slice held before
+    (deleted by the replacement) and rows inserted.
+
+    ``previous`` / ``incoming`` carry the slice columns; counts come from
+    two aggregations and one join of the (small) per-slice counts.
+    """
+    s = list(slice_cols)
+    new = incoming.groupBy(*s).agg(F.count(F.lit(1)).alias("staged"))
+    old = previous.groupBy(*s).agg(F.count(F.lit(1)).alias("deleted"))
+    return new.join(old, s, "left").select(
+        *s, "staged", F.coalesce("deleted", F.lit(0)).alias("deleted"), F.col("staged").alias("inserted")
+    )

@@ -387,3 +387,211 @@ def quality_report_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues, arts = QF.all_issues(spark, sf_dir)
     year = F.regexp_extract("artifact", r"_([0-9]{4})\.csv$", 1).cast("int")
     return Q.report(issues.withColumn("yr", year), arts, ["yr"])
+
+
+# ---------------------------------------------------------------- batch 6: gold
+
+from stratum.functions.keys import natural_key  # noqa: E402
+from stratum.operators import dims as D  # noqa: E402
+from stratum.operators import facts as FA  # noqa: E402
+
+PLACE = ["yr", "lvl", "uf", "ue", "city"]
+
+
+@query
+def dim_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.distinct_keys(T.v_line(spark, sf_dir), ["yr", "party_no", "party_name"])
+
+
+@query
+def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Party names of years up to 1998 as the dimension; later years rename
+    (lower-case) and add parties; type-1 upsert keyed by party number."""
+    line = T.v_line(spark, sf_dir)
+    existing = line.where(F.col("yr") <= 1998).select("party_no", "party_name").distinct()
+    incoming = line.where(F.col("yr") >= 1998).select("party_no", F.lower("party_name").alias("party_name"))
+    return D.upsert(existing, incoming, ["party_no"], ["party_name"])
+
+
+@query
+def dim_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parent = T.v_parent(spark, sf_dir)
+    renamed = F.when((F.col("party_no") % 10 == 3) & (F.col("seg") == "A"),
+                     F.concat("party_name", F.lit("*"))).otherwise(F.col("party_name"))
+    stage = parent.withColumn("party_name", renamed)
+    found = D.conflicts(stage, ["yr", "party_no"], "party_name")
+    return found.select("yr", "party_no", F.col("n_values").cast("bigint").alias("n_values"),
+                        F.array_join("values", ",").alias("names"))
+
+
+@query
+def dim_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment dimension seeded with two values; the stage adds the rest."""
+    seed = spark.createDataFrame([("A",), ("N",)], "seg string")
+    incoming = D.distinct_keys(T.v_line(spark, sf_dir), ["seg"])
+    return D.insert_absent(seed, incoming, ["seg"])
+
+
+@query
+def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of years up to 1997 as the dimension; all places inserted if absent."""
+    geo = T.v_geo(spark, sf_dir)
+    existing = D.distinct_keys(geo.where(F.col("yr") <= 1997), PLACE)
+    return D.insert_absent(existing, D.distinct_keys(geo, PLACE), PLACE)
+
+
+@query
+def location_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = D.distinct_keys(T.v_geo(spark, sf_dir), PLACE)
+    return places.select(natural_key("yr", "lvl", "uf", "ue", "city", trim_first=(2,)).alias("location_key"))
+
+
+@query
+def location_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail rows joined to the location dimension null-safely, per level."""
+    geo = T.v_geo(spark, sf_dir)
+    places = D.with_surrogate(D.distinct_keys(geo, PLACE), "location_id", PLACE)
+    joined = FA.resolve(geo, [FA.Lookup(places, tuple(PLACE), "location_id", null_safe=True)])
+    return joined.groupBy("lvl").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("total")
+    )
+
+
+@query
+def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = D.with_surrogate(D.distinct_keys(T.v_geo(spark, sf_dir), PLACE), "location_id", PLACE)
+    return D.check_surrogate_keys(places, "location_id", PLACE)
+
+
+@query
+def unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(year, order, line) must be unique in the detail rows (nulls equal)."""
+    return D.duplicate_keys(T.v_geo(spark, sf_dir), ["yr", "l_orderkey", "l_linenumber"])
+
+
+@query
+def constraint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    geo = T.v_geo_bad(spark, sf_dir)
+    lvl, uf, ue, city = (F.col(c) for c in ("lvl", "uf", "ue", "city"))
+    checks = {
+        "ck_level": lvl.isin("NATIONAL", "STATE", "CITY"),
+        "ck_geography": (
+            ((lvl == "NATIONAL") & uf.isNull() & ue.isNull() & city.isNull())
+            | ((lvl == "STATE") & uf.isNotNull() & ue.isNull() & city.isNull())
+            | ((lvl == "CITY") & uf.isNotNull() & ue.isNotNull() & city.isNotNull())
+        ),
+        "ck_amount": F.col("amount") >= 0,
+    }
+    return FA.check_violations(geo, checks, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def foreign_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan rows per foreign key (left anti joins against the parents)."""
+    orders = T.table(spark, sf_dir, "orders")
+    fks = [
+        ("orders_customer", FA.orphans(orders, T.table(spark, sf_dir, "customer"), ["o_custkey"], ["c_custkey"])),
+        ("lineitem_orders", FA.orphans(T.table(spark, sf_dir, "lineitem"), orders, ["l_orderkey"], ["o_orderkey"])),
+        ("labels_documents", FA.orphans(T.table(spark, sf_dir, "labels"), T.table(spark, sf_dir, "documents"),
+                                        ["doc_id"], ["doc_id"])),
+    ]
+    out = None
+    for name, orphan_rows in fks:
+        part = orphan_rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("fk"), "violations")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _child_stage_and_load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    line = T.v_line(spark, sf_dir)
+    party = GF.dim_party(line)
+    stage = T.v_child_bad(spark, sf_dir)
+    loaded = FA.resolve(stage, [FA.Lookup(party, ("yr", "party_no"), "party_id")])
+    return stage, loaded
+
+
+@query
+def stage_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = T.v_child_bad(spark, sf_dir)
+    return stage.agg(F.count(F.lit(1)).alias("staged"))
+
+
+@query
+def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage, loaded = _child_stage_and_load(spark, sf_dir)
+    return FA.reconcile(stage, loaded, ["yr", "party_no", "party_name", "seg", "subseg"])
+
+
+@query
+def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parent stage resolved through party and segment dimensions; ids are
+    resolved back to natural keys for comparison."""
+    fact, joins, _ = GF.star(spark, sf_dir)
+    party = joins[1].dim
+    gender = joins[2].dim
+    return fact.join(party, ["party_id", "yr"]).join(gender, "gender_id").select(
+        "yr", "party_no", "seg", "qty", "amount"
+    )
+
+
+@query
+def slice_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year 1998 replaced by its segment-A rows with doubled amounts."""
+    parent = T.v_parent(spark, sf_dir)
+    incoming = parent.where((F.col("yr") == 1998) & (F.col("seg") == "A")) \
+        .withColumn("amount", (F.col("amount") * 2).cast("decimal(38,2)"))
+    table = FA.replace_slices(parent, incoming, ["yr"])
+    return table.groupBy("yr").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("total")
+    )
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Audit after a first load of every artifact and a second load of 1998."""
+    arts = T.v_artifact(spark, sf_dir).groupBy("yr", "dataset").agg(F.max("observed").alias("n"))
+    first = arts.select("yr", "dataset", F.col("n").alias("staged"), F.lit(0).cast("bigint").alias("deleted"),
+                        F.col("n").alias("inserted"))
+    second = arts.where(F.col("yr") == 1998).select(
+        "yr", "dataset", F.col("n").alias("staged"), F.col("n").alias("deleted"), F.col("n").alias("inserted"))
+    audit = FA.audit_upsert(FA.audit_rows(first), FA.audit_rows(second))
+    return audit, second
+
+
+@query
+def audit_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit, _ = _audit(spark, sf_dir)
+    return audit
+
+
+@query
+def audit_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit, _ = _audit(spark, sf_dir)
+    return audit.orderBy("yr", "dataset")
+
+
+@query
+def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the second load (1998 artifacts)."""
+    _, second = _audit(spark, sf_dir)
+    return second.agg(
+        F.count(F.lit(1)).alias("artifacts"),
+        F.sum("staged").cast("bigint").alias("staged"),
+        F.sum("deleted").cast("bigint").alias("deleted"),
+        F.sum("inserted").cast("bigint").alias("inserted"),
+    )
+
+
+@query
+def gated_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parent rows of the years whose artifact report is valid."""
+    arts = T.v_artifact(spark, sf_dir).withColumn(
+        "artifact", F.concat_ws("_", "dataset", F.col("yr").cast("string")))
+    rc = Q.row_count_issues(arts.select("artifact", F.col("observed").alias("rows")),
+                            arts.select("artifact", F.col("expected").alias("expected_rows")).distinct())
+    rc = rc.withColumn("yr", F.regexp_extract("artifact", r"_([0-9]{4})$", 1).cast("smallint"))
+    comp = Q.completeness(arts, ("child", "parent")).where(F.col("n_issues") > 0).select(
+        "yr", F.lit("error").alias("severity"), F.col("n_issues").alias("n"))
+    issues = rc.select("yr", "severity", "n").unionByName(comp)
+    report = Q.report(issues, arts.select("yr", F.col("observed").alias("rows")), ["yr"])
+    valid = report.where("valid").select("yr")
+    return T.v_parent(spark, sf_dir).join(F.broadcast(valid), "yr", "left_semi")

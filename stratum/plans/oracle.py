@@ -450,3 +450,117 @@ ORACLE["quality_report_by_year"] = IQ("""SELECT a.yr, coalesce(e.errors, 0) = 0
                  sum(CASE WHEN severity = 'error' THEN n ELSE 0 END) AS errors,
                  sum(CASE WHEN severity = 'warning' THEN n ELSE 0 END) AS warnings
                FROM issues GROUP BY 1) e ON e.yr = a.yr""")
+
+
+# ---------------------------------------------------------------- batch 6: gold
+
+_PLACES = "(SELECT DISTINCT yr, lvl, uf, ue, city FROM v_geo)"
+ORACLE["dim_distinct"] = W("SELECT DISTINCT yr, party_no, party_name FROM v_line", "v_line")
+ORACLE["dim_upsert"] = W(
+    """, e AS (SELECT DISTINCT party_no, party_name FROM v_line WHERE yr <= 1998),
+    n AS (SELECT DISTINCT party_no, lower(party_name) AS party_name FROM v_line WHERE yr >= 1998)
+    SELECT party_no, party_name FROM n
+    UNION ALL SELECT party_no, party_name FROM e WHERE party_no NOT IN (SELECT party_no FROM n)""",
+    "v_line",
+)
+ORACLE["dim_conflicts"] = W(
+    """SELECT yr, party_no, CAST(count(DISTINCT name) AS BIGINT) AS n_values,
+        array_to_string(list_sort(list(DISTINCT name)), ',') AS names
+    FROM (SELECT yr, party_no,
+            CASE WHEN party_no % 10 = 3 AND seg = 'A' THEN party_name || '*' ELSE party_name END AS name
+          FROM v_parent)
+    GROUP BY yr, party_no HAVING count(DISTINCT name) > 1""",
+    "v_parent",
+)
+ORACLE["dim_insert_absent"] = W(
+    "SELECT seg FROM (VALUES ('A'), ('N')) t(seg) UNION SELECT DISTINCT seg FROM v_line", "v_line")
+ORACLE["dim_location"] = W(f"SELECT * FROM {_PLACES}", "v_geo")
+ORACLE["location_key"] = W(
+    f"""SELECT CAST(yr AS VARCHAR) || '|' || coalesce(lvl, '') || '|' || coalesce(trim(uf), '') || '|'
+        || coalesce(ue, '') || '|' || coalesce(city, '') AS location_key FROM {_PLACES}""",
+    "v_geo",
+)
+ORACLE["location_join"] = W(
+    "SELECT lvl, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM v_geo GROUP BY lvl",
+    "v_geo",
+)
+ORACLE["surrogate_keys"] = W(
+    f"SELECT count(*) AS n_keys, count(*) AS n_ids, true AS collision_free FROM {_PLACES}", "v_geo")
+ORACLE["unique_check"] = W(
+    """SELECT yr, l_orderkey, l_linenumber, count(*) AS n FROM v_geo
+    GROUP BY yr, l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "v_geo",
+)
+ORACLE["constraint_check"] = W(
+    """SELECT l_orderkey, l_linenumber, rule FROM (
+      SELECT l_orderkey, l_linenumber, 'ck_level' AS rule,
+        NOT coalesce(lvl IN ('NATIONAL', 'STATE', 'CITY'), true) AS bad FROM v_geo_bad
+      UNION ALL
+      SELECT l_orderkey, l_linenumber, 'ck_geography',
+        NOT coalesce((lvl = 'NATIONAL' AND uf IS NULL AND ue IS NULL AND city IS NULL)
+          OR (lvl = 'STATE' AND uf IS NOT NULL AND ue IS NULL AND city IS NULL)
+          OR (lvl = 'CITY' AND uf IS NOT NULL AND ue IS NOT NULL AND city IS NOT NULL), true) FROM v_geo_bad
+      UNION ALL
+      SELECT l_orderkey, l_linenumber, 'ck_amount', NOT coalesce(amount >= 0, true) FROM v_geo_bad)
+    WHERE bad""",
+    "v_geo_bad",
+)
+ORACLE["foreign_key_check"] = """
+    SELECT 'orders_customer' AS fk, count(*) AS violations FROM orders o
+      WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+    UNION ALL
+    SELECT 'lineitem_orders', count(*) FROM lineitem l
+      WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+    UNION ALL
+    SELECT 'labels_documents', count(*) FROM labels b
+      WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = b.doc_id)"""
+ORACLE["stage_count"] = W("SELECT count(*) AS staged FROM v_child_bad", "v_child_bad")
+ORACLE["load_reconciliation"] = W(
+    """, s AS (SELECT yr, party_no, party_name, seg, subseg, count(*) AS s_n FROM v_child_bad
+              GROUP BY yr, party_no, party_name, seg, subseg),
+    l AS (SELECT b.yr, b.party_no, b.party_name, b.seg, b.subseg, count(*) AS l_n
+          FROM v_child_bad b JOIN (SELECT DISTINCT yr, party_no, party_name FROM v_line) p
+            ON p.yr = b.yr AND p.party_no = b.party_no
+          GROUP BY b.yr, b.party_no, b.party_name, b.seg, b.subseg)
+    SELECT CAST(sum(s_n) AS BIGINT) AS staged,
+      CAST(sum(least(s_n, coalesce(l_n, 0))) AS BIGINT) AS matched,
+      CAST(sum(CASE WHEN l_n IS NULL THEN s_n ELSE 0 END) AS BIGINT) AS lost,
+      CAST(sum(greatest(coalesce(l_n, 0) - s_n, 0)) AS BIGINT) AS fanned_out
+    FROM s LEFT JOIN l ON s.yr IS NOT DISTINCT FROM l.yr AND s.party_no IS NOT DISTINCT FROM l.party_no
+      AND s.party_name IS NOT DISTINCT FROM l.party_name AND s.seg IS NOT DISTINCT FROM l.seg
+      AND s.subseg IS NOT DISTINCT FROM l.subseg""",
+    "v_child_bad", "v_line",
+)
+ORACLE["fact_load"] = W(
+    """SELECT yr, party_no, seg, count(*) AS qty, CAST(sum(amount) AS DECIMAL(38,2)) AS amount
+    FROM v_line GROUP BY yr, party_no, seg""",
+    "v_line",
+)
+ORACLE["slice_replace"] = W(
+    """SELECT yr, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM (
+      SELECT yr, amount FROM v_parent WHERE yr <> 1998
+      UNION ALL
+      SELECT yr, CAST(amount * 2 AS DECIMAL(38,2)) FROM v_parent WHERE yr = 1998 AND seg = 'A')
+    GROUP BY yr""",
+    "v_parent",
+)
+_AUDIT = """, arts AS (SELECT yr, dataset, max(observed) AS n FROM v_artifact GROUP BY yr, dataset),
+    audit AS (SELECT yr, dataset, n AS source_rows,
+                CAST(CASE WHEN yr = 1998 THEN n ELSE 0 END AS BIGINT) AS deleted_rows, n AS inserted_rows
+              FROM arts)
+"""
+ORACLE["audit_upsert"] = W(_AUDIT + "SELECT * FROM audit", "v_artifact")
+ORACLE["audit_listing"] = W(_AUDIT + "SELECT * FROM audit ORDER BY yr, dataset", "v_artifact")
+ORACLE["load_totals"] = W(
+    _AUDIT + """SELECT count(*) AS artifacts, CAST(sum(n) AS BIGINT) AS staged, CAST(sum(n) AS BIGINT) AS deleted,
+        CAST(sum(n) AS BIGINT) AS inserted FROM arts WHERE yr = 1998""",
+    "v_artifact",
+)
+ORACLE["gated_backfill"] = W(
+    """SELECT * FROM v_parent WHERE yr IN (SELECT yr FROM v_artifact) AND yr NOT IN (
+      SELECT yr FROM v_artifact WHERE observed <> expected
+      UNION
+      SELECT yr FROM v_artifact GROUP BY yr
+      HAVING count(*) FILTER (WHERE dataset = 'child') <> 1 OR count(*) FILTER (WHERE dataset = 'parent') <> 1)""",
+    "v_parent", "v_artifact",
+)
