@@ -90,16 +90,10 @@ def current_run(spark: SparkSession, base: str) -> str | None:
         return None
     stream = fs.open(ptr)
     try:
-        data = bytearray()
-        buf = bytearray(4096)
-        while True:
-            n = stream.read(buf)
-            if n <= 0:
-                break
-            data += buf[:n]
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return json.loads(bytes(data).decode("utf-8"))["run"]
+    return json.loads(text)["run"]
 
 
 def table_path(run_dir: str, name: str) -> str:

@@ -416,7 +416,10 @@ def load_gold(spark: SparkSession, silver: SilverRun, gold_root: str, *,
             F.col(YEAR).cast("smallint").alias("yr"), F.lit(name).alias("dataset"), "source_member",
             F.col("inserted").alias("staged"), F.coalesce("deleted", F.lit(0)).alias("deleted"), "inserted")
         results.append(res)
-    results_df = _union(results)
+    # per-artifact counts (bounded by the number of artifacts): materialise
+    # them now, before the commit replaces the slices they were counted from
+    results_union = _union(results)
+    results_df = spark.createDataFrame(results_union.collect(), results_union.schema)
     # expected rows per artifact must equal staged rows (manifest reconciliation)
     exp = silver.artifacts.select(F.col("member").alias("source_member"), F.col("row_count").alias("expected"))
     mism = results_df.join(exp, "source_member").where(F.col("staged") != F.col("expected")).limit(1).collect()

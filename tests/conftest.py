@@ -24,7 +24,7 @@ SMALL_SF = "/root/testdata/sf0.001"
 def spark():
     from stratum.session import build_session
 
-    session = build_session(app="stratum-tests", master="local[4]", shuffle_partitions=2)
+    session = build_session(app="stratum-tests", master="local[2]", shuffle_partitions=1)
     session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-test-ckpt-"))
     yield session
     session.stop()
