@@ -258,6 +258,17 @@ def run_quality(
         part = part.unionByName(Q.duplicate_issues(
             df, ["source_member", "source_row_number"], ["source_row_number"], F.col("source_member"), rec,
             "duplicate_source_row", "source_row_number", "source row number repeated in the file"))
+        # table rules on metadata: header vs manifest columns, required columns
+        expected_cols = S.silver_columns(c)
+        present = [x for x in df.columns if not x.startswith("_")]
+        members_of = arts.where(F.col("dataset") == name).select("artifact")
+        if [x for x in present if x in expected_cols] != expected_cols:
+            part = part.unionByName(members_of.select(
+                "artifact", F.lit("schema_integrity").alias("rule"), F.lit(Q.ERROR).alias("severity"),
+                F.lit(None).cast("string").alias("column"),
+                F.lit("stored schema differs from the silver manifest").alias("message"),
+                F.lit(None).cast("bigint").alias("record_no"), F.lit(1).cast("bigint").alias("n")))
+        part = part.unionByName(Q.missing_columns(df, c, members_of))
         issues = part if issues is None else issues.unionByName(part)
         obs = df.groupBy(F.col("source_member").alias("artifact")).agg(F.count(F.lit(1)).alias("rows"))
         observed = obs if observed is None else observed.unionByName(obs)

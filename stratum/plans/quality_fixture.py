@@ -15,6 +15,7 @@ from stratum.functions import clean as C
 from stratum.operators import quality as Q
 from stratum.operators import silver as S
 from stratum.plans import tables as T
+from stratum.session import checkpoint_dir
 
 SOURCE = "fixture"
 
@@ -73,8 +74,14 @@ def artifacts(q: DataFrame) -> DataFrame:
 
 
 def all_issues(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Every issue of the fixture artifacts, plus the artifact table."""
-    q = q_raw(spark, sf_dir)
+    """Every issue of the fixture artifacts, plus the artifact table.
+
+    The silver text is read by four rule families; it is materialised once
+    with a reliable checkpoint (in ``spark.checkpoint.dir``, the shared
+    folder the cluster names) so the parse is not repeated per family.
+    """
+    checkpoint_dir(spark)
+    q = q_raw(spark, sf_dir).checkpoint(eager=True)
     arts = artifacts(q)
     issues = row_issues(q)
     qr = q.withColumn("_rec", Q.record_id(q, "source_row_number"))

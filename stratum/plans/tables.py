@@ -13,15 +13,39 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.contracts import Conditional, Contract, Treatment
+from stratum.session import ensure_parallelism
+
+
+# tables small enough that spreading them costs more than it gains
+_TINY = {"region", "nation", "supplier", "benchmark", "labels"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; a single-split scan is spread over the cluster's cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if name in _TINY else ensure_parallelism(df)
+
+
+def year_range(col: str, years) -> Column:
+    """``col`` inside any of the calendar years, as plain range predicates.
+
+    ``year(col) = y`` is a function of the column and cannot be pushed to
+    the parquet reader; ``col >= 'y-01-01' AND col < 'y+1-01-01'`` can
+    (it shows up under ``PushedFilters`` and prunes row groups by min/max).
+    """
+    cond = None
+    for y in sorted(set(int(v) for v in years)):
+        term = (F.col(col) >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & (
+            F.col(col) < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+        cond = term if cond is None else cond | term
+    return cond
 
 
-def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_line(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     """Detail rows: lineitem with its order, supplier, customer, nation, region.
 
+    ``years`` restricts the orders scan with pushed range predicates.
+
     nation and region are fixed-size (25 / 5 rows) and broadcast explicitly;
     supplier and customer grow with the data, so Catalyst decides from their
     size statistics (and AQE re-plans at runtime) whether they are broadcast.
@@ -31,6 +55,8 @@ def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice",
     )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if years is not None:
+        o = o.where(year_range("o_orderdate", years))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -53,9 +79,9 @@ def v_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def v_parent(spark: SparkSession, sf_dir: str, line: DataFrame | None = None) -> DataFrame:
+def v_parent(spark: SparkSession, sf_dir: str, line: DataFrame | None = None, years=None) -> DataFrame:
     """Parent file: one row per (year, party, segment)."""
-    line = line if line is not None else v_line(spark, sf_dir)
+    line = line if line is not None else v_line(spark, sf_dir, years=years)
     return line.groupBy("yr", "party_no", "party_name", "seg").agg(
         F.count(F.lit(1)).alias("qty"),
         F.sum("amount").cast("decimal(38,2)").alias("amount"),

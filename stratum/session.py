@@ -69,3 +69,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for a written intermediate."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a scan that yields fewer partitions than the cluster can run.
+
+    A table stored as one large file with a single row group scans as ONE
+    task, so every CPU-heavy projection after it (regex cleaning, rule
+    evaluation) runs single-threaded.  When the planned scan has fewer
+    partitions than ``min_partitions`` (default: the default parallelism) the
+    rows are redistributed round-robin.  A large input already has many
+    splits and is returned untouched, so no shuffle is added at scale.  The
+    check reads the physical plan only; it runs no job.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
