@@ -47,33 +47,32 @@ def parent_fact(stage: DataFrame, party: DataFrame, gender: DataFrame, extra_key
 
 
 def star(spark: SparkSession, sf_dir: str, child: bool = False, location: bool = False) -> tuple[DataFrame, list[DimJoin], list[str]]:
-    """Fact + dimension joins + view columns for the four analytical views."""
-    line = T.v_line(spark, sf_dir)
-    party = dim_party(line)
-    gender = dim_value(line, "seg", "gender_id")
-    race = dim_value(line, "subseg", "race_id")
+    """Fact + dimension joins + view columns for the four analytical views.
+
+    The detail rows are aggregated to the fact grain once; every dimension
+    is derived from that reduced stage (the exchange is reused), so the
+    large join behind the detail rows runs a single time.
+    """
+    base = T.v_geo(spark, sf_dir) if location else T.v_line(spark, sf_dir)
+    grain = ["yr", "party_no"] + (["lvl", "uf", "ue", "city"] if location else []) + ["seg"] \
+        + (["subseg"] if child else [])
+    stage = base.groupBy(*grain, "party_name").agg(
+        F.count(F.lit(1)).alias("qty"), F.sum("amount").cast("decimal(38,2)").alias("amount")
+    )
+    party = dim_party(stage)
+    gender = dim_value(stage, "seg", "gender_id")
     election = dim_election(spark, sf_dir)
-    grain = ["yr", "party_no", "seg"] + (["subseg"] if child else [])
-    if location:
-        geo = T.v_geo(spark, sf_dir)
-        grain = ["yr", "party_no", "lvl", "uf", "ue", "city", "seg"] + (["subseg"] if child else [])
-        stage = geo.groupBy(*grain).agg(
-            F.count(F.lit(1)).alias("qty"), F.sum("amount").cast("decimal(38,2)").alias("amount")
-        )
-        location_dim = dim_location(geo)
-    else:
-        stage = line.groupBy(*grain).agg(
-            F.count(F.lit(1)).alias("qty"), F.sum("amount").cast("decimal(38,2)").alias("amount")
-        )
     lookups = [
         Lookup(party, ("yr", "party_no"), "party_id"),
         Lookup(gender, ("seg",), "gender_id"),
     ]
     if child:
+        race = dim_value(stage, "subseg", "race_id")
         lookups.append(Lookup(race, ("subseg",), "race_id"))
     if location:
+        location_dim = dim_location(stage)
         lookups.append(Lookup(location_dim, ("yr", "lvl", "uf", "ue", "city"), "location_id", null_safe=True))
-    fact = resolve(stage, lookups).select(
+    fact = resolve(stage.drop("party_name"), lookups).select(
         "yr", "party_id", "gender_id",
         *(["race_id"] if child else []),
         *(["location_id"] if location else []),

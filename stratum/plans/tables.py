@@ -117,7 +117,7 @@ def v_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(LEVEL_CITY)
     )
     return line.select(
-        "l_orderkey", "l_linenumber", "yr", "party_no", "seg", "subseg", "amount",
+        "l_orderkey", "l_linenumber", "yr", "party_no", "party_name", "seg", "subseg", "amount",
         lvl.alias("lvl"),
         F.when(lvl != LEVEL_NATIONAL, F.col("n_name")).alias("uf"),
         F.when(lvl == LEVEL_CITY, F.substring("c_mktsegment", 1, 3)).alias("ue"),
