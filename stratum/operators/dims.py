@@ -32,14 +32,21 @@ def with_surrogate(df: DataFrame, id_col: str, key: Sequence[str]) -> DataFrame:
 def conflicts(df: DataFrame, key: Sequence[str], attr: str) -> DataFrame:
     """Natural keys that received more than one attribute value.
 
-    Pre-aggregated to distinct (key, attr) before counting, so a hot key only
-    ever carries its distinct values through the second shuffle.
+    Output per conflicting key: the exact number of distinct values and the
+    smallest and largest of them (a bounded witness pair -- never the full
+    value list, which a pathological key could make unbounded).  Rows are
+    reduced to distinct (key, value) pairs first, then counted per key, both
+    with map-side partial aggregation.
     """
     return (
         df.select(*key, attr)
         .distinct()
         .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n_values"), F.sort_array(F.collect_set(attr)).alias("values"))
+        .agg(
+            F.count(F.lit(1)).alias("n_values"),
+            F.min(attr).alias("first_value"),
+            F.max(attr).alias("last_value"),
+        )
         .where(F.col("n_values") > 1)
     )
 

@@ -421,7 +421,7 @@ def dim_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = parent.withColumn("party_name", renamed)
     found = D.conflicts(stage, ["yr", "party_no"], "party_name")
     return found.select("yr", "party_no", F.col("n_values").cast("bigint").alias("n_values"),
-                        F.array_join("values", ",").alias("names"))
+                        F.concat_ws(",", "first_value", "last_value").alias("names"))
 
 
 @query

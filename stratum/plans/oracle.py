@@ -465,7 +465,7 @@ ORACLE["dim_upsert"] = W(
 )
 ORACLE["dim_conflicts"] = W(
     """SELECT yr, party_no, CAST(count(DISTINCT name) AS BIGINT) AS n_values,
-        array_to_string(list_sort(list(DISTINCT name)), ',') AS names
+        min(name) || ',' || max(name) AS names
     FROM (SELECT yr, party_no,
             CASE WHEN party_no % 10 = 3 AND seg = 'A' THEN party_name || '*' ELSE party_name END AS name
           FROM v_parent)
