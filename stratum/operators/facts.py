@@ -9,6 +9,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratum.session import maybe_broadcast
+
 from stratum.functions.keys import null_safe_condition
 
 
@@ -41,7 +43,7 @@ def resolve(stage: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     for lk in lookups:
         dim = lk.dim.select(*lk.on, lk.id_col)
         if lk.small:
-            dim = F.broadcast(dim)
+            dim = maybe_broadcast(dim)
         if lk.null_safe:
             d = dim.alias("d")
             o = out.alias("s")
@@ -112,7 +114,7 @@ def replace_slices(current: DataFrame, incoming: DataFrame, slice_cols: Sequence
     (see :func:`stratum.operators.publish.write_slices`).
     """
     slices = incoming.select(*slice_cols).distinct()
-    kept = current.join(F.broadcast(slices), list(slice_cols), "left_anti")
+    kept = current.join(maybe_broadcast(slices), list(slice_cols), "left_anti")
     return kept.unionByName(incoming.select(*current.columns))
 
 

@@ -8,6 +8,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.session import maybe_broadcast
+
 
 @dataclass(frozen=True)
 class DimJoin:
@@ -15,19 +17,20 @@ class DimJoin:
 
     dim: DataFrame
     on: tuple[str, ...]
-    small: bool = False  # fixed, bounded size (e.g. a domain list): broadcast it
+    small: bool = False  # bounded by definition: broadcast when its estimate is under the cap
 
 
 def star_view(fact: DataFrame, dims: Sequence[DimJoin], columns: Sequence[str | Column]) -> DataFrame:
     """Denormalised view: fact joined to every dimension, ids projected away.
 
     Inner joins, as the views do.  Dimensions marked ``small`` have a size
-    bound that does not grow with the data and are broadcast; the others are
-    left to Catalyst's size statistics and AQE.
+    bound that does not grow with the data and are broadcast when Catalyst's
+    estimate confirms it (:func:`stratum.session.maybe_broadcast`); the
+    others are left to Catalyst's size statistics and AQE.
     """
     out = fact
     for d in dims:
-        dim = F.broadcast(d.dim) if d.small else d.dim
+        dim = maybe_broadcast(d.dim) if d.small else d.dim
         out = out.join(dim, list(d.on))
     return out.select(*columns)
 
@@ -52,7 +55,7 @@ def aggregate_through_star(
     reduced = fact.groupBy(*fact_keys).agg(*[c.alias(n) for n, c in measures.items()])
     joined = reduced
     for d in dims:
-        dim = F.broadcast(d.dim) if d.small else d.dim
+        dim = maybe_broadcast(d.dim) if d.small else d.dim
         joined = joined.join(dim, list(d.on))
     return joined.groupBy(*group_by).agg(*[c.alias(n) for n, c in final.items()])
 

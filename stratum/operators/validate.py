@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from stratum.operators.quality import duplicates_after_first
+from stratum.session import maybe_broadcast
 
 
 class ValidationError(ValueError):
@@ -55,7 +56,7 @@ def out_of_scope(df: DataFrame, year_col: str, scope: Sequence[int]) -> DataFram
     spark = df.sparkSession
     allowed = spark.createDataFrame([(int(y),) for y in scope], f"{year_col} int")
     per_year = df.groupBy(year_col).agg(F.count(F.lit(1)).alias("rows"))
-    return per_year.join(F.broadcast(allowed), year_col, "left_anti")
+    return per_year.join(maybe_broadcast(allowed), year_col, "left_anti")
 
 
 def validate_records(

@@ -12,6 +12,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.session import maybe_broadcast
+
 from stratum.functions.keys import surrogate_key
 from stratum.operators import marts as M
 from stratum.plans import gold_fixture as GF
@@ -594,7 +596,7 @@ def gated_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues = rc.select("yr", "severity", "n").unionByName(comp)
     report = Q.report(issues, arts.select("yr", F.col("observed").alias("rows")), ["yr"])
     valid = report.where("valid").select("yr")
-    return T.v_parent(spark, sf_dir).join(F.broadcast(valid), "yr", "left_semi")
+    return T.v_parent(spark, sf_dir).join(maybe_broadcast(valid), "yr", "left_semi")
 
 
 # ------------------------------------------------------- manifests (no oracle)

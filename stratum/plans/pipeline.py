@@ -21,6 +21,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.session import maybe_broadcast
+
 from stratum.contracts import (
     ELECTORAL_CONTRACTS,
     ELECTORAL_PAIRS,
@@ -131,7 +133,7 @@ def build_silver(
     for h in A.headers(records).collect():
         m = next(x for x in members if x["archive"] == h["archive"] and x["member"] == h["member"])
         S.check_header(list(h["header"] or []), contracts[m["dataset"]], h["member"])
-    data = A.data_records(records).join(F.broadcast(meta), ["archive", "member"])
+    data = A.data_records(records).join(maybe_broadcast(meta), ["archive", "member"])
     wrong = data.where(F.size("fields") != F.col("width")).select("member", "record_no", F.size("fields").alias("n"),
                                                                    "width").limit(1).collect()
     if wrong:
@@ -275,7 +277,7 @@ def run_quality(
         observed = obs if observed is None else observed.unionByName(obs)
 
     issues = issues.unionByName(Q.row_count_issues(observed, arts.select("artifact", "expected_rows")))
-    issues = issues.join(F.broadcast(arts.select("artifact", "year")), "artifact", "left")
+    issues = issues.join(maybe_broadcast(arts.select("artifact", "year")), "artifact", "left")
 
     # table-level rules: dataset completeness per year, parent/child coverage
     comp = Q.completeness(arts.withColumnRenamed("year", "yr"), sorted({d for t in treatments.values()
@@ -308,7 +310,7 @@ def run_quality(
 
     rows = observed
     rollup = Q.rollup(issues.drop("year"), rows).join(
-        F.broadcast(issues.select("artifact", "year").distinct()), "artifact", "left")
+        maybe_broadcast(issues.select("artifact", "year").distinct()), "artifact", "left")
     prof = Q.profiles(issues, arts.join(observed, "artifact", "left").fillna(0, ["rows"]))
     rep = Q.report(issues, arts.join(observed, "artifact", "left").fillna(0, ["rows"])
                    .select("artifact", "year", "rows"), ["year"])
@@ -470,10 +472,10 @@ def gold_view(spark: SparkSession, gold_root: str, dataset: str) -> DataFrame:
     party = spark.read.parquet(f"{run_dir}/dim_partido")
     gender = spark.read.parquet(f"{run_dir}/dim_genero")
     election = spark.read.parquet(f"{run_dir}/dim_eleicao")
-    view = fact.withColumn(YEAR, F.col(YEAR).cast("smallint")).join(F.broadcast(election), YEAR) \
-        .join(party, ["partido_id", YEAR]).join(F.broadcast(gender), "genero_id")
+    view = fact.withColumn(YEAR, F.col(YEAR).cast("smallint")).join(maybe_broadcast(election), YEAR) \
+        .join(party, ["partido_id", YEAR]).join(maybe_broadcast(gender), "genero_id")
     if "cor_raca_id" in fact.columns:
-        view = view.join(F.broadcast(spark.read.parquet(f"{run_dir}/dim_cor_raca")), "cor_raca_id")
+        view = view.join(maybe_broadcast(spark.read.parquet(f"{run_dir}/dim_cor_raca")), "cor_raca_id")
     if "localidade_id" in fact.columns:
         view = view.join(spark.read.parquet(f"{run_dir}/dim_localidade"), ["localidade_id", YEAR])
     return view.drop("partido_id", "genero_id", "cor_raca_id", "localidade_id")

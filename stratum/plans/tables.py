@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.contracts import Conditional, Contract, Treatment
-from stratum.session import ensure_parallelism
+from stratum.session import ensure_parallelism, maybe_broadcast
 
 
 # tables small enough that spreading them costs more than it gains
@@ -65,8 +65,8 @@ def v_line(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
         l.join(o, l.l_orderkey == o.o_orderkey)
         .join(s, l.l_suppkey == s.s_suppkey)
         .join(c, o.o_custkey == c.c_custkey)
-        .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-        .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+        .join(maybe_broadcast(n), c.c_nationkey == n.n_nationkey)
+        .join(maybe_broadcast(r), n.n_regionkey == r.r_regionkey)
         .select(
             F.year("o_orderdate").cast("smallint").alias("yr"),
             F.col("l_suppkey").alias("party_no"),

@@ -87,3 +87,27 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+# Upper bound for an explicit broadcast: a side must be estimated below this
+# (Catalyst statistics, no job) or it is joined by shuffle instead.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of the optimised plan (no job is run)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def maybe_broadcast(df, max_bytes: int = BROADCAST_MAX_BYTES):
+    """Broadcast ``df`` only when its estimated size is under ``max_bytes``.
+
+    Beyond the bound the frame is returned unchanged, so the join falls back
+    to a shuffle join (and AQE may still convert it at runtime if the actual
+    size turns out small).  Used for dimension-like sides whose size is
+    bounded by definition (fixed code tables, declared years, slices).
+    """
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
