@@ -153,7 +153,11 @@ def build_silver(
         )
         silver = S.to_silver(raw, contract, source_name).withColumn("_pyear", F.col("_partition_year"))
         path = f"{run_dir}/silver/{name}"
-        silver.write.mode("overwrite").partitionBy("_pyear", "source_member").parquet(path)
+        # the row count is observed during the write itself (no second pass)
+        observed, obs = FA.observed_write(silver, f"silver_{name}")
+        observed.write.mode("overwrite").partitionBy("_pyear", "source_member").parquet(path)
+        if obs.get["rows"] == 0:
+            raise PipelineError(f"dataset {name} has no records in any member")
         tables[name] = path
         schemas[name] = silver.schema
         # explicit schema: an all-blank dataset writes no files but still reads
