@@ -1 +1 @@
-"""stratum.functions."""
+"""stratum.functions -- native Column expressions for cleaning, parsing and keys."""

@@ -1 +1 @@
-"""stratum.operators."""
+"""stratum.operators -- silver, quality, validate, dims, facts, marts, publish."""

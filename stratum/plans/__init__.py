@@ -1 +1 @@
-"""stratum.plans."""
+"""stratum.plans -- the pipeline, the test-table adapters and the query catalogue."""

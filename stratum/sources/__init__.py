@@ -1 +1 @@
-"""stratum.sources."""
+"""stratum.sources -- archive scan and member parsing, lake layout and sinks."""

@@ -1 +1,8 @@
-"""stratum.streaming."""
+"""stratum.streaming -- intentionally empty.
+
+The workload is a daily batch over yearly archives: no watermarks, windows,
+state or late data exist in it, so there is no streaming operator to build.
+A scheduler that wants incremental pickup of new archives can call
+:func:`stratum.plans.pipeline.run` with the new years; every step is
+idempotent (slice replacement keyed by year and member).
+"""
