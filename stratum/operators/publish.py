@@ -16,6 +16,7 @@ import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 POINTER = "_CURRENT"
 
@@ -28,14 +29,19 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite",
-                      fmt: str = "parquet") -> None:
+                      fmt: str = "parquet", salt_buckets: int = 8) -> None:
     """Hive-style partitioned write (``year=2024/...``).
 
-    Rows are first clustered by the partition columns so each task writes
-    few files per partition instead of one per (task, partition).
+    Rows are clustered by the partition columns so a task writes few files
+    per partition -- plus a deterministic salt (a hash of the whole row
+    modulo ``salt_buckets``), so one partition holding a third of the rows
+    is written by several tasks instead of one.  The hash is stable, so a
+    retried task rewrites exactly the same rows.
     """
-    (df.repartition(*partition_by) if partition_by else df).write.mode(mode).partitionBy(
-        *partition_by).format(fmt).save(path)
+    if partition_by:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
+    df.write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
 
 
 def write_slices(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
