@@ -62,9 +62,13 @@ class SilverRun:
     artifacts: DataFrame
     members: list[dict] = field(default_factory=list)
     schemas: dict = field(default_factory=dict)
+    years: tuple[int, ...] | None = None
 
     def read(self, spark: SparkSession, dataset: str) -> DataFrame:
-        return spark.read.schema(self.schemas[dataset]).parquet(self.tables[dataset])
+        df = spark.read.schema(self.schemas[dataset]).parquet(self.tables[dataset])
+        if self.years is not None:  # a partition filter: only these year folders are listed/read
+            df = df.where(F.col("_pyear").isin(*self.years))
+        return df
 
 
 def _check_archives(archives: list, treatments: Mapping[int, Treatment]) -> None:
@@ -498,3 +502,30 @@ def run(spark: SparkSession, lake_root: str, years: Sequence[int] | None = None,
     gold = load_gold(spark, silver, f"{lake_root}/gold/{source}")
     P.publish(spark, f"{lake_root}/silver/{source}", run_dir)
     return {"silver_run": run_dir, "report": quality.report, "load": gold.results, "audit": gold.audit}
+
+
+def backfill(spark: SparkSession, lake_root: str, years: Sequence[int], source: str = SOURCE_NAME,
+             contracts: Mapping[str, Contract] = ELECTORAL_CONTRACTS) -> GoldRun:
+    """Manual load of the published silver run for ``years``.
+
+    Per year the quality report must exist and be valid (otherwise nothing is
+    loaded); the artifacts come from the silver manifests; only the silver
+    partitions of those years are read (partition pruning on the year).
+    """
+    run_dir = P.current_run(spark, f"{lake_root}/silver/{source}")
+    if run_dir is None:
+        raise PipelineError("no published silver run")
+    years = tuple(int(y) for y in years)
+    report = L.read_json(spark, f"{run_dir}/quality/report", "year int, valid boolean", years)
+    status = {r["year"]: r["valid"] for r in report.collect()}  # one row per requested year
+    missing = sorted(set(years) - set(status))
+    invalid = sorted(y for y, ok in status.items() if not ok)
+    if missing or invalid:
+        raise Q.GateClosed(f"quality report missing for {missing} or invalid for {invalid}")
+    manifest = L.read_json(spark, f"{run_dir}/silver_manifest", L.MANIFEST_SCHEMA, years)
+    artifacts = manifest.select("year", "kind", "archive", F.explode("artifacts").alias("a")).select(
+        "year", "kind", "archive", "a.*")
+    tables = {n: f"{run_dir}/silver/{n}" for n in contracts}
+    schemas = {n: spark.read.parquet(p).schema for n, p in tables.items()}
+    silver = SilverRun(run_dir, tables, artifacts, [], schemas, years)
+    return load_gold(spark, silver, f"{lake_root}/gold/{source}", contracts=contracts)
