@@ -47,12 +47,14 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
-def scan_archives(spark: SparkSession, root: str, year_key: str = "ano_eleicao") -> DataFrame:
+def scan_archives(spark: SparkSession, root: str, year_key: str = "ano_eleicao",
+                  provenance: DataFrame | None = None) -> DataFrame:
     """Bronze catalogue: one row per ``*.zip`` below ``root``.
 
     Uses the ``binaryFile`` source for listing only (``content`` is never
     selected, so archives are not read here).  The partition year comes from
-    the Hive-style ``{year_key}=YYYY`` path segment.
+    the Hive-style ``{year_key}=YYYY`` path segment.  ``provenance`` (one row
+    per year: source urls, ids, ...) is left-joined on the year.
     """
     files = (
         spark.read.format("binaryFile")
@@ -61,13 +63,14 @@ def scan_archives(spark: SparkSession, root: str, year_key: str = "ano_eleicao")
         .load(root)
         .select("path", "length", "modificationTime")
     )
-    return files.select(
+    catalogue = files.select(
         F.col("path").alias("archive"),
         F.regexp_extract("path", rf"{year_key}=([0-9]+)", 1).cast("int").alias("year"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified_at"),
     )
+    return catalogue if provenance is None else catalogue.join(provenance, "year", "left")
 
 
 def _strip_scheme(path: str) -> str:
