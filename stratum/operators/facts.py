@@ -135,15 +135,6 @@ def typed_projection(stage: DataFrame, types: dict[str, str]) -> DataFrame:
     return stage.select(*cols)
 
 
-@dataclass(frozen=True)
-class LoadResult:
-    """One artifact's load: rows staged, rows deleted from its slice, inserted."""
-
-    year: int
-    dataset: str
-    staged: int
-    deleted: int
-    inserted: int
 
 
 def audit_rows(results: DataFrame) -> DataFrame:
@@ -163,17 +154,3 @@ def audit_upsert(existing: DataFrame, incoming: DataFrame, key=("yr", "dataset")
     attrs = [c for c in incoming.columns if c not in key]
     return upsert(existing, incoming, list(key), attrs, fail_on_conflict=True)
 
-
-def load_results(previous: DataFrame, incoming: DataFrame, slice_cols=("yr", "dataset")) -> DataFrame:
-    """Per slice of ``incoming``: staged rows, rows the slice held before
-    (deleted by the replacement) and rows inserted.
-
-    ``previous`` / ``incoming`` carry the slice columns; counts come from
-    two aggregations and one join of the (small) per-slice counts.
-    """
-    s = list(slice_cols)
-    new = incoming.groupBy(*s).agg(F.count(F.lit(1)).alias("staged"))
-    old = previous.groupBy(*s).agg(F.count(F.lit(1)).alias("deleted"))
-    return new.join(old, s, "left").select(
-        *s, "staged", F.coalesce("deleted", F.lit(0)).alias("deleted"), F.col("staged").alias("inserted")
-    )

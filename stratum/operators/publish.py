@@ -11,7 +11,6 @@ over a path that the same plan reads.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from typing import Sequence
 
@@ -101,6 +100,3 @@ def current_run(spark: SparkSession, base: str) -> str | None:
         stream.close()
     return json.loads(text)["run"]
 
-
-def table_path(run_dir: str, name: str) -> str:
-    return os.path.join(run_dir, name) if "://" not in run_dir else f"{run_dir}/{name}"

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.functions.keys import surrogate_key
 from stratum.operators import dims as D
 from stratum.operators.facts import Lookup, resolve
 from stratum.operators.marts import DimJoin
@@ -37,13 +36,6 @@ def dim_location(geo: DataFrame) -> DataFrame:
     return D.with_surrogate(places, "location_id", ["yr", "lvl", "uf", "ue", "city"])
 
 
-def parent_fact(stage: DataFrame, party: DataFrame, gender: DataFrame, extra_keys=()) -> DataFrame:
-    """Fact rows: stage resolved to ids through the dimension lookups."""
-    lookups = [
-        Lookup(party, ("yr", "party_no"), "party_id"),
-        Lookup(gender, ("seg",), "gender_id", small=True),
-    ]
-    return resolve(stage, lookups)
 
 
 def star(spark: SparkSession, sf_dir: str, child: bool = False, location: bool = False) -> tuple[DataFrame, list[DimJoin], list[str]]:
@@ -95,4 +87,4 @@ def star(spark: SparkSession, sf_dir: str, child: bool = False, location: bool =
     return fact, joins, cols
 
 
-__all__ = ["star", "dim_party", "dim_value", "dim_location", "dim_election", "surrogate_key"]
+__all__ = ["star", "dim_party", "dim_value", "dim_location", "dim_election"]

@@ -32,7 +32,6 @@ from stratum.contracts import (
     Contract,
     Treatment,
 )
-from stratum.functions.keys import surrogate_key
 from stratum.operators import dims as D
 from stratum.operators import facts as FA
 from stratum.operators import publish as P

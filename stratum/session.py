@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,10 +64,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared checkpoint folder for a written intermediate."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
 
 
 def ensure_parallelism(df, min_partitions: int | None = None):
