@@ -169,24 +169,29 @@ def row_violations(df: DataFrame, rules: Sequence[RowRule], artifact: Column, re
 def duplicates_after_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every occurrence of a key after the first in ``order`` (nulls group together).
 
-    Skew-safe: per-key ``min(order)`` and count come from a partial+final
-    aggregation (a hot key costs one partial row per task), and only keys
-    seen more than once are joined back (AQE splits a skewed join
-    partition).  Rows equal to the first in every ``order`` column are
-    emitted ``copies - 1`` times, so the result is exact even when rows
-    repeat entirely.  ``order`` should be a total order of the rows.
+    Skew-safe and exact, in three aggregation-based steps (no window, so a
+    key holding a third of the rows never sorts in one task):
+
+    1. count rows per key with a hash aggregate (partial + final) and keep
+       the keys seen more than once;
+    2. semi-join the rows to those keys, so only rows of duplicated keys go on;
+    3. on that subset, find each key's first ``order`` tuple (``min``) and
+       emit the rows after it; rows equal to the first in every ``order``
+       column are emitted ``copies - 1`` times, so identical repeats are
+       counted exactly.  AQE splits a skewed join partition.
+
+    ``order`` should be a total order of the rows.
     """
     key, order = list(key), list(order)
+    dup_keys = (
+        df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*key).alias("k")
+    )
+    cand = df.alias("d").join(dup_keys, null_safe_condition("d", "k", tuple(key)), "left_semi")
     # one order column: plain min (hash aggregate); several: min of a struct
     ord_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    stats = (
-        df.groupBy(*key)
-        .agg(F.min(ord_struct).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-    )
-    d = df.withColumn("_ord", ord_struct).alias("d")
-    s = stats.alias("s")
-    joined = d.join(s, null_safe_condition("d", "s", tuple(key))).select("d.*", "s._first")
+    stats = cand.groupBy(*key).agg(F.min(ord_struct).alias("_first")).alias("s")
+    d = cand.withColumn("_ord", ord_struct).alias("c")
+    joined = d.join(stats, null_safe_condition("c", "s", tuple(key))).select("c.*", "s._first")
     later = joined.where(F.col("_ord") > F.col("_first")).drop("_ord", "_first")
     firsts = (
         joined.where(F.col("_ord") == F.col("_first"))
