@@ -78,6 +78,6 @@ def make_lake(archives: dict[int, bytes] | list[tuple[int, bytes]]) -> str:
         folder = os.path.join(root, "bronze", "fundo_eleitoral", f"ano_eleicao={year}", "raw")
         os.makedirs(folder, exist_ok=True)
         suffix = "" if i == 0 or isinstance(archives, dict) else f"_{i}"
-        with open(os.path.join(folder, f"fefc_fp_{year}{suffix}.zip"), "wb") as fh:
+        with open(os.path.join(folder, f"archive_{year}{suffix}.zip"), "wb") as fh:
             fh.write(data)
     return root
