@@ -17,9 +17,11 @@ from stratum.plans import tables as T
 
 
 def dim_election(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.raw_treatments(spark, sf_dir).select(
-        F.col("year").cast("smallint").alias("yr"), "kind"
-    )
+    """Election dimension: a declared seed table (one row per treated year),
+    as the warehouse seeds it -- not derived by scanning the data."""
+    rows = [(t.year, t.kind) for t in T.RAW_TREATMENTS]
+    return spark.createDataFrame(rows, "yr int, kind string").select(
+        F.col("yr").cast("smallint").alias("yr"), "kind")
 
 
 def dim_party(line: DataFrame) -> DataFrame:

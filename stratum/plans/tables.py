@@ -211,12 +211,6 @@ RAW_CONTRACT = Contract(
 )
 
 
-def raw_treatments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One treatment per order year (even / odd), derived from the data."""
-    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct()
-    return years.select(
-        "year", F.when(F.col("year") % 2 == 0, "even").otherwise("odd").alias("kind")
-    )
 
 
 # Declared treatments of the fixture (a config table, not data): even / odd.
