@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, decontaminate, licenses, secrets
+from stratum.llm import bpe, decontaminate, extract, licenses, quality, secrets, urls, warc
 from stratum.llm.common import scratch
 
 
@@ -23,11 +23,24 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     ledger = secrets.Ledger(spark, scratch(spark, "blob-ledger"))
@@ -45,14 +58,24 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.judged(_table(spark, sf_dir, "documents"), keep_cols=("doc_id",))
+    return rows.select("doc_id", *(F.col(f"_m.{c}") for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept")
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_html_extraction": op2_html_extraction,
+    "op4_url_filter": op4_url_filter,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
+    "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
 }
 
