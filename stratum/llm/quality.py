@@ -74,10 +74,10 @@ def _duplicate_lines(lines: Column) -> Column:
     return F.size(lines) - F.size(F.array_distinct(lines))
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_m``: ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
-    ``n_repeat_words``, ``n_lines`` (with a word) and ``n_upper`` (capital letters)."""
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+def measures(text: Column) -> Column:
+    """Of a text ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
+    ``n_lines`` (with a word) and ``n_upper`` (capital letters)."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
     with_words = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
 
     def of(words):
@@ -92,7 +92,7 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_upper"))
         return _let(with_words, and_lines)
 
-    return docs.withColumn("_m", _let(_words(text), of))
+    return _let(_words(text), of)
 
 
 def base_failed(m: Column) -> Column:
@@ -104,39 +104,40 @@ def _shares(m: Column) -> dict[str, Column]:
             "line_share": m["n_dup_lines"] / m["n_lines"], "word_length": m["word_chars"] / m["n_words"]}
 
 
-def thresholds(rows: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Of each group the largest share in line, for each share; texts that fail the base rules don't count."""
-    m = F.col("_m")
+def thresholds(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Of each group the largest share in line, for each share, from the measures ``m``; texts that
+    fail the base rules don't count."""
+    m = F.col("m")
     ranks = F.array(*map(F.lit, (0.25, 0.5, 0.75)))
-    sketched = rows.where(~base_failed(m)).groupBy(*group_cols).agg(
+    sketched = rows.where(~base_failed(m)).groupBy(*groups).agg(
         *(F.kll_sketch_agg_double(share, F.lit(SKETCH_K)).alias(name) for name, share in _shares(m).items()))
 
     def limit(name):
         return _let(F.kll_sketch_get_quantile_double(name, ranks), lambda q: F.greatest(
-            F.lit(FLOORS[name]), q[1] + SPREAD * (q[2] - q[0]))).alias(f"_most_{name}")
+            F.lit(FLOORS[name]), q[1] + SPREAD * (q[2] - q[0]))).alias(f"most_{name}")
 
-    return sketched.select(*group_cols, *map(limit, FLOORS))
+    return sketched.select(*(F.col(g).alias(f"of_{g}") for g in groups), *map(limit, FLOORS))
 
 
 def judged(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"),
            keep_cols: tuple[str, ...] | None = None) -> DataFrame:
-    """``docs`` (all columns, or ``keep_cols``) with ``_m``, ``base_failed`` and ``kept``."""
-    keep = list(docs.columns if keep_cols is None else keep_cols)
-    groups = [f"_group_{i}" for i in range(len(group_cols))]
-    rows = written(measured(docs, text_col).select(
-        *keep, *(docs[c].alias(g) for c, g in zip(group_cols, groups)), "_m"), "quality-measured")
-    limits = written(thresholds(rows, groups), "quality-thresholds").withColumnsRenamed({g: f"{g}_" for g in groups})
+    """``row`` (the document's columns, or ``keep_cols``, as a struct), its measures ``m``, ``base_failed`` and ``kept``."""
+    groups = [f"group_{i}" for i in range(len(group_cols))]
+    rows = written(docs.select(
+        F.struct(*(docs[c] for c in keep_cols or docs.columns)).alias("row"),
+        *(docs[c].alias(g) for c, g in zip(group_cols, groups)), measures(docs[text_col]).alias("m")), "quality-measures")
+    limits = written(thresholds(rows, groups), "quality-thresholds")
     same = F.lit(True)
     for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"{g}_"))
-    m = F.col("_m")
+        same = same & F.col(g).eqNullSafe(F.col(f"of_{g}"))
+    m = F.col("m")
     in_line = F.lit(True)
     for name, share in _shares(m).items():
-        in_line = in_line & F.coalesce(share <= F.col(f"_most_{name}"), F.lit(False))
+        in_line = in_line & F.coalesce(share <= F.col(f"most_{name}"), F.lit(False))
     return rows.join(limits, same, "left").select(
-        *keep, "_m", base_failed(m).alias("base_failed"), (~base_failed(m) & in_line).alias("kept"))
+        "row", "m", base_failed(m).alias("base_failed"), (~base_failed(m) & in_line).alias("kept"))
 
 
 def keep(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """``docs`` with its columns, without the texts that fail the base rules or lie out of line."""
-    return judged(docs, text_col, group_cols).where("kept").select(*docs.columns)
+    return judged(docs, text_col, group_cols).where("kept").select("row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, decontaminate, extract, licenses, quality, secrets, urls, warc
+from stratum.llm import bpe, decontaminate, extract, jaccard, licenses, quality, secrets, substrings, urls, warc
 from stratum.llm.common import scratch
 
 
@@ -27,10 +27,18 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(_table(spark, sf_dir, "documents"), words=3, share=90)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -60,7 +68,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(_table(spark, sf_dir, "documents"), keep_cols=("doc_id",))
-    return rows.select("doc_id", *(F.col(f"_m.{c}") for c in (
+    return rows.select("row.doc_id", *(F.col(f"m.{c}") for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept")
 
 
@@ -71,7 +79,9 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_html_extraction": op2_html_extraction,
+    "op3_substrings": op3_substrings,
     "op4_url_filter": op4_url_filter,
+    "op5_jaccard": op5_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,

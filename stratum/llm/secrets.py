@@ -112,27 +112,32 @@ def redact(docs: DataFrame, ledger: Ledger, text_col: str = "text", n_chars_col:
     """``docs`` with its columns, every span found replaced by ``mark`` (overlapping spans by one)
     and ``n_chars_col`` counted anew where the text changed; clean documents are left alone."""
     ledger.scan(docs, text_col, rule_version)
-    guilty = ledger.rows(rule_version).where(F.size("spans") > 0).withColumnsRenamed({"blob": "_blob", "spans": "_spans"})
-    joined = docs.withColumn("_blob", blob(docs[text_col])).join(guilty, "_blob", "left").drop("_blob")
-    at, names, columns = joined.columns.index(text_col), joined.columns, docs.columns
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+                       docs[text_col].cast("string").alias("text"), blob(docs[text_col]).alias("blob"))
+    joined = rows.join(ledger.rows(rule_version).where(F.size("spans") > 0), "blob", "left").select("row", "text", "spans")
 
     def masked(batches):
         for batch in slices(batches):
-            texts = batch.column(at).to_pylist()
-            for i, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                if spans:
-                    text, out, end = texts[i], [], -1
-                    for s in spans:
-                        if s["start"] >= end:
-                            out += [text[max(end, 0):s["start"]], mark]
-                        end = max(end, s["end"])
-                    texts[i] = "".join([*out, text[end:]])
-            arrays = batch.columns
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    clean = joined.where("_spans is null").select(*columns)
-    mended = joined.where("_spans is not null").mapInArrow(masked, joined.schema).select(*columns)
-    if n_chars_col in columns:
-        mended = mended.withColumn(n_chars_col, F.length(text_col).cast(docs.schema[n_chars_col].dataType))
-    return clean.unionByName(mended)
+            texts = batch.column(1).to_pylist()
+            for i, spans in enumerate(batch.column(2).to_pylist()):
+                text, out, end = texts[i], [], 0
+                for s in spans:
+                    if s["start"] >= end:
+                        out += [text[end:s["start"]], mark]
+                    end = max(end, s["end"])
+                texts[i] = "".join([*out, text[end:]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
+
+    def columns(new: bool):
+        for field in docs.schema:
+            if new and field.name == text_col:
+                yield F.col("text").alias(text_col)
+            elif new and field.name == n_chars_col:
+                yield F.length("text").cast(field.dataType).alias(n_chars_col)
+            else:
+                yield F.col("row").getField(field.name).alias(field.name)
+
+    clean = joined.where("spans is null").select(*columns(False))
+    schema = f"row {joined.schema['row'].dataType.simpleString()}, text string"
+    mended = joined.where("spans is not null").select("row", "text", "spans").mapInArrow(masked, schema)
+    return clean.unionByName(mended.select(*columns(True)))

@@ -226,7 +226,7 @@ def test_thresholds_adapt_to_their_group(spark):
     texts += [(100 + i, plain.replace(" ", " # ", i % 16), None, "code", 0) for i in range(60)]
     texts.append((999, rich, None, None, 0))
     docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r["doc_id"]: r["kept"] for r in rows(quality.judged(docs, keep_cols=("doc_id",)))}
+    got = {r["row"]["doc_id"]: r["kept"] for r in rows(quality.judged(docs, keep_cols=("doc_id",)))}
     assert all(v for k, v in got.items() if k != 999) and not got[999]
     kept = quality.keep(docs)
     assert kept.columns == docs.columns and kept.count() == len(texts) - 1
