@@ -11,7 +11,6 @@ Layout
 ``operators``  silver typing, the quality rule engine, generic validations,
                dimensions, facts, marts and publishing.
 ``plans``      the end-to-end pipeline and adapters over the test tables.
-``streaming``  intentionally empty (the workload is a daily batch).
 """
 
 from stratum.contracts import Contract, Treatment  # noqa: F401

@@ -27,10 +27,12 @@ def surrogate_key(*cols: Column | str) -> Column:
     """Stable 64-bit id from the natural key columns (xxhash64).
 
     Deterministic across runs and executors, so no sequence, no driver-side
-    counter and no shuffle is needed; uniqueness is verified separately with
-    :func:`stratum.operators.dims.check_surrogate_keys`.
+    counter and no shuffle is needed.  The hash passes over nulls, so each
+    part goes in with a mark of whether it is null.  Uniqueness is verified
+    with :func:`stratum.operators.dims.check_surrogate_keys`.
     """
-    return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
+    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return F.xxhash64(*[x for p in parts for x in (p.isNull(), p)])
 
 
 def null_safe_condition(left, right, columns: tuple[str, ...]) -> Column:

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.keys import natural_key, null_safe_condition, surrogate_key
+from stratum.functions.keys import null_safe_condition, surrogate_key
 
 
 class DimensionConflict(ValueError):
@@ -32,23 +32,14 @@ def with_surrogate(df: DataFrame, id_col: str, key: Sequence[str]) -> DataFrame:
 def conflicts(df: DataFrame, key: Sequence[str], attr: str) -> DataFrame:
     """Natural keys that received more than one attribute value.
 
-    Output per conflicting key: the exact number of distinct values and the
-    smallest and largest of them (a bounded witness pair -- never the full
-    value list, which a pathological key could make unbounded).  Rows are
-    reduced to distinct (key, value) pairs first, then counted per key, both
-    with map-side partial aggregation.
+    One row per conflicting key and distinct value, with the key's number of
+    values.  Rows are reduced to distinct pairs first, then counted per key,
+    both with map-side partial aggregation; the counts join the pairs back.
     """
-    return (
-        df.select(*key, attr)
-        .distinct()
-        .groupBy(*key)
-        .agg(
-            F.count(F.lit(1)).alias("n_values"),
-            F.min(attr).alias("first_value"),
-            F.max(attr).alias("last_value"),
-        )
-        .where(F.col("n_values") > 1)
-    )
+    pairs = df.select(*key, attr).distinct()
+    many = pairs.groupBy(*key).agg(F.count(F.lit(1)).alias("n_values")).where(F.col("n_values") > 1)
+    cond = null_safe_condition("p", "m", tuple(key))
+    return pairs.alias("p").join(many.alias("m"), cond).select("p.*", "m.n_values")
 
 
 def resolve_last_writer(df: DataFrame, key: Sequence[str], attr: str, order_col: str) -> DataFrame:
@@ -77,10 +68,10 @@ def upsert(
     """
     incoming = incoming.select(*key, *attrs).distinct()
     if fail_on_conflict:
-        for attr in attrs:
-            bad = conflicts(incoming, key, attr).limit(1).collect()
-            if bad:
-                raise DimensionConflict(f"conflicting {attr} for key {bad[0].asDict()}")
+        # the rows are distinct, so a key that comes twice differs in some attribute
+        bad = duplicate_keys(incoming, key).first()
+        if bad:
+            raise DimensionConflict(f"conflicting {', '.join(attrs)} for key {bad.asDict()}")
     e = existing.alias("e")
     n = incoming.withColumn("__incoming", F.lit(True)).alias("n")
     cond = null_safe_condition("e", "n", tuple(key))
@@ -104,11 +95,6 @@ def insert_absent(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
     return existing.unionByName(absent)
 
 
-def location_key(df: DataFrame, year: str, level: str, parts: Sequence[str]) -> Column:
-    """Stored location key ``year|level|uf|ue|city`` (uf trimmed, nulls empty)."""
-    return natural_key(year, level, *parts, trim_first=(2,))
-
-
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys appearing more than once, with their count (nulls equal)."""
     return (
@@ -119,8 +105,10 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def check_surrogate_keys(dim: DataFrame, id_col: str, key: Sequence[str]) -> DataFrame:
-    """One row: distinct natural keys, distinct ids, and whether they agree."""
-    return dim.agg(
-        F.count_distinct(F.struct(*key)).alias("n_keys"),
-        F.count_distinct(id_col).alias("n_ids"),
-    ).withColumn("collision_free", F.col("n_keys") == F.col("n_ids"))
+    """One row: distinct natural keys (nulls equal), distinct ids, and whether they agree."""
+    pairs = dim.select(F.struct(*key).alias("_key"), F.col(id_col).alias("_id")).distinct()
+    return pairs.agg(
+        F.count_distinct("_key").alias("n_keys"),
+        F.count_distinct("_id").alias("n_ids"),
+        F.count(F.lit(1)).alias("_pairs"),
+    ).select("n_keys", "n_ids", ((F.col("n_keys") == F.col("_pairs")) & (F.col("n_ids") == F.col("_pairs"))).alias("collision_free"))

@@ -58,12 +58,13 @@ def reconcile(stage: DataFrame, loaded: DataFrame, key: Sequence[str]) -> DataFr
     """Staged vs loaded rows for one load: staged, matched, lost, fanned out.
 
     ``loaded`` carries the stage key; a staged key matched k times contributes
-    k-1 fanned-out rows, an unmatched one is lost.  One aggregation per side,
-    one join on the (already aggregated) key counts.
+    k-1 fanned-out rows, an unmatched one is lost.  Both sides are counted per
+    key in one aggregate (map-side partial), so there is one shuffle of counts
+    and no join.
     """
-    s = stage.groupBy(*key).agg(F.count(F.lit(1)).alias("s_n")).alias("s")
-    l_ = loaded.groupBy(*key).agg(F.count(F.lit(1)).alias("l_n")).alias("l")
-    j = s.join(l_, null_safe_condition("s", "l", tuple(key)), "left")
+    sides = stage.select(*key, F.lit(1).alias("_s"), F.lit(0).alias("_l")).unionByName(
+        loaded.select(*key, F.lit(0).alias("_s"), F.lit(1).alias("_l")))
+    j = sides.groupBy(*key).agg(F.sum("_s").alias("s_n"), F.nullif(F.sum("_l"), F.lit(0)).alias("l_n")).where("s_n > 0")
     l_n = F.coalesce(F.col("l_n"), F.lit(0))
     return j.agg(
         F.sum("s_n").cast("bigint").alias("staged"),
@@ -93,16 +94,8 @@ def check_violations(df: DataFrame, checks: dict[str, Column], id_cols: Sequence
     ``coalesce(pred, true)`` is false.  All predicates are evaluated in one
     projection and exploded once.
     """
-    names = list(checks)
-    flags = F.filter(
-        F.array(*[F.when(~F.coalesce(checks[n], F.lit(True)), F.lit(n)) for n in names]),
-        lambda x: x.isNotNull(),
-    )
-    return (
-        df.select(*id_cols, flags.alias("_rules"))
-        .where(F.size("_rules") > 0)
-        .select(*id_cols, F.explode("_rules").alias("rule"))
-    )
+    broken = F.array(*[F.when(~F.coalesce(check, F.lit(True)), F.lit(name)) for name, check in checks.items()])
+    return df.select(*id_cols, F.explode(broken).alias("rule")).where("rule is not null")
 
 
 def replace_slices(current: DataFrame, incoming: DataFrame, slice_cols: Sequence[str]) -> DataFrame:
@@ -138,12 +131,15 @@ def typed_projection(stage: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def audit_rows(results: DataFrame) -> DataFrame:
-    """Audit table rows from load results ``(yr, dataset, staged, deleted, inserted)``."""
+    """Audit table rows from load results ``(yr, dataset, staged, deleted, inserted)``; where the
+    results name the ``source_member``, the ``output_key`` or the time ``loaded_at``, so do the rows."""
     return results.select(
         "yr", "dataset",
+        *[c for c in ("source_member", "output_key") if c in results.columns],
         F.col("staged").cast("bigint").alias("source_rows"),
         F.col("deleted").cast("bigint").alias("deleted_rows"),
         F.col("inserted").cast("bigint").alias("inserted_rows"),
+        *[c for c in ("loaded_at",) if c in results.columns],
     )
 
 
@@ -153,4 +149,3 @@ def audit_upsert(existing: DataFrame, incoming: DataFrame, key=("yr", "dataset")
 
     attrs = [c for c in incoming.columns if c not in key]
     return upsert(existing, incoming, list(key), attrs, fail_on_conflict=True)
-

@@ -28,18 +28,15 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite",
-                      fmt: str = "parquet", salt_buckets: int = 8) -> None:
+                      fmt: str = "parquet") -> None:
     """Hive-style partitioned write (``year=2024/...``).
 
-    Rows are clustered by the partition columns so a task writes few files
-    per partition -- plus a deterministic salt (a hash of the whole row
-    modulo ``salt_buckets``), so one partition holding a third of the rows
-    is written by several tasks instead of one.  The hash is stable, so a
-    retried task rewrites exactly the same rows.
+    Rows are dealt by the partition columns with a rebalance hint: adaptive
+    execution sizes the tasks by bytes, so small slices share a file's task
+    and a slice with a third of the rows is split over as many as it needs.
     """
     if partition_by:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-        df = df.repartition(*[F.col(c) for c in partition_by], salt)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
 
 
@@ -47,8 +44,8 @@ def write_slices(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
     """Replace exactly the slices present in ``df`` (dynamic partition overwrite).
 
     Other slices stay untouched.  A slice that became *empty* is not in
-    ``df`` and therefore not replaced: callers replacing by manifest must
-    write those slices explicitly (see :func:`drop_slices`).
+    ``df`` and therefore not replaced; a load that may withdraw slices writes
+    the table to its run folder instead.
     """
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -59,37 +56,38 @@ def write_slices(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def drop_slices(spark: SparkSession, path: str, slices: Sequence[dict]) -> int:
-    """Delete whole slice folders (``k=v/...``) that a new manifest withdrew."""
-    removed = 0
-    for s in slices:
-        sub = "/".join(f"{k}={v}" for k, v in s.items())
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{sub}")
-        if fs.exists(p):
-            fs.delete(p, True)
-            removed += 1
-    return removed
-
-
 def new_run(base: str) -> str:
     """A fresh run folder below ``base`` (never reused, never overwritten)."""
     return f"{base.rstrip('/')}/run={uuid.uuid4().hex}"
 
 
 def publish(spark: SparkSession, base: str, run_dir: str, meta: dict | None = None) -> None:
-    """Point readers at ``run_dir``: write the pointer to a temp name, rename."""
+    """Point readers at ``run_dir``: write the pointer to a temp name, then rename over the old one.
+
+    The rename replaces the pointer in one step, so a reader sees the old run
+    or the new one, and a crash leaves either.
+    """
     fs, ptr = _fs(spark, f"{base.rstrip('/')}/{POINTER}")
     _, tmp = _fs(spark, f"{base.rstrip('/')}/.{POINTER}.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(json.dumps({"run": run_dir, **(meta or {})}).encode("utf-8")))
     out.close()
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+    _replace(spark, fs, tmp, ptr)
 
 
-def current_run(spark: SparkSession, base: str) -> str | None:
-    """The published run folder, or None before the first publish."""
+def _replace(spark: SparkSession, fs, source, target) -> None:
+    """Rename over an existing file in one step."""
+    jvm = spark.sparkContext._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(source), fs.makeQualified(target), options)
+
+
+def pointer(spark: SparkSession, base: str) -> dict | None:
+    """What the pointer file says, or None before the first publish."""
     fs, ptr = _fs(spark, f"{base.rstrip('/')}/{POINTER}")
     if not fs.exists(ptr):
         return None
@@ -98,5 +96,10 @@ def current_run(spark: SparkSession, base: str) -> str | None:
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return json.loads(text)["run"]
+    return json.loads(text)
 
+
+def current_run(spark: SparkSession, base: str) -> str | None:
+    """The published run folder, or None before the first publish."""
+    found = pointer(spark, base)
+    return found["run"] if found else None

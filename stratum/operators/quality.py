@@ -169,40 +169,34 @@ def row_violations(df: DataFrame, rules: Sequence[RowRule], artifact: Column, re
 def duplicates_after_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every occurrence of a key after the first in ``order`` (nulls group together).
 
-    Skew-safe and exact, in three aggregation-based steps (no window, so a
-    key holding a third of the rows never sorts in one task):
-
-    1. count rows per key with a hash aggregate (partial + final) and keep
-       the keys seen more than once;
-    2. semi-join the rows to those keys, so only rows of duplicated keys go on;
-    3. on that subset, find each key's first ``order`` tuple (``min``) and
-       emit the rows after it; rows equal to the first in every ``order``
-       column are emitted ``copies - 1`` times, so identical repeats are
-       counted exactly.  AQE splits a skewed join partition.
+    1. Equal rows are counted in one hash aggregate (map-side partial), so
+       copies of a row, however many, are one row from here on.
+    2. Each key's number of rows and first ``order`` tuple come from the
+       counted rows, again with a partial aggregate: a key with a third of
+       all rows never gathers them in one task.
+    3. Counted rows of keys seen twice or more are joined to that and dealt
+       out once for each copy, the first one less.  The counted rows are
+       spread by a hash of the whole row first and joined on a key that holds
+       a salt, so a hot key's rows stay in as many tasks as the salt has values.
 
     ``order`` should be a total order of the rows.
     """
     key, order = list(key), list(order)
-    dup_keys = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*key).alias("k")
-    )
-    cand = df.alias("d").join(dup_keys, null_safe_condition("d", "k", tuple(key)), "left_semi")
-    # one order column: plain min (hash aggregate); several: min of a struct
-    ord_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    stats = cand.groupBy(*key).agg(F.min(ord_struct).alias("_first")).alias("s")
-    d = cand.withColumn("_ord", ord_struct).alias("c")
-    joined = d.join(stats, null_safe_condition("c", "s", tuple(key))).select("c.*", "s._first")
-    later = joined.where(F.col("_ord") > F.col("_first")).drop("_ord", "_first")
-    firsts = (
-        joined.where(F.col("_ord") == F.col("_first"))
-        .drop("_ord", "_first")
-        .groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .where(F.col("_copies") > 1)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("_copies"))))
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = counted.withColumn("_at", F.struct(*order))
+    keys = counted.groupBy(*key).agg(F.sum("_copies").alias("_rows"), F.min("_at").alias("_first")) \
+        .where(F.col("_rows") > 1)
+    salts = df.sparkSession.sparkContext.defaultParallelism
+    salted = counted.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    spread = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cond = null_safe_condition("c", "k", (*key, "_salt"))
+    later = F.when(F.col("c._at") == F.col("k._first"), F.col("c._copies") - 1).otherwise(F.col("c._copies"))
+    return (
+        salted.alias("c").join(spread.alias("k"), cond).select("c.*", later.alias("_later"))
+        .where("_later > 0")
+        .withColumn("_later", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_later"))))
         .select(*df.columns)
     )
-    return later.unionByName(firsts)
 
 
 def duplicate_issues(
@@ -257,26 +251,38 @@ def row_count_issues(observed: DataFrame, expected: DataFrame) -> DataFrame:
     return bad.select(*table_issue(F.col("artifact"), "row_count_integrity", msg, F.lit(1)))
 
 
-def completeness(artifacts: DataFrame, expected_datasets: Sequence[str], year_col: str = "yr",
-                 dataset_col: str = "dataset") -> DataFrame:
-    """Per year: missing and duplicated datasets (sorted, comma-joined) and
-    ``n_issues = #missing + #duplicated`` (the ``artifact_integrity`` count).
+def completeness(artifacts: DataFrame, expected_datasets: Sequence[str] | Mapping[int, Sequence[str]],
+                 year_col: str = "yr", dataset_col: str = "dataset") -> DataFrame:
+    """Per year: missing, duplicated and extra datasets (sorted, comma-joined)
+    and ``n_issues = #missing + #duplicated`` (the ``artifact_integrity`` count).
+
+    The datasets expected are the same for every year that has an artifact, or
+    declared year by year; then a declared year without any artifact lacks all.
     """
+    kind = dict(artifacts.dtypes)[year_col]
+    if isinstance(expected_datasets, Mapping):
+        rows = [(int(y), d) for y, datasets in expected_datasets.items() for d in datasets]
+        due = artifacts.sparkSession.createDataFrame(rows, f"{year_col} int, {dataset_col} string")
+    else:
+        names = F.explode(F.array(*[F.lit(d) for d in expected_datasets]))
+        due = artifacts.select(year_col).distinct().select(year_col, names.alias(dataset_col))
+    due = due.select(F.col(year_col).cast(kind), dataset_col, F.lit(True).alias("_due"))
     counts = artifacts.groupBy(year_col, dataset_col).agg(F.count(F.lit(1)).alias("_c"))
-    per_year = counts.groupBy(year_col).agg(
-        F.collect_set(dataset_col).alias("_present"),
-        F.sort_array(F.collect_list(F.when(F.col("_c") > 1, F.col(dataset_col)))).alias("_dup"),
-        F.sort_array(F.collect_list(
-            F.when(~F.col(dataset_col).isin(*expected_datasets), F.col(dataset_col)))).alias("_extra"),
+
+    def names_where(cond: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(cond, F.col(dataset_col))))
+
+    per_year = counts.join(due, [year_col, dataset_col], "full_outer").groupBy(year_col).agg(
+        names_where(F.col("_c").isNull()).alias("_missing"),
+        names_where(F.col("_c") > 1).alias("_dup"),
+        names_where(F.col("_due").isNull()).alias("_extra"),
     )
-    exp = F.array(*[F.lit(x) for x in sorted(expected_datasets)])
-    missing = F.array_sort(F.array_except(exp, F.col("_present")))
     return per_year.select(
         year_col,
-        F.array_join(missing, ",").alias("missing"),
+        F.array_join("_missing", ",").alias("missing"),
         F.array_join("_dup", ",").alias("duplicated"),
         F.array_join("_extra", ",").alias("extra"),
-        (F.size(missing) + F.size("_dup")).cast("bigint").alias("n_issues"),
+        (F.size("_missing") + F.size("_dup")).cast("bigint").alias("n_issues"),
     )
 
 
@@ -318,47 +324,56 @@ def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return agg.unpivot(list(by), list(columns), "column", "n").where(F.col("n") > 0)
 
 
-def rollup(issues: DataFrame, rows: DataFrame) -> DataFrame:
-    """Issue counts per (artifact, rule, severity, column).
+def rollup(issues: DataFrame, rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Issue counts per (``by``, artifact, rule, severity, column).
 
-    ``rows``: (artifact, rows).  rate = round(n / rows, 6), 1.0 without rows;
-    message = the message of the first record (table issues: any).
+    ``rows``: (``by``, artifact, rows), for an artifact the rows it has, for
+    a pair of files the parents they share.  rate = round(n / rows, 6), 1.0
+    without rows; message = the message of the first record (table issues: any).
     """
-    g = issues.groupBy("artifact", "rule", "severity", "column").agg(
+    g = issues.groupBy(*by, "artifact", "rule", "severity", "column").agg(
         F.sum("n").cast("bigint").alias("n"),
         F.coalesce(F.min_by("message", "record_no"), F.min("message")).alias("message"),
     )
-    j = g.join(rows, "artifact", "left").fillna(0, ["rows"])
-    return j.select("artifact", "rule", "severity", "column", "n", C.rate("n", "rows").alias("rate"), "message")
+    j = g.join(rows, [*by, "artifact"], "left").fillna(0, ["rows"])
+    return j.select(*by, "artifact", "rule", "severity", "column", "n", C.rate("n", "rows").alias("rate"), "message")
 
 
-def samples(issues: DataFrame, k: int = MAX_SAMPLES) -> DataFrame:
-    """First ``k`` record numbers per (artifact, rule, column) in record order.
+def samples(issues: DataFrame, k: int = MAX_SAMPLES, by: Sequence[str] = ()) -> DataFrame:
+    """First ``k`` record numbers per (``by``, artifact, rule, column) in record order.
 
     ``row_number() <= k`` is planned with a partial ``WindowGroupLimit``
     before the shuffle, so a rule firing on every row ships only k rows per
     task for its group.
     """
-    w = Window.partitionBy("artifact", "rule", "column").orderBy("record_no")
+    group = [*by, "artifact", "rule", "column"]
+    w = Window.partitionBy(*group).orderBy("record_no")
     return (
         issues.where(F.col("record_no").isNotNull())
         .withColumn("position", F.row_number().over(w))
         .where(F.col("position") <= k)
-        .select("artifact", "rule", "column", F.col("position").cast("bigint").alias("position"), "record_no")
+        .select(*group, F.col("position").cast("bigint").alias("position"), "record_no")
     )
 
 
-def profiles(issues: DataFrame, artifacts: DataFrame) -> DataFrame:
+def profiles(issues: DataFrame, artifacts: DataFrame, by: Sequence[str] = (),
+             nulls: DataFrame | None = None) -> DataFrame:
     """Per artifact: expected and observed rows, duplicates, errors, warnings.
 
-    ``artifacts``: (artifact, expected_rows, rows).
+    ``artifacts``: (``by``, artifact, expected_rows, rows).  ``nulls``
+    (``by``, artifact, column, n) adds the map ``null_counts``.
     """
-    sums = issues.groupBy("artifact").agg(
+    key = [*by, "artifact"]
+    sums = issues.groupBy(*key).agg(
         F.sum(F.when(F.col("rule") == "duplicate_grain", F.col("n")).otherwise(0)).cast("bigint").alias("duplicates"),
         F.sum(F.when(F.col("severity") == ERROR, F.col("n")).otherwise(0)).cast("bigint").alias("errors"),
         F.sum(F.when(F.col("severity") == WARNING, F.col("n")).otherwise(0)).cast("bigint").alias("warnings"),
     )
-    return artifacts.join(sums, "artifact", "left").fillna(0, ["duplicates", "errors", "warnings"])
+    out = artifacts.join(sums, key, "left").fillna(0, ["duplicates", "errors", "warnings"])
+    if nulls is None:
+        return out
+    counts = nulls.groupBy(*key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "n")))).alias("null_counts"))
+    return out.join(counts, key, "left")
 
 
 def report(issues: DataFrame, artifacts: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -384,7 +399,7 @@ class GateClosed(RuntimeError):
 
 def gate(report_df: DataFrame, group: Sequence[str]) -> DataFrame:
     """Pass-through of valid groups; raises when any requested group is invalid."""
-    bad = report_df.where(~F.col("valid")).select(*group).limit(20).collect()
+    bad = report_df.where(~F.col("valid")).select(*group).collect()  # one row per group of artifacts
     if bad:
         raise GateClosed(f"quality report invalid for {[r.asDict() for r in bad]}")
     return report_df

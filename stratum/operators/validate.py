@@ -7,7 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, NumericType
 
 from stratum.operators.quality import duplicates_after_first
 from stratum.session import maybe_broadcast
@@ -18,28 +18,30 @@ class ValidationError(ValueError):
 
 
 def ensure_not_empty(df: DataFrame, allow_empty: bool = False) -> None:
-    """Raise on an empty frame (a ``limit 1`` job, not a count)."""
+    """Refuse a frame without rows, unless it may be empty; one row is looked for, none are counted."""
     if not allow_empty and df.isEmpty():
-        raise ValidationError("the record set is empty")
+        raise ValidationError("there are no records to validate")
 
 
 def positive_field_violations(df: DataFrame, fields: Sequence[str], id_cols: Sequence[str]) -> DataFrame:
     """Every (record, field) whose value is not a number greater than zero.
 
-    A non-numeric column (text, boolean) fails on every row, a null fails, a
-    value <= 0 fails.  Output: ids, field, value as text; ordered by ids.
+    A column that is neither integer nor floating point (text, boolean,
+    decimal) fails on every row, a null fails, a value <= 0 fails.  Output:
+    ids, field, the value received as text, and a message; ordered by ids.
+    All fields are judged in one projection and exploded once.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for field in fields:
-        numeric = isinstance(types[field], NumericType)
+
+    def finding(field: str):
+        numeric = isinstance(types[field], NumericType) and not isinstance(types[field], DecimalType)
         bad = ~F.coalesce(F.col(field) > 0, F.lit(False)) if numeric else F.lit(True)
-        value = F.col(field).cast("double") if numeric else F.lit(None).cast("double")
-        parts.append(df.where(bad).select(*id_cols, F.lit(field).alias("field"), value.alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy(*id_cols, "field")
+        text = F.col(field).cast("string")
+        said = F.concat(F.lit(f"{field} must be a number above zero, not "), F.coalesce(text, F.lit("null")))
+        return F.when(bad, F.struct(F.lit(field).alias("field"), text.alias("value"), said.alias("message")))
+
+    found = df.select(*id_cols, F.explode(F.array(*map(finding, fields))).alias("v")).where("v is not null")
+    return found.select(*id_cols, "v.*").orderBy(*id_cols, "field")
 
 
 def find_duplicate_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -66,7 +68,7 @@ def validate_records(
     order: Sequence[str] = (),
     allow_empty: bool = False,
 ) -> DataFrame:
-    """One-row report: valid, record_count, duplicate_count, missing_fields.
+    """One-row report: valid, record_count, duplicate_count, missing_fields, messages.
 
     A field is missing when any record has it null or empty (whitespace is
     not empty).  Duplicates are rows after the first per unique key, so
@@ -103,6 +105,10 @@ def validate_records(
          | (F.lit(allow_empty) & (F.col("record_count") == 0))).alias("valid"),
         "record_count", "duplicate_count",
         F.array_join("_missing", ",").alias("missing_fields"),
+        F.concat_ws("; ",
+                    F.transform("_missing", lambda c: F.concat(F.lit("required field "), c, F.lit(" is missing or empty"))),
+                    F.when(F.col("duplicate_count") > 0,
+                           F.concat(F.col("duplicate_count").cast("string"), F.lit(" rows repeat a key")))).alias("messages"),
         (F.size("_missing") + F.when(F.col("duplicate_count") > 0, 1).otherwise(0)).cast("bigint").alias("n_messages"),
     )
     return out

@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import maybe_broadcast
+from stratum.session import written_once
 
 from stratum.functions.keys import surrogate_key
 from stratum.operators import marts as M
@@ -35,14 +35,15 @@ def query(fn: Query) -> Query:
 def total_by_year_party_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: total amount by year, party name and segment over the star.
 
-    The fact is pre-aggregated on its foreign keys before it meets the
-    dimensions, then re-aggregated on the attributes.
+    The detail rows are read once and added up to the grain of the fact's
+    keys; fact and dimensions come from that reduced stage, and the result is
+    re-aggregated on the attributes.
     """
-    line = T.v_line(spark, sf_dir)
-    party = GF.dim_party(line)
-    gender = GF.dim_value(line, "seg", "gender_id")
-    election = GF.dim_election(spark, sf_dir)
-    fact = line.select(
+    stage = written_once(GF.party_segment_totals(spark, sf_dir), "flagship-stage")
+    party = GF.dim_party(stage)
+    gender = GF.dim_value(stage, "seg", "gender_id")
+    election = GF.dim_election(stage)
+    fact = stage.select(
         "yr",
         surrogate_key("yr", "party_no").alias("party_id"),
         surrogate_key("seg").alias("gender_id"),
@@ -121,11 +122,12 @@ SOURCE = "fixture"
 
 @query
 def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned value and null flag of every raw text cell (long form)."""
+    """Cleaned value, its upper-case category and null flag of every raw text cell (long form)."""
     raw = T.v_raw(spark, sf_dir)
     long = raw.unpivot(["k"], list(RAW_TEXT), "column", "raw")
     cleaned = C.clean_text("raw")
-    return long.select("k", "column", cleaned.alias("cleaned"), cleaned.isNull().alias("is_null"))
+    return long.select("k", "column", cleaned.alias("cleaned"), C.clean_category("raw").alias("category"),
+                       cleaned.isNull().alias("is_null"))
 
 
 @query
@@ -250,7 +252,7 @@ def _row_rule_query(spark: SparkSession, sf_dir: str, rules: set[str]) -> DataFr
 
 @query
 def quality_required(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _row_rule_query(spark, sf_dir, {"required_not_null"})
+    return _row_rule_query(spark, sf_dir, {"required_not_null", "source_numeric_null"})
 
 
 @query
@@ -410,9 +412,12 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Party names of years up to 1998 as the dimension; later years rename
     (lower-case) and add parties; type-1 upsert keyed by party number."""
     line = T.v_line(spark, sf_dir)
-    existing = line.where(F.col("yr") <= 1998).select("party_no", "party_name").distinct()
-    incoming = line.where(F.col("yr") >= 1998).select("party_no", F.lower("party_name").alias("party_name"))
-    return D.upsert(existing, incoming, ["party_no"], ["party_name"])
+    parties = written_once(line.groupBy("yr", "party_no", "party_name").agg(F.count(F.lit(1)).alias("n")), "parties")
+    existing = parties.where(F.col("yr") <= 1998).select(
+        "party_no", "party_name", (-F.col("party_no")).alias("party_id")).distinct()
+    incoming = parties.where(F.col("yr") >= 1998).select("party_no", F.lower("party_name").alias("party_name"))
+    out = D.upsert(existing, incoming, ["party_no"], ["party_name"], id_col="party_id")
+    return out.select("party_no", "party_name", (F.col("party_id") == -F.col("party_no")).alias("id_kept"))
 
 
 @query
@@ -421,9 +426,7 @@ def dim_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = F.when((F.col("party_no") % 10 == 3) & (F.col("seg") == "A"),
                      F.concat("party_name", F.lit("*"))).otherwise(F.col("party_name"))
     stage = parent.withColumn("party_name", renamed)
-    found = D.conflicts(stage, ["yr", "party_no"], "party_name")
-    return found.select("yr", "party_no", F.col("n_values").cast("bigint").alias("n_values"),
-                        F.concat_ws(",", "first_value", "last_value").alias("names"))
+    return D.conflicts(stage, ["yr", "party_no"], "party_name")
 
 
 @query
@@ -448,20 +451,28 @@ def location_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.select(natural_key("yr", "lvl", "uf", "ue", "city", trim_first=(2,)).alias("location_key"))
 
 
+def _swapped(geo: DataFrame) -> DataFrame:
+    """The same rows with state and unit exchanged, so that places differ only in which part is null."""
+    return geo.withColumns({"uf": F.col("ue"), "ue": F.col("uf")})
+
+
 @query
 def location_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail rows joined to the location dimension null-safely, per level."""
     geo = T.v_geo(spark, sf_dir)
+    geo = geo.unionByName(_swapped(geo))
     places = D.with_surrogate(D.distinct_keys(geo, PLACE), "location_id", PLACE)
     joined = FA.resolve(geo, [FA.Lookup(places, tuple(PLACE), "location_id", null_safe=True)])
     return joined.groupBy("lvl").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("total")
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("total"),
+        F.count_distinct("location_id").alias("places"),
     )
 
 
 @query
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = D.with_surrogate(D.distinct_keys(T.v_geo(spark, sf_dir), PLACE), "location_id", PLACE)
+    geo = T.v_geo(spark, sf_dir).select(*PLACE)
+    places = D.with_surrogate(D.distinct_keys(geo.unionByName(_swapped(geo)), PLACE), "location_id", PLACE)
     return D.check_surrogate_keys(places, "location_id", PLACE)
 
 
@@ -526,14 +537,13 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parent stage resolved through party and segment dimensions; ids are
-    resolved back to natural keys for comparison."""
-    fact, joins, _ = GF.star(spark, sf_dir)
-    party = joins[1].dim
-    gender = joins[2].dim
-    return fact.join(party, ["party_id", "yr"]).join(gender, "gender_id").select(
-        "yr", "party_no", "seg", "qty", "amount"
-    )
+    """Child stage with places, resolved through the party, segment, sub-segment
+    and location dimensions, typed from text by casts that fail on bad values;
+    ids are resolved back to natural keys for comparison."""
+    fact, joins, _ = GF.star(spark, sf_dir, child=True, location=True)
+    text = fact.select(*[F.col(c).cast("string") for c in fact.columns])
+    typed = FA.typed_projection(text, dict(fact.dtypes))
+    return M.star_view(typed, joins, ["yr", "party_no", "lvl", "uf", "ue", "city", "seg", "subseg", "qty", "amount"])
 
 
 @query
@@ -586,7 +596,8 @@ def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gated_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parent rows of the years whose artifact report is valid."""
-    arts = T.v_artifact(spark, sf_dir).withColumn(
+    family = T.parent_and_child(spark, sf_dir)
+    arts = T.v_artifact(spark, sf_dir, family).withColumn(
         "artifact", F.concat_ws("_", "dataset", F.col("yr").cast("string")))
     rc = Q.row_count_issues(arts.select("artifact", F.col("observed").alias("rows")),
                             arts.select("artifact", F.col("expected").alias("expected_rows")).distinct())
@@ -596,22 +607,22 @@ def gated_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues = rc.select("yr", "severity", "n").unionByName(comp)
     report = Q.report(issues, arts.select("yr", F.col("observed").alias("rows")), ["yr"])
     valid = report.where("valid").select("yr")
-    return T.v_parent(spark, sf_dir).join(maybe_broadcast(valid), "yr", "left_semi")
+    return family[0].join(valid, "yr", "left_semi")
 
 
-# ------------------------------------------------------- manifests (no oracle)
+# -------------------------------------------------------------------- manifests
 
 
 @query
 def json_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON manifest document per year from the artifact table.
-
-    No SQL oracle: JSON text formatting differs between engines; the
-    driver records a rows-only check (one row per year).
-    """
+    """One JSON manifest document per year from the artifact table, decoded again."""
     arts = T.v_artifact(spark, sf_dir)
     per_year = arts.groupBy("yr").agg(
         F.sum("observed").cast("bigint").alias("row_count"),
         F.sort_array(F.collect_list(F.struct("dataset", "observed", "expected"))).alias("artifacts"),
     )
-    return per_year.select("yr", F.to_json(F.struct("yr", "row_count", "artifacts")).alias("manifest"))
+    encoded = per_year.select(F.to_json(F.struct("yr", "row_count", "artifacts")).alias("manifest"))
+    schema = ("yr smallint, row_count bigint, "
+              "artifacts array<struct<dataset:string,observed:bigint,expected:bigint>>")
+    decoded = encoded.select(F.from_json("manifest", schema).alias("m"))
+    return decoded.select("m.yr", "m.row_count", F.explode("m.artifacts").alias("a")).select("yr", "row_count", "a.*")

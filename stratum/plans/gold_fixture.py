@@ -14,14 +14,12 @@ from stratum.operators import dims as D
 from stratum.operators.facts import Lookup, resolve
 from stratum.operators.marts import DimJoin
 from stratum.plans import tables as T
+from stratum.session import written_once
 
 
-def dim_election(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Election dimension: a declared seed table (one row per treated year),
-    as the warehouse seeds it -- not derived by scanning the data."""
-    rows = [(t.year, t.kind) for t in T.RAW_TREATMENTS]
-    return spark.createDataFrame(rows, "yr int, kind string").select(
-        F.col("yr").cast("smallint").alias("yr"), "kind")
+def dim_election(stage: DataFrame) -> DataFrame:
+    """Election dimension: the years that the stage has, whichever they are, and their kind."""
+    return stage.select("yr").distinct().withColumn("kind", T.treatment_kind(F.col("yr")))
 
 
 def dim_party(line: DataFrame) -> DataFrame:
@@ -40,22 +38,28 @@ def dim_location(geo: DataFrame) -> DataFrame:
 
 
 
+def party_segment_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail rows added up by year, party and segment: one read of each table."""
+    return T.v_line(spark, sf_dir).groupBy("yr", "party_no", "party_name", "seg").agg(
+        F.sum("amount").cast("decimal(38,2)").alias("amount"))
+
+
 def star(spark: SparkSession, sf_dir: str, child: bool = False, location: bool = False) -> tuple[DataFrame, list[DimJoin], list[str]]:
     """Fact + dimension joins + view columns for the four analytical views.
 
-    The detail rows are aggregated to the fact grain once; every dimension
-    is derived from that reduced stage (the exchange is reused), so the
+    The detail rows are aggregated to the fact grain and written once to the
+    shared folder; fact and dimensions all read that reduced stage, so the
     large join behind the detail rows runs a single time.
     """
     base = T.v_geo(spark, sf_dir) if location else T.v_line(spark, sf_dir)
     grain = ["yr", "party_no"] + (["lvl", "uf", "ue", "city"] if location else []) + ["seg"] \
         + (["subseg"] if child else [])
-    stage = base.groupBy(*grain, "party_name").agg(
+    stage = written_once(base.groupBy(*grain, "party_name").agg(
         F.count(F.lit(1)).alias("qty"), F.sum("amount").cast("decimal(38,2)").alias("amount")
-    )
+    ), "star-stage")
     party = dim_party(stage)
     gender = dim_value(stage, "seg", "gender_id")
-    election = dim_election(spark, sf_dir)
+    election = dim_election(stage)
     lookups = [
         Lookup(party, ("yr", "party_no"), "party_id"),
         Lookup(gender, ("seg",), "gender_id"),
@@ -89,4 +93,4 @@ def star(spark: SparkSession, sf_dir: str, child: bool = False, location: bool =
     return fact, joins, cols
 
 
-__all__ = ["star", "dim_party", "dim_value", "dim_location", "dim_election"]
+__all__ = ["star", "party_segment_totals", "dim_party", "dim_value", "dim_location", "dim_election"]

@@ -134,7 +134,8 @@ def _typed_sql(where_blank: bool) -> str:
 
 
 ORACLE["clean_tokens"] = W(
-    "SELECT k, col AS \"column\", " + CLEAN("raw") + " AS cleaned, " + CLEAN("raw") + " IS NULL AS is_null "
+    "SELECT k, col AS \"column\", " + CLEAN("raw") + " AS cleaned, upper(" + CLEAN("raw") + ") AS category, "
+    + CLEAN("raw") + " IS NULL AS is_null "
     "FROM (UNPIVOT (SELECT k, " + ", ".join(f'"{c}"' for c in RAW_COLS) + " FROM v_raw) "
     "ON " + ", ".join(f'"{c}"' for c in RAW_COLS) + " INTO NAME col VALUE raw)",
     "v_raw",
@@ -256,7 +257,11 @@ def _null_rule(rule: str, sev: str, pred: str, msg: str) -> str:
 RULES: dict[str, list[str]] = {
     "required_not_null": [
         _rule("required_not_null", "error", c, BLANK(c), f"required field {c} is null")
-        for c in ("date_val", "int_val", "money_val", "status", "time_val", "ts_val", "yr")
+        for c in ("date_val", "int_val", "status", "time_val", "ts_val", "yr")
+    ],
+    "source_numeric_null": [
+        _rule("source_numeric_null", "warning", "money_val", BLANK("money_val"),
+              "money_val is null after an invalid source value")
     ],
     "invalid_integer": [
         _rule("invalid_integer", "error", c, f"NOT {BLANK(c)} AND {TINT(c)} IS NULL",
@@ -306,7 +311,7 @@ def _rules_query(*names: str) -> str:
     return QV(f"SELECT artifact, record_no, rule, severity, \"column\" FROM ({body})")
 
 
-ORACLE["quality_required"] = _rules_query("required_not_null")
+ORACLE["quality_required"] = _rules_query("required_not_null", "source_numeric_null")
 ORACLE["quality_accepted_values"] = _rules_query("accepted_values", "metadata_integrity")
 ORACLE["quality_ranges"] = _rules_query("negative_value", "percentage_outlier", "negative_financial_value")
 ORACLE["quality_numeric_validity"] = _rules_query("invalid_integer", "invalid_decimal")
@@ -329,7 +334,8 @@ ORACLE["null_counts"] = W(
     ),
     "v_geo_bad",
 )
-ORACLE["positive_fields"] = """SELECT c_custkey, 'c_acctbal' AS field, c_acctbal AS value
+ORACLE["positive_fields"] = """SELECT c_custkey, 'c_acctbal' AS field, CAST(c_acctbal AS VARCHAR) AS value,
+      'c_acctbal must be a number above zero, not ' || coalesce(CAST(c_acctbal AS VARCHAR), 'null') AS message
     FROM customer WHERE NOT coalesce(c_acctbal > 0, false)"""
 
 # ----------------------------------------------------------- batch 4: set rules
@@ -391,6 +397,10 @@ ORACLE["validate_table"] = """WITH s AS (
     FROM lineitem)
   SELECT (missing_fields = '' AND duplicate_count = 0) AS valid, CAST(record_count AS BIGINT) AS record_count,
     CAST(duplicate_count AS BIGINT) AS duplicate_count, missing_fields,
+    concat_ws('; ',
+      CASE WHEN missing_fields <> '' THEN 'required field ' ||
+        replace(missing_fields, ',', ' is missing or empty; required field ') || ' is missing or empty' END,
+      CASE WHEN duplicate_count > 0 THEN duplicate_count || ' rows repeat a key' END) AS messages,
     CAST((CASE WHEN missing_fields = '' THEN 0 ELSE length(missing_fields) - length(replace(missing_fields, ',', '')) + 1 END)
       + (CASE WHEN duplicate_count > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_messages
   FROM s"""
@@ -455,21 +465,21 @@ ORACLE["quality_report_by_year"] = IQ("""SELECT a.yr, coalesce(e.errors, 0) = 0
 # ---------------------------------------------------------------- batch 6: gold
 
 _PLACES = "(SELECT DISTINCT yr, lvl, uf, ue, city FROM v_geo)"
+_SWAPPED = "SELECT {cols}, uf, ue FROM v_geo UNION ALL SELECT {cols}, ue AS uf, uf AS ue FROM v_geo"
 ORACLE["dim_distinct"] = W("SELECT DISTINCT yr, party_no, party_name FROM v_line", "v_line")
 ORACLE["dim_upsert"] = W(
     """, e AS (SELECT DISTINCT party_no, party_name FROM v_line WHERE yr <= 1998),
     n AS (SELECT DISTINCT party_no, lower(party_name) AS party_name FROM v_line WHERE yr >= 1998)
-    SELECT party_no, party_name FROM n
-    UNION ALL SELECT party_no, party_name FROM e WHERE party_no NOT IN (SELECT party_no FROM n)""",
+    SELECT party_no, party_name, party_no IN (SELECT party_no FROM e) AS id_kept FROM n
+    UNION ALL SELECT party_no, party_name, true FROM e WHERE party_no NOT IN (SELECT party_no FROM n)""",
     "v_line",
 )
 ORACLE["dim_conflicts"] = W(
-    """SELECT yr, party_no, CAST(count(DISTINCT name) AS BIGINT) AS n_values,
-        min(name) || ',' || max(name) AS names
-    FROM (SELECT yr, party_no,
-            CASE WHEN party_no % 10 = 3 AND seg = 'A' THEN party_name || '*' ELSE party_name END AS name
-          FROM v_parent)
-    GROUP BY yr, party_no HAVING count(DISTINCT name) > 1""",
+    """, named AS (SELECT DISTINCT yr, party_no,
+            CASE WHEN party_no % 10 = 3 AND seg = 'A' THEN party_name || '*' ELSE party_name END AS party_name
+          FROM v_parent),
+    many AS (SELECT yr, party_no, count(*) AS n_values FROM named GROUP BY yr, party_no HAVING count(*) > 1)
+    SELECT yr, party_no, party_name, n_values FROM named JOIN many USING (yr, party_no)""",
     "v_parent",
 )
 ORACLE["dim_insert_absent"] = W(
@@ -481,11 +491,20 @@ ORACLE["location_key"] = W(
     "v_geo",
 )
 ORACLE["location_join"] = W(
-    "SELECT lvl, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM v_geo GROUP BY lvl",
+    f""", g AS ({_SWAPPED.format(cols='yr, lvl, city, amount')}),
+    places AS (SELECT *, row_number() OVER (ORDER BY yr, lvl, uf, ue, city) AS place_no
+               FROM (SELECT DISTINCT yr, lvl, uf, ue, city FROM g))
+    SELECT g.lvl, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total, count(DISTINCT place_no) AS places
+    FROM g JOIN places p ON {' AND '.join(f'g.{c} IS NOT DISTINCT FROM p.{c}' for c in ('yr', 'lvl', 'uf', 'ue', 'city'))}
+    GROUP BY g.lvl""",
     "v_geo",
 )
 ORACLE["surrogate_keys"] = W(
-    f"SELECT count(*) AS n_keys, count(*) AS n_ids, true AS collision_free FROM {_PLACES}", "v_geo")
+    f""", g AS (SELECT DISTINCT yr, lvl, uf, ue, city FROM ({_SWAPPED.format(cols='yr, lvl, city')})),
+    ids AS (SELECT DISTINCT md5(concat_ws('|', yr, lvl, coalesce('=' || uf, 'null'), coalesce('=' || ue, 'null'),
+                                          coalesce('=' || city, 'null'))) AS id FROM g)
+    SELECT (SELECT count(*) FROM g) AS n_keys, (SELECT count(*) FROM ids) AS n_ids,
+      (SELECT count(*) FROM g) = (SELECT count(*) FROM ids) AS collision_free""", "v_geo")
 ORACLE["unique_check"] = W(
     """SELECT yr, l_orderkey, l_linenumber, count(*) AS n FROM v_geo
     GROUP BY yr, l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -532,9 +551,10 @@ ORACLE["load_reconciliation"] = W(
     "v_child_bad", "v_line",
 )
 ORACLE["fact_load"] = W(
-    """SELECT yr, party_no, seg, count(*) AS qty, CAST(sum(amount) AS DECIMAL(38,2)) AS amount
-    FROM v_line GROUP BY yr, party_no, seg""",
-    "v_line",
+    """SELECT yr, party_no, lvl, uf, ue, city, seg, subseg, count(*) AS qty,
+        CAST(sum(amount) AS DECIMAL(38,2)) AS amount
+    FROM v_geo GROUP BY yr, party_no, lvl, uf, ue, city, seg, subseg""",
+    "v_geo",
 )
 ORACLE["slice_replace"] = W(
     """SELECT yr, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total FROM (
@@ -564,3 +584,8 @@ ORACLE["gated_backfill"] = W(
       HAVING count(*) FILTER (WHERE dataset = 'child') <> 1 OR count(*) FILTER (WHERE dataset = 'parent') <> 1)""",
     "v_parent", "v_artifact",
 )
+ORACLE["json_manifest"] = W(
+    """SELECT yr, CAST(sum(observed) OVER (PARTITION BY yr) AS BIGINT) AS row_count, dataset, observed, expected
+    FROM v_artifact""",
+    "v_artifact",
+)

@@ -70,7 +70,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN o_orderkey % 5 = 2 THEN '13:21:07'
                     WHEN o_orderkey % 5 = 3 THEN '25:00'
                     ELSE 'null' END AS "TIME_TXT",
-               o_orderstatus AS "STATUS_TXT"
+               CASE WHEN o_orderkey % 3 = 0 THEN lower(o_orderstatus) ELSE o_orderstatus END AS "STATUS_TXT"
         FROM orders"""),
     "v_artifact": (("v_parent", "v_child"), """
         SELECT yr, dataset, CAST(observed AS BIGINT) AS observed,

@@ -6,23 +6,25 @@ member lists, headers, per-artifact counts -- all bounded by the number of
 files, never by rows).
 
 Durability: parsed records are written once to the run folder (a durable cut
-of lineage, no ``localCheckpoint``); every later step reads written tables.
-Publishing: everything a run produces goes to ``run=<id>/`` first; after all
-checks pass, fact slices are replaced (dynamic partition overwrite, only the
-named ``(year, member)`` slices) and one pointer file is switched for the
-dimensions, audit and reports.  A failing run publishes nothing.
+of lineage); every later step reads written tables.  The manifest's row counts
+come from the parsed records, the quality step counts the silver tables, so the
+two are taken independently.
+Publishing: everything a run produces, facts included, goes to its own
+``run=<id>/`` folder.  After all checks pass one pointer file is replaced; it
+names the run's dimensions and audit, and for every fact slice the run folder
+that holds it.  A failing run publishes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import maybe_broadcast
-
 from stratum.contracts import (
     ELECTORAL_CONTRACTS,
     ELECTORAL_PAIRS,
@@ -32,6 +34,7 @@ from stratum.contracts import (
     Contract,
     Treatment,
 )
+from stratum.functions.keys import null_safe_condition
 from stratum.operators import dims as D
 from stratum.operators import facts as FA
 from stratum.operators import publish as P
@@ -39,6 +42,7 @@ from stratum.operators import quality as Q
 from stratum.operators import silver as S
 from stratum.sources import archives as A
 from stratum.sources import lake as L
+from stratum.session import maybe_broadcast
 
 YEAR = "ano_eleicao"
 
@@ -70,33 +74,24 @@ class SilverRun:
         return df
 
 
-def _check_archives(archives: list, treatments: Mapping[int, Treatment]) -> None:
-    years = [a["year"] for a in archives]
-    dup = sorted({y for y in years if years.count(y) > 1})
-    if dup:
-        raise PipelineError(f"duplicate election years in the bronze manifest: {dup}")
-    out = sorted({y for y in years if y not in treatments})
-    if out:
-        raise PipelineError(f"years without a silver treatment contract: {out}")
-
-
-def _check_members(members: list[dict], treatments: Mapping[int, Treatment]) -> None:
-    bad = [m for m in members if m["status"] != "ok"]
-    if bad:
-        m = bad[0]
-        raise PipelineError(f"member {m['member']} of {m['year']}: {m['status']}")
-    by_year: dict[int, list[str]] = {}
-    for m in members:
-        by_year.setdefault(m["year"], []).append(m["dataset"])
-    for year, found in sorted(by_year.items()):
-        dup = sorted({d for d in found if found.count(d) > 1})
-        if dup:
-            raise PipelineError(f"duplicate CSVs in the archive of {year}: {dup}")
-        expected = set(treatments[year].expected_datasets)
-        if set(found) != expected:
-            raise PipelineError(
-                f"unexpected content in the archive of {year}: missing={sorted(expected - set(found))}; "
-                f"extra={sorted(set(found) - expected)}")
+def _refuse(found: DataFrame, says: str) -> None:
+    """Refuse the input if a check found something; ``says`` is filled from the first row."""
+    row = found.first()
+    if row:
+        raise PipelineError(says.format(**row.asDict()))
+
+
+def _check_archives(archives: DataFrame, treatments: Mapping[int, Treatment]) -> None:
+    _refuse(D.duplicate_keys(archives, ["year"]), "election year {year} comes in {n} archives")
+    _refuse(archives.where(~F.col("year").isin(*treatments)), "election year {year} has no declared treatment")
+
+
+def _check_members(members: DataFrame, archives: DataFrame, treatments: Mapping[int, Treatment]) -> None:
+    _refuse(members.where("status <> 'ok'"), "{member} in the archive of {year}: {status}")
+    years = [r["year"] for r in archives.select("year").collect()]  # one per archive
+    due = {y: treatments[y].expected_datasets for y in years}
+    _refuse(Q.completeness(members, due, "year").where("n_issues > 0 or extra <> ''"),
+            "archive of {year}: missing datasets [{missing}], duplicated [{duplicated}], extra [{extra}]")
 
 
 def build_silver(
@@ -112,48 +107,46 @@ def build_silver(
     archives = A.scan_archives(spark, bronze_root)
     if years is not None:
         archives = archives.where(F.col("year").isin(*years))
-    arch = [r.asDict() for r in archives.select("archive", "year").collect()]
-    if not arch:
+    if archives.isEmpty():
         raise PipelineError(f"no archives below {bronze_root}")
-    _check_archives(arch, treatments)
-
-    members_df = S.classify_members(A.list_members(archives), "member", "year")
+    _check_archives(archives, treatments)
+    found = S.classify_members(A.list_members(archives), "member", "year")
+    # the member list is metadata, one row per file: listed once, then a table of its own
+    members_df = spark.createDataFrame(found.collect(), found.schema)
+    _check_members(members_df, archives, treatments)
     members = [r.asDict() for r in members_df.collect()]
-    _check_members(members, treatments)
-
-    # parse once, write once: every later step reads this durable table
-    staged_path = f"{run_dir}/_staging/records"
-    A.read_members(spark.createDataFrame(members_df.select("archive", "year", "member").collect(),
-                                         "archive string, year int, member string"),
-                   partitions=len(members)).write.mode("overwrite").parquet(staged_path)
-    records = spark.read.parquet(staged_path)
 
     meta = spark.createDataFrame(
-        [(m["archive"], m["member"], m["dataset"], m["fund"], m["dimension"],
-          len(contracts[m["dataset"]].source_columns), treatments[m["year"]].kind) for m in members],
-        "archive string, member string, dataset string, fund string, dimension string, width int, kind string",
+        [(m["archive"], m["member"], m["dataset"], treatments[m["year"]].kind,
+          list(contracts[m["dataset"]].source_columns)) for m in members],
+        "archive string, member string, dataset string, kind string, expected array<string>",
     )
-    for h in A.headers(records).collect():
-        m = next(x for x in members if x["archive"] == h["archive"] and x["member"] == h["member"])
-        S.check_header(list(h["header"] or []), contracts[m["dataset"]], h["member"])
-    data = A.data_records(records).join(maybe_broadcast(meta), ["archive", "member"])
-    wrong = data.where(F.size("fields") != F.col("width")).select("member", "record_no", F.size("fields").alias("n"),
-                                                                   "width").limit(1).collect()
-    if wrong:
-        w = wrong[0]
-        raise PipelineError(f"record {w['record_no']} of {w['member']} has {w['n']} fields; expected {w['width']}")
+    # parse once, write once, a folder for each dataset: every later step reads this durable table
+    staged_path = f"{run_dir}/_staging/records"
+    A.read_members(members_df, partitions=len(members)).join(maybe_broadcast(meta), ["archive", "member"]) \
+        .write.mode("overwrite").partitionBy("dataset").parquet(staged_path)
+    records = spark.read.parquet(staged_path)
+    first = records.where("record_no = 1 and fields <> expected").first()
+    if first:
+        S.check_header(list(first["fields"]), contracts[first["dataset"]], first["member"])
+    _refuse(records.where(F.size("fields") != F.size("expected")).select(
+        "member", "record_no", F.size("fields").alias("n"), F.size("expected").alias("width")),
+        "record {record_no} of {member} has {n} fields; expected {width}")
+    data = A.data_records(records)
 
     tables: dict[str, str] = {}
     schemas: dict = {}
+    sources: list[DataFrame] = []
     for name, contract in contracts.items():
         part = data.where(F.col("dataset") == name)
         raw = part.select(
             F.col("archive").alias("_archive"), F.col("member").alias("_member"),
             F.col("record_no").alias("_record_no"), F.col("year").alias("_year"), F.col("kind").alias("_kind"),
-            # get(): null past the end -- Catalyst may evaluate the blank-record
-            # filter below the dataset join, on rows of other (narrower) datasets
             *[F.get("fields", i).alias(c) for i, c in enumerate(contract.source_columns)],
         )
+        sources.append(raw.groupBy(F.col("_archive").alias("archive"), F.col("_member").alias("member")).agg(
+            F.count(F.lit(1)).alias("source_row_count"),
+            F.count_if(S.not_blank_record(contract)).alias("row_count")))
         silver = S.to_silver(raw, contract, source_name).withColumn("_pyear", F.col("_partition_year"))
         path = f"{run_dir}/silver/{name}"
         # the row count is observed during the write itself (no second pass)
@@ -165,35 +158,36 @@ def build_silver(
         schemas[name] = silver.schema
         # explicit schema: an all-blank dataset writes no files but still reads
         written = spark.read.schema(silver.schema).parquet(path)
-        bad_year = S.year_mismatches(written, contract.year_column, "_pyear").select(
-            "source_member", "source_row_number", contract.year_column).limit(1).collect()
-        if bad_year:
-            b = bad_year[0]
-            raise PipelineError(f"invalid year in record {b['source_row_number']} of {b['source_member']}: "
-                                f"{b[contract.year_column]}")
-
-    artifacts = _artifacts(spark, records, members, tables, schemas, contracts, treatments)
-    empty = artifacts.where(F.col("row_count") == 0).select("member", "year").limit(1).collect()
-    if empty:
-        raise PipelineError(f"CSV {empty[0]['member']} of {empty[0]['year']} has no records")
-    L.write_json(L.manifests(artifacts), f"{run_dir}/silver_manifest", partition_by=("year",))
+        _refuse(S.year_mismatches(written, contract.year_column, "_pyear").select(
+            "source_member", "source_row_number", F.col(contract.year_column).alias("found")),
+            "record {source_row_number} of {source_member} has year {found}")
+
+    counted = _artifacts(spark, records, _union(sources), members, tables, schemas, contracts, treatments)
+    L.write_json(L.manifests(counted), f"{run_dir}/silver_manifest", partition_by=("year",))
+    artifacts = manifest_artifacts(spark, run_dir)
+    _refuse(artifacts.where("row_count = 0"), "{member} of {year} has no records")
     return SilverRun(run_dir, tables, artifacts, members, schemas)
 
 
-def _artifacts(spark, records, members, tables, schemas, contracts, treatments) -> DataFrame:
-    src = A.data_records(records).groupBy("archive", "member").agg(F.count(F.lit(1)).alias("source_row_count"))
+def manifest_artifacts(spark: SparkSession, run_dir: str, years: Sequence[int] | None = None) -> DataFrame:
+    """The artifacts a run's manifests declare, one row per member."""
+    manifest = L.read_json(spark, f"{run_dir}/silver_manifest", L.MANIFEST_SCHEMA, years)
+    return manifest.select("year", "kind", "archive", F.explode("artifacts").alias("a")).select(
+        "year", "kind", "archive", "a.*")
+
+
+def _artifacts(spark, records, src, members, tables, schemas, contracts, treatments) -> DataFrame:
     parts = []
     for name, path in tables.items():
         c = contracts[name]
         silver = spark.read.schema(schemas[name]).parquet(path)
         typed = [c.canonical(s) for s in c.source_columns if c.kind(c.canonical(s)) != "text"]
         counts = silver.groupBy("source_archive", "source_member").agg(
-            F.count(F.lit(1)).alias("row_count"),
             *[F.count_if(S.invalid_flag(t)).alias(t) for t in typed],
         )
         entries = F.array(*[F.struct(F.lit(t).alias("k"), F.col(t).cast("long").alias("v")) for t in typed])
         parts.append(counts.select(
-            F.col("source_archive").alias("archive"), F.col("source_member").alias("base"), "row_count",
+            F.col("source_archive").alias("archive"), F.col("source_member").alias("base"),
             F.map_from_entries(F.filter(entries, lambda e: e["v"] > 0)).alias("invalid_value_counts"),
             F.array(*[F.lit(x) for x in S.silver_columns(c)]).alias("columns"),
         ))
@@ -226,8 +220,10 @@ def _artifacts(spark, records, members, tables, schemas, contracts, treatments)
 class QualityRun:
     issues: DataFrame
     rollup: DataFrame
+    samples: DataFrame
     profiles: DataFrame
     report: DataFrame
+    overall: DataFrame
 
 
 def run_quality(
@@ -239,13 +235,18 @@ def run_quality(
     source_name: str = SOURCE_NAME,
     write: bool = True,
 ) -> QualityRun:
-    """All rules over the written silver tables -> issues, rollup, profiles, report."""
+    """All rules over the written silver tables.
+
+    The issues are written once; rollup, samples, profiles and the reports by
+    year and over all years read that table.
+    """
     arts = silver.artifacts.select(
-        F.col("member").alias("artifact"), "year", "dataset", F.col("row_count").alias("expected_rows"))
-    issues = None
-    observed = None
+        F.col("member").alias("artifact"), "year", "dataset", F.col("row_count").alias("expected_rows"), "columns")
+    found: list[DataFrame] = []
+    observed: list[DataFrame] = []
+    nulls: list[DataFrame] = []
     frames: dict[str, DataFrame] = {}
-    for name, path in silver.tables.items():
+    for name in silver.tables:
         c = contracts[name]
         df = silver.read(spark, name)
         df = df.drop(*[x for x in df.columns if x.startswith("_invalid_")])
@@ -258,84 +259,89 @@ def run_quality(
             "silver_layer": F.lit("silver"),
             "source_name": F.lit(source_name),
         }
-        rules = Q.row_rules(df, c, expected=expected)
         rec = F.col("source_row_number")
-        part = Q.row_violations(df, rules, F.col("source_member"), rec)
-        part = part.unionByName(Q.duplicate_issues(
-            df, ["source_member", *c.grain], ["source_row_number"], F.col("source_member"), rec,
-            "duplicate_grain", None, "record duplicated in the analytical grain"))
-        part = part.unionByName(Q.duplicate_issues(
-            df, ["source_member", "source_row_number"], ["source_row_number"], F.col("source_member"), rec,
-            "duplicate_source_row", "source_row_number", "source row number repeated in the file"))
-        # table rules on metadata: header vs manifest columns, required columns
-        expected_cols = S.silver_columns(c)
-        present = [x for x in df.columns if not x.startswith("_")]
-        members_of = arts.where(F.col("dataset") == name).select("artifact")
-        # order is not compared: partition columns come back last from parquet
-        if set(present) != set(expected_cols):
-            part = part.unionByName(members_of.select(
-                "artifact", F.lit("schema_integrity").alias("rule"), F.lit(Q.ERROR).alias("severity"),
-                F.lit(None).cast("string").alias("column"),
-                F.lit("stored schema differs from the silver manifest").alias("message"),
-                F.lit(None).cast("bigint").alias("record_no"), F.lit(1).cast("bigint").alias("n")))
-        part = part.unionByName(Q.missing_columns(df, c, members_of))
-        issues = part if issues is None else issues.unionByName(part)
-        obs = df.groupBy(F.col("source_member").alias("artifact")).agg(F.count(F.lit(1)).alias("rows"))
-        observed = obs if observed is None else observed.unionByName(obs)
-
-    issues = issues.unionByName(Q.row_count_issues(observed, arts.select("artifact", "expected_rows")))
-    issues = issues.join(maybe_broadcast(arts.select("artifact", "year")), "artifact", "left")
-
-    # table-level rules: dataset completeness per year, parent/child coverage
-    comp = Q.completeness(arts.withColumnRenamed("year", "yr"), sorted({d for t in treatments.values()
-                                                                        for d in t.expected_datasets}))
-    comp_issues = comp.where(F.col("n_issues") > 0).select(
-        F.lit("_year_partition").alias("artifact"), F.lit("artifact_integrity").alias("rule"),
-        F.lit(Q.ERROR).alias("severity"), F.lit(None).cast("string").alias("column"),
-        F.format_string("missing datasets=[%s]; duplicated=[%s]", "missing", "duplicated").alias("message"),
-        F.lit(None).cast("bigint").alias("record_no"), F.col("n_issues").alias("n"),
-        F.col("yr").cast("int").alias("year"))
-    issues = issues.unionByName(comp_issues)
+        of_member = [
+            Q.row_violations(df, Q.row_rules(df, c, expected=expected), F.col("source_member"), rec),
+            Q.duplicate_issues(df, ["source_member", *c.grain], ["source_row_number"], F.col("source_member"), rec,
+                               "duplicate_grain", None, "record duplicated in the analytical grain"),
+            Q.duplicate_issues(df, ["source_member", "source_row_number"], ["source_row_number"],
+                               F.col("source_member"), rec, "duplicate_source_row", "source_row_number",
+                               "source row number repeated in the file"),
+        ]
+        # table rules: the manifest's header in its order, columns that are stored, columns that are required
+        mine = arts.where(F.col("dataset") == name)
+        header = F.array(*[F.lit(x) for x in S.silver_columns(c)])
+        stored = F.array(*[F.lit(x) for x in sorted(x for x in df.columns if not x.startswith("_"))])
+        of_member.append(mine.where((F.col("columns") != header) | (F.sort_array("columns") != stored)).select(
+            *Q.table_issue(F.col("artifact"), "schema_integrity", "stored schema differs from the silver manifest", F.lit(1))))
+        of_member.append(Q.missing_columns(df, c, mine.select("artifact")))
+        by_year = mine.select("artifact", "year").distinct()
+        found.append(_union(of_member).join(maybe_broadcast(by_year), "artifact"))
+        key = [F.col("_pyear").cast("int").alias("year"), F.col("source_member").alias("artifact")]
+        observed.append(df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")))
+        nulls.append(Q.null_counts(df.select(*key, *S.silver_columns(c)).drop("source_member"),
+                                   [x for x in S.silver_columns(c) if x != "source_member"], by=["year", "artifact"]))
+    rows = _union(observed)
+    counts = Q.row_count_issues(rows.select("artifact", "rows"), arts.select("artifact", "expected_rows"))
+    found.append(counts.join(maybe_broadcast(arts.select("artifact", "year")), "artifact"))
+
+    # rules between files: dataset completeness per year, parent/child coverage
+    due = {y: t.expected_datasets for y, t in treatments.items()}
+    here = [r["year"] for r in arts.select("year").distinct().collect()]  # one per archive
+    comp = Q.completeness(arts, {y: due[y] for y in here if y in due}, "year").where(F.col("n_issues") > 0)
+    message = F.format_string("missing datasets=[%s]; duplicated=[%s]", "missing", "duplicated")
+    found.append(comp.select(*Q.table_issue(F.lit("_year_partition"), "artifact_integrity", message, F.col("n_issues")), "year"))
     for fund, parent, child in ELECTORAL_PAIRS:
         if parent not in frames or child not in frames:
             continue
         key = [k for k in contracts[parent].parent_key if k != contracts[parent].year_column]
-        p = frames[parent].withColumn("_y", F.col("_pyear"))
-        ch = frames[child].withColumn("_y", F.col("_pyear"))
-        cov = Q.coverage(p, ch, key, group=["_y"])
-        per_year = cov.groupBy("_y").agg(
-            F.sum("n").cast("bigint").alias("n"),
-            F.sum(F.when(F.col("side") == "parent_without_child", F.col("n")).otherwise(0)).alias("no_child"),
-            F.sum(F.when(F.col("side") == "child_without_parent", F.col("n")).otherwise(0)).alias("orphans"),
-        ).where(F.col("n") > 0)
-        issues = issues.unionByName(per_year.select(
-            F.lit(fund).alias("artifact"), F.lit("cross_dataset_integrity").alias("rule"),
-            F.lit(Q.ERROR).alias("severity"), F.lit(None).cast("string").alias("column"),
-            F.format_string("parent/child coverage inconsistent: without child=%d, orphans=%d",
-                            "no_child", "orphans").alias("message"),
-            F.lit(None).cast("bigint").alias("record_no"), F.col("n"), F.col("_y").cast("int").alias("year")))
-
-    rows = observed
-    rollup = Q.rollup(issues.drop("year"), rows).join(
-        maybe_broadcast(issues.select("artifact", "year").distinct()), "artifact", "left")
-    prof = Q.profiles(issues, arts.join(observed, "artifact", "left").fillna(0, ["rows"]))
-    rep = Q.report(issues, arts.join(observed, "artifact", "left").fillna(0, ["rows"])
-                   .select("artifact", "year", "rows"), ["year"])
+        p, ch = (frames[n].withColumn("year", F.col("_pyear").cast("int")) for n in (parent, child))
+        sides = Q.coverage(p, ch, key, group=["year"]).groupBy("year").pivot(
+            "side", ["parent_without_child", "child_without_parent"]).agg(F.sum("n")).fillna(0)
+        message = F.format_string("parent/child coverage inconsistent: without child=%d, orphans=%d",
+                                  "parent_without_child", "child_without_parent")
+        n = F.col("parent_without_child") + F.col("child_without_parent")
+        found.append(sides.select(*Q.table_issue(F.lit(fund), "cross_dataset_integrity", message, n), "year"))
+        parents = p.select("year", *key).distinct().groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
+        rows = rows.unionByName(parents.select("year", F.lit(fund).alias("artifact"), "rows"))
+    base = f"{silver.run_dir}/quality" if write else f"{silver.run_dir}/quality-trial-{uuid.uuid4().hex}"
+    issue_schema = Q.ISSUE_SCHEMA + ", year int"
+    _union([f.select(*Q.ISSUE_COLUMNS, F.col("year").cast("int").alias("year")) for f in found]) \
+        .write.parquet(f"{base}/issues")
+    issues = spark.read.schema(issue_schema).parquet(f"{base}/issues")
+
+    counted = arts.drop("columns").join(_union(observed), ["year", "artifact"], "left").fillna(0, ["rows"])
+    rollup = Q.rollup(issues, rows, by=["year"])
+    samples = Q.samples(issues, by=["year"])
+    profiles = Q.profiles(issues, counted, by=["year"], nulls=_union(nulls))
+    report = Q.report(issues, counted, ["year"])
+    overall = Q.report(issues.withColumn("_all", F.lit(1)), counted.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
+    out = QualityRun(issues, rollup, samples, profiles, report, overall)
     if write:
-        base = f"{silver.run_dir}/quality"
-        nested = rep.join(
-            rollup.groupBy("year").agg(F.sort_array(F.collect_list(F.struct(
-                "artifact", "rule", "severity", "column", "n", "rate", "message"))).alias("issues")),
-            "year", "left",
-        ).withColumn("generated_at", F.current_timestamp())
-        L.write_json(nested, f"{base}/report", partition_by=("year",))
-    return QualityRun(issues, rollup, prof, rep)
+        L.write_json(nested_report(out), f"{base}/report", partition_by=("year",))
+        L.write_json(overall.withColumn("generated_at", F.current_timestamp()), f"{base}/report_overall", partition_by=())
+    return out
+
+
+def nested_report(quality: QualityRun) -> DataFrame:
+    """One document per year: totals, the artifacts' profiles, and the issues with their first records."""
+    key = ["year", "artifact", "rule"]
+    records = quality.samples.groupBy(*key, "column").agg(
+        F.sort_array(F.collect_list("record_no")).alias("sample_rows")).alias("s")
+    issues = quality.rollup.alias("i").join(records, null_safe_condition("i", "s", (*key, "column")), "left")
+    entry = F.struct(*[F.col(f"i.{c}") for c in ("artifact", "rule", "severity", "column", "n", "rate", "message")],
+                     F.col("s.sample_rows"))
+    listed = issues.groupBy(F.col("i.year").alias("year")).agg(F.sort_array(F.collect_list(entry)).alias("issues"))
+    profile = F.struct("artifact", "dataset", "expected_rows", "rows", "duplicates", "errors", "warnings",
+                       F.to_json("null_counts").alias("null_counts"))
+    profiles = quality.profiles.groupBy("year").agg(F.sort_array(F.collect_list(profile)).alias("artifact_profiles"))
+    return (quality.report.join(listed, "year", "left").join(profiles, "year", "left")
+            .withColumn("generated_at", F.current_timestamp()))
 
 
 # ------------------------------------------------------------------------- gold
 
 MONEY, PERCENT = "decimal(20,2)", "decimal(12,6)"
-SEED_ELECTIONS = [(t.year, t.kind) for t in ELECTORAL_TREATMENTS.values()]
 SEED_RACES = ("NEGRA", "NÃO NEGRA")
 
 
@@ -356,126 +362,171 @@ class GoldRun:
     audit: DataFrame
 
 
+#: CHECK constraints of the model, by table; fixed values.
+PARTY_CHECKS = {"ck_dim_partido_numero": "numero_partido > 0"}
+LOCATION_CHECKS = {
+    "ck_dim_localidade_esfera": "esfera_partidaria IN ('NACIONAL', 'ESTADUAL', 'MUNICIPAL')",
+    "ck_dim_localidade_geografia":
+        "(esfera_partidaria = 'NACIONAL' AND sigla_uf IS NULL AND sigla_ue IS NULL AND municipio IS NULL) OR "
+        "(esfera_partidaria = 'ESTADUAL' AND sigla_uf IS NOT NULL AND sigla_ue IS NULL AND municipio IS NULL) OR "
+        "(esfera_partidaria = 'MUNICIPAL' AND sigla_uf IS NOT NULL AND sigla_ue IS NOT NULL AND municipio IS NOT NULL)",
+}
+FACT_CHECKS = {"ck_quantidade": "quantidade_candidatos >= 0"}
+STATUS_CHECKS = {"ck_status": "status_renuncia IN (0, 1)"}
+AUDIT_CHECKS = {"ck_carga_arquivo_linhas": "source_rows > 0 AND deleted_rows >= 0 AND inserted_rows > 0"}
+
+SLICE = [YEAR, "source_member"]
+
+
+def _hold(table: str, df: DataFrame, checks: Mapping[str, str], unique: Sequence[Sequence[str]]) -> None:
+    """Refuse a written table that breaks a CHECK or repeats a unique key (nulls equal)."""
+    if checks:
+        broken = FA.check_violations(df, {n: F.expr(e) for n, e in checks.items()}, list(unique[0])).first()
+        if broken:
+            raise FA.LoadError(f"{table} breaks a constraint: {broken.asDict()}")
+    for key in unique:
+        twice = D.duplicate_keys(df, key).first()
+        if twice:
+            raise FA.LoadError(f"{table} repeats a key: {twice.asDict()}")
+
+
+def _parties(stages: Mapping[str, DataFrame]) -> DataFrame:
+    """One name per year and party: two names in one artifact are a conflict, a later artifact's replaces
+    an earlier one's."""
+    named = _union([st.select(F.lit(n).alias("dataset"), "source_member", YEAR, "numero_partido", "sigla_partido")
+                    for n, st in stages.items()]).distinct()
+    twice = D.duplicate_keys(named, ["dataset", "source_member", YEAR, "numero_partido"]).first()
+    if twice:
+        raise D.DimensionConflict(f"a party has {twice['n']} names in one artifact: {twice.asDict()}")
+    order = named.withColumn("_order", F.struct("dataset", "source_member"))
+    return D.resolve_last_writer(order, [YEAR, "numero_partido"], "sigla_partido", "_order")
+
+
 def load_gold(spark: SparkSession, silver: SilverRun, gold_root: str, *,
               contracts: Mapping[str, Contract] = ELECTORAL_CONTRACTS) -> GoldRun:
-    """Dimension upserts, fact slice replacement, reconciliation and audit."""
-    prev_run = P.current_run(spark, f"{gold_root}/dims")
+    """Dimension upserts, fact slices, constraints, reconciliation and audit, published in one step."""
+    published = P.pointer(spark, gold_root) or {"run": None, "facts": {}}
 
     def previous(name: str, schema: str) -> DataFrame:
-        if prev_run:
-            return spark.read.parquet(f"{prev_run}/{name}")
+        if published["run"]:
+            return spark.read.schema(schema).parquet(f"{published['run']}/{name}")
         return spark.createDataFrame([], schema)
 
-    stages = {n: silver.read(spark, n).withColumn(YEAR, F.col("_pyear").cast("smallint"))
-              for n in silver.tables}
-    union_party = None
-    for st in stages.values():
-        part = st.select(YEAR, "numero_partido", "sigla_partido", "source_row_number")
-        union_party = part if union_party is None else union_party.unionByName(part)
-    party = D.upsert(previous("dim_partido", "ano_eleicao smallint, numero_partido int, sigla_partido string, "
-                              "partido_id bigint"),
-                     union_party.select(YEAR, "numero_partido", "sigla_partido"),
-                     [YEAR, "numero_partido"], ["sigla_partido"], id_col="partido_id")
-    seed_g = spark.createDataFrame([(g,) for g in VALID_GENDERS], "genero string")
-    genders = [s.select("genero") for s in stages.values()]
-    gender = D.insert_absent(previous("dim_genero", "genero string, genero_id bigint").select("genero")
-                             .unionByName(seed_g).distinct(),
-                             _union(genders), ["genero"])
-    gender = D.with_surrogate(gender, "genero_id", ["genero"])
-    seed_r = spark.createDataFrame([(r,) for r in SEED_RACES], "cor_raca string")
-    races = [s.select("cor_raca") for n, s in stages.items() if "cor_raca" in s.columns]
-    race = D.with_surrogate(D.insert_absent(previous("dim_cor_raca", "cor_raca string, cor_raca_id bigint")
-                                            .select("cor_raca").unionByName(seed_r).distinct(),
-                                            _union(races), ["cor_raca"]), "cor_raca_id", ["cor_raca"])
-    locs = [s.select(*LOCATION) for n, s in stages.items() if "municipio" in s.columns]
-    loc_schema = "ano_eleicao smallint, esfera_partidaria string, sigla_uf string, sigla_ue string, municipio string"
-    location = D.with_surrogate(D.insert_absent(previous("dim_localidade", loc_schema + ", localidade_id bigint")
-                                                .select(*LOCATION),
-                                                _union(locs), list(LOCATION)), "localidade_id", list(LOCATION))
-    election = spark.createDataFrame(SEED_ELECTIONS, "ano_eleicao int, tipo_eleicao string") \
-        .withColumn(YEAR, F.col(YEAR).cast("smallint"))
-
-    run_dir = P.new_run(f"{gold_root}/dims")
-    for name, df in (("dim_partido", party), ("dim_genero", gender), ("dim_cor_raca", race),
-                     ("dim_localidade", location), ("dim_eleicao", election)):
-        df.write.mode("overwrite").parquet(f"{run_dir}/{name}")
-    party = spark.read.parquet(f"{run_dir}/dim_partido")
-    gender = spark.read.parquet(f"{run_dir}/dim_genero")
-    race = spark.read.parquet(f"{run_dir}/dim_cor_raca")
-    location = spark.read.parquet(f"{run_dir}/dim_localidade")
+    for name in silver.tables:
+        header = F.array(*[F.lit(x) for x in S.silver_columns(contracts[name])])
+        other = silver.artifacts.where((F.col("dataset") == name) & (F.col("columns") != header)).first()
+        if other:
+            raise FA.LoadError(f"the manifest's header of {other['member']} isn't the contract's: {other['columns']}")
+    stages = {n: silver.read(spark, n).withColumn(YEAR, F.col("_pyear").cast("smallint")) for n in silver.tables}
+
+    run_dir = P.new_run(gold_root)
+    dims: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame, checks: Mapping[str, str], *unique: Sequence[str]) -> None:
+        df.write.parquet(f"{run_dir}/{name}")
+        dims[name] = spark.read.schema(df.schema).parquet(f"{run_dir}/{name}")
+        _hold(name, dims[name], checks, unique)
+
+    year_t = f"{YEAR} smallint"
+    years = [(t.year, t.kind) for t in ELECTORAL_TREATMENTS.values()]
+    keep("dim_eleicao", spark.createDataFrame(years, f"{YEAR} int, tipo_eleicao string").withColumn(
+        YEAR, F.col(YEAR).cast("smallint")), {}, [YEAR])
+    keep("dim_partido", D.upsert(
+        previous("dim_partido", f"{year_t}, numero_partido int, sigla_partido string, partido_id bigint"),
+        _parties(stages), [YEAR, "numero_partido"], ["sigla_partido"], id_col="partido_id", fail_on_conflict=False),
+        PARTY_CHECKS, [YEAR, "numero_partido"], ["partido_id"])
+    for name, column, id_col, seeds in (("dim_genero", "genero", "genero_id", VALID_GENDERS),
+                                        ("dim_cor_raca", "cor_raca", "cor_raca_id", SEED_RACES)):
+        seed = spark.createDataFrame([(x,) for x in seeds], f"{column} string")
+        old = previous(name, f"{column} string, {id_col} bigint").select(column).unionByName(seed).distinct()
+        new = _union([s.select(column) for s in stages.values() if column in s.columns])
+        keep(name, D.with_surrogate(D.insert_absent(old, new, [column]), id_col, [column]), {}, [column], [id_col])
+    old = previous("dim_localidade", f"{year_t}, esfera_partidaria string, sigla_uf string, sigla_ue string, "
+                                     "municipio string, localidade_id bigint").select(*LOCATION)
+    places = _union([s.select(*LOCATION) for s in stages.values() if "municipio" in s.columns])
+    keep("dim_localidade", D.with_surrogate(D.insert_absent(old, places, list(LOCATION)), "localidade_id", list(LOCATION)),
+         LOCATION_CHECKS, LOCATION, ["localidade_id"])
 
     results = []
-    staged_facts: dict[str, str] = {}
+    facts: dict[str, dict[str, str]] = {n: dict(published["facts"].get(n, {})) for n in stages}
     for name, st in stages.items():
         c = contracts[name]
-        lookups = [FA.Lookup(party, (YEAR, "numero_partido"), "partido_id"),
-                   FA.Lookup(gender, ("genero",), "genero_id")]
+        lookups = [FA.Lookup(dims["dim_partido"], (YEAR, "numero_partido"), "partido_id"),
+                   FA.Lookup(dims["dim_genero"], ("genero",), "genero_id")]
         if "cor_raca" in st.columns:
-            lookups.append(FA.Lookup(race, ("cor_raca",), "cor_raca_id"))
+            lookups.append(FA.Lookup(dims["dim_cor_raca"], ("cor_raca",), "cor_raca_id"))
         if "municipio" in st.columns:
-            lookups.append(FA.Lookup(location, LOCATION, "localidade_id", null_safe=True))
-        resolved = FA.resolve(st, lookups)
-        keep = [YEAR, *[lk.id_col for lk in lookups],
+            lookups.append(FA.Lookup(dims["dim_localidade"], LOCATION, "localidade_id", null_safe=True))
+        staged, staged_rows = FA.observed_write(st, f"staged_{name}")
+        resolved = FA.resolve(staged, lookups)
+        cols = [YEAR, *[lk.id_col for lk in lookups],
                 *[x for x in c.data_columns if x not in ("sigla_partido", "numero_partido", "genero", "cor_raca",
                                                          "esfera_partidaria", "sigla_uf", "sigla_ue", "municipio",
                                                          "data_geracao", "hora_geracao")],
                 "data_hora_geracao", "source_archive", "source_member", "source_row_number"]
-        fact = FA.typed_projection(resolved.select(*keep), _gold_types(c))
+        fact, loaded_rows = FA.observed_write(FA.typed_projection(resolved.select(*cols), _gold_types(c)), f"loaded_{name}")
         path = f"{run_dir}/facts/{name}"
-        fact.write.mode("overwrite").partitionBy(YEAR, "source_member").parquet(path)
-        staged_facts[name] = path
-        written = spark.read.parquet(path)
-        rec = FA.reconcile(st.select("source_member", "source_row_number"),
-                           written.select("source_member", "source_row_number"),
-                           ["source_member", "source_row_number"]).first()
-        if rec["lost"] or rec["fanned_out"]:
-            raise FA.LoadError(f"incomplete load of {name}: {rec.asDict()}")
-        live = f"{gold_root}/facts/{name}"
-        prev_counts = _slice_counts(spark, live)
-        new_counts = written.groupBy(YEAR, "source_member").agg(F.count(F.lit(1)).alias("inserted"))
-        res = new_counts.join(prev_counts, [YEAR, "source_member"], "left").select(
-            F.col(YEAR).cast("smallint").alias("yr"), F.lit(name).alias("dataset"), "source_member",
-            F.col("inserted").alias("staged"), F.coalesce("deleted", F.lit(0)).alias("deleted"), "inserted")
-        results.append(res)
-    # per-artifact counts (bounded by the number of artifacts): materialise
-    # them now, before the commit replaces the slices they were counted from
-    results_union = _union(results)
-    results_df = spark.createDataFrame(results_union.collect(), results_union.schema)
-    # expected rows per artifact must equal staged rows (manifest reconciliation)
-    exp = silver.artifacts.select(F.col("member").alias("source_member"), F.col("row_count").alias("expected"))
-    mism = results_df.join(exp, "source_member").where(F.col("staged") != F.col("expected")).limit(1).collect()
-    if mism:
-        raise FA.LoadError(f"count differs from the manifest: {mism[0].asDict()}")
-    audit = FA.audit_upsert(
-        previous("carga_arquivo", "yr smallint, dataset string, source_rows bigint, deleted_rows bigint, "
-                 "inserted_rows bigint"),
-        FA.audit_rows(results_df.drop("source_member")))
-    audit.write.mode("overwrite").parquet(f"{run_dir}/carga_arquivo")
-    # commit: fact slices (only the named ones), then the pointer for the rest
-    for name, path in staged_facts.items():
-        P.write_slices(spark.read.parquet(path), f"{gold_root}/facts/{name}", [YEAR, "source_member"])
-    P.publish(spark, f"{gold_root}/dims", run_dir)
-    return GoldRun(results_df, spark.read.parquet(f"{run_dir}/carga_arquivo"))
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        P.write_partitioned(fact, path, SLICE)
+        # equal counts and no repeated source row: nothing was lost or fanned out
+        if staged_rows.get["rows"] != loaded_rows.get["rows"]:
+            raise FA.LoadError(f"incomplete load of {name}: {staged_rows.get['rows']} staged, {loaded_rows.get['rows']} loaded")
+        written = spark.read.schema(fact.schema).parquet(path)
+        checks = FACT_CHECKS | (STATUS_CHECKS if "status_renuncia" in written.columns else {})
+        _hold(name, written, checks, [[YEAR, "source_member", "source_row_number"]])
+        missing = FA.orphans(written, dims["dim_eleicao"], [YEAR]).first()
+        if missing:
+            raise FA.LoadError(f"{name} has a year without an election: {missing[YEAR]}")
+        live = read_facts(spark, published["facts"].get(name, {}), fact.schema)
+        deleted = live.groupBy(*SLICE).agg(F.count(F.lit(1)).alias("deleted"))
+        new = written.groupBy(*SLICE).agg(F.count(F.lit(1)).alias("inserted"))
+        results.append(new.join(deleted, SLICE, "left").select(
+            F.col(YEAR).alias("yr"), F.lit(name).alias("dataset"), "source_member",
+            F.concat_ws("/", F.lit(path), F.concat(F.lit(f"{YEAR}="), F.col(YEAR).cast("string")),
+                        F.concat(F.lit("source_member="), F.col("source_member"))).alias("output_key"),
+            F.col("inserted").alias("staged"), F.coalesce("deleted", F.lit(0)).alias("deleted"), "inserted"))
+    # one row per artifact: counted now, while the run they replace is the published one
+    loaded = _union(results)
+    results_df = spark.createDataFrame(loaded.collect(), loaded.schema)
+    declared = silver.artifacts.select("dataset", F.col("member").alias("source_member"), F.col("row_count").alias("expected"))
+    differs = results_df.join(declared, ["dataset", "source_member"], "full_outer").where(
+        ~F.col("staged").eqNullSafe(F.col("expected"))).first()
+    if differs:
+        raise FA.LoadError(f"count differs from the manifest: {differs.asDict()}")
+    audit_schema = ("yr smallint, dataset string, source_member string, output_key string, source_rows bigint, "
+                    "deleted_rows bigint, inserted_rows bigint, loaded_at timestamp")
+    audit = FA.audit_upsert(previous("carga_arquivo", audit_schema),
+                            FA.audit_rows(results_df.withColumn("loaded_at", F.current_timestamp())))
+    keep("carga_arquivo", audit, AUDIT_CHECKS, ["yr", "dataset"])
+    for r in results_df.collect():  # one row per artifact
+        facts[r["dataset"]][f"{r['yr']}/{r['source_member']}"] = f"{run_dir}/facts/{r['dataset']}"
+    for name, slices in published["facts"].items():
+        facts.setdefault(name, slices)
+    P.publish(spark, gold_root, run_dir, {"facts": facts})
+    return GoldRun(results_df, dims["carga_arquivo"])
+
+
+def read_facts(spark: SparkSession, slices: Mapping[str, str], schema=None) -> DataFrame:
+    """A fact table from its slices, each in the run folder that the pointer names."""
+    if not slices:
+        return spark.createDataFrame([], schema)
+    parts = []
+    for folder in sorted(set(slices.values())):
+        found = spark.read.schema(schema).parquet(folder) if schema is not None else spark.read.parquet(folder)
+        named = [s.split("/", 1) for s, f in slices.items() if f == folder]
+        wanted = F.struct(F.col(YEAR).cast("int"), F.col("source_member")).isin(
+            *[F.struct(F.lit(int(y)), F.lit(m)) for y, m in named])
+        parts.append(found.where(F.col(YEAR).isin(*sorted({int(y) for y, _ in named})) & wanted))
+    return _union(parts)
 
 
-def _slice_counts(spark: SparkSession, path: str) -> DataFrame:
-    fs, p = P._fs(spark, path)
-    if not fs.exists(p):
-        return spark.createDataFrame([], "ano_eleicao int, source_member string, deleted long")
-    return spark.read.parquet(path).groupBy(YEAR, "source_member").agg(F.count(F.lit(1)).alias("deleted"))
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def gold_view(spark: SparkSession, gold_root: str, dataset: str) -> DataFrame:
     """The denormalised view of one fact: ids resolved to names."""
-    run_dir = P.current_run(spark, f"{gold_root}/dims")
-    fact = spark.read.parquet(f"{gold_root}/facts/{dataset}")
+    published = P.pointer(spark, gold_root)
+    run_dir, fact = published["run"], read_facts(spark, published["facts"][dataset])
     party = spark.read.parquet(f"{run_dir}/dim_partido")
     gender = spark.read.parquet(f"{run_dir}/dim_genero")
     election = spark.read.parquet(f"{run_dir}/dim_eleicao")
@@ -503,9 +554,9 @@ def run(spark: SparkSession, lake_root: str, years: Sequence[int] | None = None,
     return {"silver_run": run_dir, "report": quality.report, "load": gold.results, "audit": gold.audit}
 
 
-def backfill(spark: SparkSession, lake_root: str, years: Sequence[int], source: str = SOURCE_NAME,
+def backfill(spark: SparkSession, lake_root: str, years: Sequence[int] | None = None, source: str = SOURCE_NAME,
              contracts: Mapping[str, Contract] = ELECTORAL_CONTRACTS) -> GoldRun:
-    """Manual load of the published silver run for ``years``.
+    """Manual load of the published silver run for ``years``, by default all it has.
 
     Per year the quality report must exist and be valid (otherwise nothing is
     loaded); the artifacts come from the silver manifests; only the silver
@@ -514,6 +565,8 @@ def backfill(spark: SparkSession, lake_root: str, years: Sequence[int], source:
     run_dir = P.current_run(spark, f"{lake_root}/silver/{source}")
     if run_dir is None:
         raise PipelineError("no published silver run")
+    if years is None:
+        years = sorted(r["year"] for r in manifest_artifacts(spark, run_dir).select("year").distinct().collect())
     years = tuple(int(y) for y in years)
     report = L.read_json(spark, f"{run_dir}/quality/report", "year int, valid boolean", years)
     status = {r["year"]: r["valid"] for r in report.collect()}  # one row per requested year
@@ -521,10 +574,7 @@ def backfill(spark: SparkSession, lake_root: str, years: Sequence[int], source:
     invalid = sorted(y for y, ok in status.items() if not ok)
     if missing or invalid:
         raise Q.GateClosed(f"quality report missing for {missing} or invalid for {invalid}")
-    manifest = L.read_json(spark, f"{run_dir}/silver_manifest", L.MANIFEST_SCHEMA, years)
-    artifacts = manifest.select("year", "kind", "archive", F.explode("artifacts").alias("a")).select(
-        "year", "kind", "archive", "a.*")
     tables = {n: f"{run_dir}/silver/{n}" for n in contracts}
     schemas = {n: spark.read.parquet(p).schema for n, p in tables.items()}
-    silver = SilverRun(run_dir, tables, artifacts, [], schemas, years)
+    silver = SilverRun(run_dir, tables, manifest_artifacts(spark, run_dir, years), [], schemas, years)
     return load_gold(spark, silver, f"{lake_root}/gold/{source}", contracts=contracts)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every stratum job relies on.  They are defaults: a cluster launcher
 # may already have set them, and an existing session keeps its own values.
@@ -50,38 +53,31 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder for checkpoints and intermediate tables.
+    """The shared folder for intermediate tables, ``spark.checkpoint.dir`` of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; it is read from the
-    session.  Only when it is unset (local tests) a private folder is created.
+    Driver and executors must both reach it, so a cluster session without the
+    setting is refused.  In ``local[...]`` one machine is the whole cluster;
+    such a session may go without and gets a folder of its own.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="stratum-ckpt-")
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _local_folder()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stratum-shared-")
 
 
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a scan that yields fewer partitions than the cluster can run.
-
-    A table stored as one large file with a single row group scans as ONE
-    task, so every CPU-heavy projection after it (regex cleaning, rule
-    evaluation) runs single-threaded.  When the planned scan has fewer
-    partitions than ``min_partitions`` (default: the default parallelism) the
-    rows are redistributed round-robin.  A large input already has many
-    splits and is returned untouched, so no shuffle is added at scale.  The
-    check reads the physical plan only; it runs no job.
-    """
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: computed once, columns pruned on read."""
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # Upper bound for an explicit broadcast: a side must be estimated below this
@@ -89,20 +85,8 @@ def ensure_parallelism(df, min_partitions: int | None = None):
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of the optimised plan (no job is run)."""
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast a declared table (fixed code lists, years, slices) whose estimate is within the bound;
+    beyond it the join shuffles, and adaptive execution decides by the size it measures."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
-
-
-def maybe_broadcast(df, max_bytes: int = BROADCAST_MAX_BYTES):
-    """Broadcast ``df`` only when its estimated size is under ``max_bytes``.
-
-    Beyond the bound the frame is returned unchanged, so the join falls back
-    to a shuffle join (and AQE may still convert it at runtime if the actual
-    size turns out small).  Used for dimension-like sides whose size is
-    bounded by definition (fixed code tables, declared years, slices).
-    """
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df

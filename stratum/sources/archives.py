@@ -27,7 +27,7 @@ import zipfile
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MEMBER_SCHEMA = "archive string, year int, member string, member_size long"
@@ -133,12 +133,16 @@ def read_members(members: DataFrame, partitions: int | None = None,
                  batch_rows: int = DEFAULT_BATCH_ROWS) -> DataFrame:
     """Raw records of every member: record 1 is the header.
 
-    ``partitions`` defaults to one task per member (bounded by the member
-    count), so members of one archive are parsed in parallel.
+    Members are dealt in turn over ``partitions`` (one task
+    per member by default), so members of one archive are parsed in parallel
+    and no two land in a task while another has none.
     """
+    listed = members.select("archive", "year", "member")
     if partitions is None:
-        partitions = max(1, members.select("archive", "member").distinct().count())
-    spread = members.select("archive", "year", "member").repartition(partitions, "archive", "member")
+        partitions = max(1, listed.count())
+    # member lists are metadata: one row per file
+    ranked = listed.withColumn("_task", F.row_number().over(Window.orderBy("archive", "member")) % partitions)
+    spread = ranked.repartitionByRange(partitions, "_task").drop("_task")
     return spread.mapInPandas(_reader(batch_rows), RECORD_SCHEMA)
 
 

@@ -1,3 +1,5 @@
+"""The test session, and lakes of sample archives generated from the contracts."""
+
 from __future__ import annotations
 
 import io
@@ -5,79 +7,73 @@ import os
 import sys
 import tempfile
 import zipfile
+from collections.abc import Iterable, Mapping
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from stratum.contracts import (  # noqa: E402
-    FEFC_COR_RACA_COLUMNS,
-    FEFC_GENERO_COLUMNS,
-    FP_COR_RACA_COLUMNS,
-    FP_GENERO_COLUMNS,
-)
+from stratum.contracts import ELECTION_TYPES, ELECTORAL_CONTRACTS, SOURCE_NAME  # noqa: E402
 
 SMALL_SF = "/root/testdata/sf0.001"
 
+#: Cells of a sample record by canonical column, as a source file has them.
+CELLS = {
+    "sigla_partido": " lua  nova ", "numero_partido": "77", "genero": "masculino", "cor_raca": "Negra",
+    "quantidade_candidatos": "4", "status_renuncia": "1", "data_geracao": "2/3/2025", "hora_geracao": "8:05:30",
+}
+MONEY_CELL, PERCENT_CELL = "9.876,50", "33,30"
+PLACES = {
+    "municipal": {"esfera_partidaria": "municipal", "sigla_uf": "rj", "sigla_ue": "60011", "municipio": "Niterói"},
+    "geral": {"esfera_partidaria": "estadual", "sigla_uf": "rj", "sigla_ue": "", "municipio": "-"},
+}
+
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from stratum.session import build_session
 
-    session = build_session(app="stratum-tests", master="local[2]", shuffle_partitions=1)
-    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-test-ckpt-"))
+    session = build_session(app="stratum-tests", master="local[2]", shuffle_partitions=1,
+                            conf={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield session
     session.stop()
 
 
-def fefc_row(year: int) -> str:
-    return f"{year}; pdt ;12; Feminino ;10;1.234,56;50,00;617,28;700,00;56,70;0;16/08/2026;13:21"
-
-
-def fp_row(year: int, percentage: str = "10,00") -> str:
-    municipal = year in (2020, 2024)
-    level = "Municipal" if municipal else "Estadual"
-    ue = "71072" if municipal else ""
-    city = "SAO PAULO" if municipal else ""
-    return (f"{year};pdt;12;{level};SP;{ue};{city};Feminino;10;1.000,00;50,00;500,00;600,00;"
-            f"{percentage};16/08/2026;13:21")
-
-
-def with_race(row: str, gender_cell: str) -> str:
-    return row.replace(gender_cell, gender_cell + "NEGRA;", 1)
-
-
-def archive_bytes(year: int, *, fp_percentage: str = "10,00", empty: str | None = None,
-                  duplicate: str | None = None, rows: dict[str, list[str]] | None = None,
-                  encoding: str = "utf-8") -> bytes:
-    """A yearly ZIP with the four members, one record each (overridable)."""
-    members = {
-        "fefc_genero": (FEFC_GENERO_COLUMNS, [fefc_row(year)]),
-        "fefc_cor_raca": (FEFC_COR_RACA_COLUMNS, [with_race(fefc_row(year), "; Feminino ;")]),
-        "fp_genero": (FP_GENERO_COLUMNS, [fp_row(year, fp_percentage)]),
-        "fp_cor_raca": (FP_COR_RACA_COLUMNS, [with_race(fp_row(year, fp_percentage), ";Feminino;")]),
-    }
-    for name, new_rows in (rows or {}).items():
-        members[name] = (members[name][0], new_rows)
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-        for name, (header, body) in members.items():
-            text = ";".join(header) + "\n" + ("" if name == empty else "\n".join(body))
-            zf.writestr(f"{name}_{year}.csv", text.encode(encoding))
-        if duplicate:
-            header, body = members[duplicate]
-            zf.writestr(f"copia/{duplicate}_{year}.csv", (";".join(header) + "\n" + "\n".join(body)).encode())
-    return buf.getvalue()
-
-
-def make_lake(archives: dict[int, bytes] | list[tuple[int, bytes]]) -> str:
-    """A fresh lake folder with the archives in bronze's year partitions."""
+def line(dataset: str, year: int, **cells: str) -> str:
+    """A record of a dataset; ``cells`` replace sample cells by canonical name."""
+    contract = ELECTORAL_CONTRACTS[dataset]
+    out = []
+    for column in contract.canonical_columns:
+        sample = MONEY_CELL if column.startswith("valor_") else PERCENT_CELL
+        known = {"ano_eleicao": str(year), **CELLS, **PLACES[ELECTION_TYPES[year]], **cells}
+        out.append(known.get(column, sample))
+    return ";".join(out)
+
+
+def archive(year: int, lines: Mapping[str, Iterable[str]] | None = None, more: Mapping[str, str] | None = None,
+            encoding: str = "utf-8", headers: Mapping[str, str] | None = None) -> bytes:
+    """A year's ZIP: one sample record in each dataset unless ``lines`` has others; ``more`` members as text."""
+    members = {}
+    for dataset, contract in ELECTORAL_CONTRACTS.items():
+        header = (headers or {}).get(dataset, ";".join(contract.source_columns))
+        members[f"{dataset}_{year}.csv"] = "\n".join([header, *(lines or {}).get(dataset, [line(dataset, year)])]) + "\n"
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as target:
+        for name, text in {**members, **(more or {})}.items():
+            target.writestr(name, text.encode(encoding))
+    return packed.getvalue()
+
+
+def lake_of(*archives: tuple[int, bytes]) -> str:
+    """A new lake whose bronze layer holds the archives, each under its year."""
     root = tempfile.mkdtemp(prefix="stratum-lake-")
-    items = archives.items() if isinstance(archives, dict) else archives
-    for i, (year, data) in enumerate(items):
-        folder = os.path.join(root, "bronze", "fundo_eleitoral", f"ano_eleicao={year}", "raw")
+    for number, (year, data) in enumerate(archives):
+        folder = os.path.join(root, "bronze", SOURCE_NAME, f"ano_eleicao={year}", "raw")
         os.makedirs(folder, exist_ok=True)
-        suffix = "" if i == 0 or isinstance(archives, dict) else f"_{i}"
-        with open(os.path.join(folder, f"archive_{year}{suffix}.zip"), "wb") as fh:
-            fh.write(data)
+        with open(os.path.join(folder, f"{number}.zip"), "wb") as out:
+            out.write(data)
     return root
+
+
+def lake_with(year: int = 2024, **lines: list[str]) -> str:
+    return lake_of((year, archive(year, lines)))

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from stratum.plans.catalog import QUERIES
+from stratum.plans.oracle import ORACLE
 from tests.conftest import SMALL_SF
 from tools.oracle_check import TABLES, norm
 
-QUERIES = queries()
-ORACLE = oracle_sql()
-
-
 @pytest.fixture(scope="module")
 def duck():
     duckdb = pytest.importorskip("duckdb")
@@ -27,9 +25,8 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_marked():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"json_manifest"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

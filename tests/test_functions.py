@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.contracts import snake_case, strip_accents
+from stratum.contracts import snake_case
 from stratum.functions import clean as C
 from stratum.functions.keys import natural_key
 
@@ -82,10 +82,8 @@ def test_upper_follows_unicode_rules(spark):
 
 
 def test_names():
-    assert snake_case("Nome Completo") == "nome_completo"
-    assert snake_case(" Preço (R$) ") == "preco_r"
-    assert snake_case("***") == "coluna"
-    assert strip_accents("ÇÃO") == "CAO"
+    names = {"Valor Pago (R$)": "valor_pago_r", " ÓRGÃO--nº 2 ": "orgao_no_2", "a–b": "a_b", "?!": "coluna", "": "coluna"}
+    assert {n: snake_case(n) for n in names} == names
 
 
 def test_natural_key_trims_and_empties_nulls(spark):

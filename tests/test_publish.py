@@ -1,29 +1,37 @@
-"""Slice replacement on disk and the pointer-file publish."""
+"""Slice replacement on disk, and the pointer that moves in one step."""
 
 from __future__ import annotations
 
-import os
-import tempfile
+import pytest
 
 from stratum.operators import publish as P
 
 
-def test_write_slices_replaces_only_named_slices(spark):
-    path = os.path.join(tempfile.mkdtemp(prefix="stratum-slices-"), "fact")
-    first = spark.createDataFrame([(2020, "a.csv", 1), (2020, "a.csv", 2), (2022, "b.csv", 3)],
-                                  "yr int, member string, v int")
-    P.write_slices(first, path, ["yr", "member"])
-    again = spark.createDataFrame([(2020, "a.csv", 10)], "yr int, member string, v int")
-    P.write_slices(again, path, ["yr", "member"])
-    got = sorted((r["yr"], r["member"], r["v"]) for r in spark.read.parquet(path).collect())
-    assert got == [(2020, "a.csv", 10), (2022, "b.csv", 3)]
-
-
-def test_publish_switches_the_pointer(spark):
-    base = tempfile.mkdtemp(prefix="stratum-pub-")
-    assert P.current_run(spark, base) is None
-    run1, run2 = P.new_run(base), P.new_run(base)
-    P.publish(spark, base, run1)
-    assert P.current_run(spark, base) == run1
-    P.publish(spark, base, run2)
-    assert P.current_run(spark, base) == run2
+def test_only_named_slices_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    ddl = "yr int, member string, v int"
+    P.write_slices(spark.createDataFrame([(2020, "a", 1), (2020, "a", 2), (2022, "b", 3)], ddl), path, ["yr", "member"])
+    P.write_slices(spark.createDataFrame([(2020, "a", 9)], ddl), path, ["yr", "member"])
+    assert sorted((r["yr"], r["v"]) for r in spark.read.parquet(path).collect()) == [(2020, 9), (2022, 3)]
+
+
+def test_the_pointer_moves_and_carries_its_facts(spark, tmp_path):
+    base = str(tmp_path)
+    assert P.pointer(spark, base) is None and P.current_run(spark, base) is None
+    for name in ("one", "two"):
+        P.publish(spark, base, name, {"facts": {"t": {"2020/a": name}}})
+        assert P.pointer(spark, base) == {"run": name, "facts": {"t": {"2020/a": name}}}
+    assert P.current_run(spark, base) == "two"
+
+
+def test_a_crash_before_the_rename_leaves_the_old_pointer(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    P.publish(spark, base, "one")
+
+    def lost(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(P, "_replace", lost)
+    with pytest.raises(OSError):
+        P.publish(spark, base, "two")
+    assert P.current_run(spark, base) == "one"
