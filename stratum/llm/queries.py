@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import bpe, decontaminate, extract, jaccard, licenses, quality, secrets, substrings, urls, warc
 from stratum.llm.common import scratch
+from stratum.llm.oracle import ORACLE
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,4 +90,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -233,7 +234,19 @@ def test_each_stage_takes_odd_rows_and_no_rows(spark):
     assert masked[2]["text"] == "[secret] " * 20_000 and masked[2]["n_chars"] == 180_000 and masked[3]["n_chars"] == 0
 
 
-def test_nothing_is_registered_twice(spark):
+def test_all_are_registered():
     import __spark_entry__
     names = set(__spark_entry__.queries())
     assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_against_their_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    found = queries.QUERIES[name](spark, SMALL)
+    expected = duck.execute(queries.ORACLE[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(columns) == sorted(found.columns)
+    assert Counter(tuple(r[c] for c in columns) for r in rows(found)) == Counter(expected.fetchall())
