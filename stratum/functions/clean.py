@@ -129,10 +129,6 @@ def base_name(path: Column | str) -> Column:
     return F.regexp_extract(_col(path), r"([^/]+)$", 1)
 
 
-def stem(path: Column | str) -> Column:
-    return F.regexp_replace(base_name(path), r"\.[^.]*$", "")
-
-
 def as_text(c: Column | str, dtype: str) -> Column:
     """Textual form of a typed silver value, as the CSV export writes it."""
     c = _col(c)

@@ -317,6 +317,20 @@ def coverage(parent: DataFrame, child: DataFrame, key: Sequence[str], group: Seq
     )
 
 
+def coverage_issues(parent: DataFrame, child: DataFrame, key: Sequence[str], artifact: str,
+                    year_col: str) -> tuple[DataFrame, DataFrame]:
+    """``cross_dataset_integrity`` per year (issue columns and ``year_col``), and the parents of each
+    year as the rows of ``artifact``, which make the rate of its issue."""
+    sides = ("parent_without_child", "child_without_parent")
+    found = coverage(parent, child, key, group=[year_col]).groupBy(year_col).pivot("side", list(sides)).agg(
+        F.sum("n")).fillna(0)
+    message = F.format_string("parent/child coverage inconsistent: without child=%d, orphans=%d", *sides)
+    issues = found.select(*table_issue(
+        F.lit(artifact), "cross_dataset_integrity", message, F.col(sides[0]) + F.col(sides[1])), year_col)
+    parents = parent.select(year_col, *key).distinct().groupBy(year_col).agg(F.count(F.lit(1)).alias("rows"))
+    return issues, parents.select(year_col, F.lit(artifact).alias("artifact"), "rows")
+
+
 def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``(by..., column, n)``: blank-or-null values per column, n >= 1 only."""
     types = dict(df.dtypes)

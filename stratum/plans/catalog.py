@@ -7,6 +7,7 @@ aliases of the matching SQL in :mod:`stratum.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -393,6 +394,21 @@ def quality_report_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.report(issues.withColumn("yr", year), arts, ["yr"])
 
 
+@query
+def issue_rollup_multi_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of several years that share an artifact's name: coverage of parent
+    and child files and counts that differ from the manifest, each year's apart."""
+    parent, child = family = T.parent_and_child(spark, sf_dir)
+    bad_child = T.with_holes(child)
+    issues, rows = Q.coverage_issues(parent, bad_child, ["party_no", "party_name", "seg"], "files", "yr")
+    arts = T.v_artifact(spark, sf_dir, family).distinct()
+    message = F.format_string("observed count %d differs from manifest %d", "observed", "expected")
+    counts = arts.where("observed <> expected").select(
+        *Q.table_issue(F.col("dataset"), "row_count_integrity", message, F.lit(1)), "yr")
+    rows = rows.unionByName(arts.select("yr", F.col("dataset").alias("artifact"), F.col("observed").alias("rows")))
+    return Q.rollup(issues.unionByName(counts), rows, by=["yr"])
+
+
 # ---------------------------------------------------------------- batch 6: gold
 
 from stratum.functions.keys import natural_key  # noqa: E402
@@ -610,6 +626,40 @@ def gated_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return family[0].join(valid, "yr", "left_semi")
 
 
+# ------------------------------------------------------------ batch 7: lake I/O
+
+from stratum.session import checkpoint_dir  # noqa: E402
+from stratum.sources import lake as L  # noqa: E402
+
+
+def _lake_path(spark: SparkSession, layer: str, name: str) -> str:
+    root = f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    return L.prefix(root, layer, "fixture", sub=name)
+
+
+@query
+def silver_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table exported as CSV below its layer's prefix and read back as text."""
+    silver = S.to_silver(T.raw_orders(spark, sf_dir), T.RAW_CONTRACT, SOURCE, keep_invalid=False)
+    types = dict(silver.dtypes)
+    columns = ["source_row_number", "yr", "int_val", "date_val", "time_val", "status"]
+    path = _lake_path(spark, "silver", "orders")
+    L.export_csv(silver.select(*[C.as_text(c, types[c]).alias(c) for c in columns]), path)
+    return L.read_text_csv(spark, path, columns)
+
+
+@query
+def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parent files appended year by year's parity to one partitioned table, read back and counted."""
+    parent, _ = T.parent_and_child(spark, sf_dir)
+    path = _lake_path(spark, "gold", "parents")
+    for odd in (0, 1):
+        L.save_table(parent.where(F.col("yr") % 2 == odd), path, partition_by=("yr",))
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("yr").cast("int").alias("yr")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("total"))
+
+
 # -------------------------------------------------------------------- manifests
 
 

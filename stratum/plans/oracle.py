@@ -589,3 +589,28 @@ ORACLE["json_manifest"] = W(
     FROM v_artifact""",
     "v_artifact",
 )
+ORACLE["issue_rollup_multi_year"] = W(
+    """, p AS (SELECT DISTINCT yr, party_no, party_name, seg FROM v_parent),
+    c AS (SELECT DISTINCT yr, party_no, party_name, seg FROM v_child_bad),
+    n AS (SELECT yr, count(*) FILTER (WHERE side = 1) AS no_child, count(*) FILTER (WHERE side = 2) AS orphans
+          FROM (SELECT *, 1 AS side FROM (SELECT * FROM p EXCEPT SELECT * FROM c)
+                UNION ALL SELECT *, 2 AS side FROM (SELECT * FROM c EXCEPT SELECT * FROM p)) GROUP BY yr)
+    SELECT n.yr, 'files' AS artifact, 'cross_dataset_integrity' AS rule, 'error' AS severity,
+      CAST(NULL AS VARCHAR) AS "column", CAST(no_child + orphans AS BIGINT) AS n,
+      round((no_child + orphans) / (SELECT count(*) FROM p WHERE p.yr = n.yr)::DOUBLE, 6) AS rate,
+      'parent/child coverage inconsistent: without child=' || no_child || ', orphans=' || orphans AS message
+    FROM n
+    UNION ALL
+    SELECT DISTINCT yr, dataset, 'row_count_integrity', 'error', CAST(NULL AS VARCHAR), CAST(1 AS BIGINT),
+      round(1 / observed::DOUBLE, 6), 'observed count ' || observed || ' differs from manifest ' || expected
+    FROM v_artifact WHERE observed <> expected""",
+    "v_parent", "v_child_bad", "v_artifact",
+)
+ORACLE["silver_csv_round_trip"] = RAW(
+    f"""SELECT CAST(k AS VARCHAR) AS source_row_number, CAST(yr AS VARCHAR) AS yr, CAST(int_val AS VARCHAR) AS int_val,
+        CAST(date_val AS VARCHAR) AS date_val, time_val, status FROM ({_typed_sql(True)})""")
+ORACLE["appended_table"] = W(
+    """SELECT CAST(yr AS INTEGER) AS yr, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total
+    FROM v_parent GROUP BY yr""",
+    "v_parent",
+)

@@ -296,14 +296,9 @@ def run_quality(
             continue
         key = [k for k in contracts[parent].parent_key if k != contracts[parent].year_column]
         p, ch = (frames[n].withColumn("year", F.col("_pyear").cast("int")) for n in (parent, child))
-        sides = Q.coverage(p, ch, key, group=["year"]).groupBy("year").pivot(
-            "side", ["parent_without_child", "child_without_parent"]).agg(F.sum("n")).fillna(0)
-        message = F.format_string("parent/child coverage inconsistent: without child=%d, orphans=%d",
-                                  "parent_without_child", "child_without_parent")
-        n = F.col("parent_without_child") + F.col("child_without_parent")
-        found.append(sides.select(*Q.table_issue(F.lit(fund), "cross_dataset_integrity", message, n), "year"))
-        parents = p.select("year", *key).distinct().groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
-        rows = rows.unionByName(parents.select("year", F.lit(fund).alias("artifact"), "rows"))
+        pair_issues, parents = Q.coverage_issues(p, ch, key, fund, "year")
+        found.append(pair_issues)
+        rows = rows.unionByName(parents)
     base = f"{silver.run_dir}/quality" if write else f"{silver.run_dir}/quality-trial-{uuid.uuid4().hex}"
     issue_schema = Q.ISSUE_SCHEMA + ", year int"
     _union([f.select(*Q.ISSUE_COLUMNS, F.col("year").cast("int").alias("year")) for f in found]) \
@@ -545,12 +540,13 @@ def gold_view(spark: SparkSession, gold_root: str, dataset: str) -> DataFrame:
 def run(spark: SparkSession, lake_root: str, years: Sequence[int] | None = None,
         source: str = SOURCE_NAME) -> dict:
     """The daily job.  Raises (publishing nothing) on contract or gate failure."""
-    run_dir = P.new_run(f"{lake_root}/silver/{source}")
-    silver = build_silver(spark, f"{lake_root}/bronze/{source}", run_dir, years=years)
+    bronze, base, gold_root = (L.prefix(lake_root, layer, source).rstrip("/") for layer in ("bronze", "silver", "gold"))
+    run_dir = P.new_run(base)
+    silver = build_silver(spark, bronze, run_dir, years=years)
     quality = run_quality(spark, silver)
     Q.gate(quality.report, ["year"])
-    gold = load_gold(spark, silver, f"{lake_root}/gold/{source}")
-    P.publish(spark, f"{lake_root}/silver/{source}", run_dir)
+    gold = load_gold(spark, silver, gold_root)
+    P.publish(spark, base, run_dir)
     return {"silver_run": run_dir, "report": quality.report, "load": gold.results, "audit": gold.audit}
 
 

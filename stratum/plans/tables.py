@@ -93,7 +93,11 @@ def v_child(spark: SparkSession, sf_dir: str, line: DataFrame | None = None) ->
 
 def v_child_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Child with holes (some parent keys lack children) and orphans."""
-    child = v_child(spark, sf_dir)
+    return with_holes(v_child(spark, sf_dir))
+
+
+def with_holes(child: DataFrame) -> DataFrame:
+    """A child file without the children of some parents and with orphans."""
     holes = child.where(~((F.col("party_no") % 7 == 0) & (F.col("seg") == "A")))
     orphans = child.where(F.col("party_no") == 1).withColumn("party_no", F.lit(-1).cast("bigint"))
     return holes.unionByName(orphans)

@@ -99,7 +99,7 @@ def read_json(spark: SparkSession, path: str, schema: str, years: Sequence[int]
 
 
 def save_table(df: DataFrame, name_or_path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
-    """DataFrame sink: a catalog table name (``saveAsTable``) or a path.
+    """DataFrame sink: a catalog table's name (``saveAsTable``) or a path.
 
     ``mode`` is ``append``, ``overwrite`` or ``error`` (fail if it exists).
     """
