@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stratum.llm.common import slices, utf8, written
 
 #: Bytes of text in a block, unless one text has more.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 #: A random value for each byte, and an odd base with its inverse modulo 2^64.

@@ -51,7 +51,7 @@ from stratum.llm.common import written
 from stratum.llm.components import components
 
 #: Keys for a bucket, sets from which on a key is frequent, sets in a chunk of a cluster.
-BUCKET_KEYS, FREQUENT, CHUNK = 500_000, 64, 512
+BUCKET_KEYS, FREQUENT, CHUNK = 500_000, 24, 512
 #: Of the cost model: chance that a segment with a single shingle is shared by chance.
 SINGLE_SHARED = 0.02
 
