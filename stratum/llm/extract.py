@@ -39,10 +39,13 @@ noscript object option script select style svg template textarea title video""".
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 VERBATIM = frozenset("script style textarea title noscript iframe".split())
 #: Words in an element's class, id or role that name something beside the article.
-ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|consent|contentinfo|"
-                   r"cookies?|discussion|disqus|dropdown|footer|gdpr|masthead|menu|modal|nav\w*|newsletter|notice|"
-                   r"notification|pagination|popup|promo\w*|related|repl(?:y|ies)|responses?|search|share|sharing|"
-                   r"sidebar|signup|social|sponsor\w*|subscribe|teaser|toolbar|widget)(?:[\s_-]|\d|$)", re.IGNORECASE)
+ASIDE = re.compile(r"(?:^|[_-])(?:ads?|advert\w*|alerts?|announcements?|banners?|breadcrumbs?|comments?|complementary|"
+                   r"consent|contentinfo|cookies?|copyright|discussion|disqus|dropdown|footers?|gdpr|login|masthead|menus?|"
+                   r"modal|nav\w*|newsletter|notices?|notification|pagination|popups?|promo\w*|related|repl(?:y|ies)|"
+                   r"responses?|search|share|sharing|sidebars?|signup|social|sponsor\w*|subscribe|teasers?|toolbar|topbar|"
+                   r"widgets?)(?:[_-]|\d|$)", re.IGNORECASE)
+#: Beginnings of names that tell what an element has or lacks rather than what it is.
+ABOUT = re.compile(r"(?:no|not|has|with|without|is|open)[_-]", re.IGNORECASE)
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 #: Weights of the smoothing along the page, from a block to its second neighbours.
 KERNEL = (0.4, 0.2, 0.1)
@@ -53,6 +56,8 @@ THRESHOLD = 0.5
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|"""
                     r"""</?[a-zA-Z][^>]*\Z""", re.DOTALL)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_WORD = re.compile(r"[a-z]+")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 
 
@@ -115,11 +120,10 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
             if tag not in VOID and not token[3].rstrip().endswith("/"):
                 attributes = {k.lower(): v.strip("\"'") for k, v in _NAMES.findall(token[3])} if token[3] else {}
                 names = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).strip()
-                # the article itself may carry such a name; its parts may not
                 silent = here.silent or tag in SILENT or "hidden" in attributes or (
-                    tag not in ("html", "body", "main") and bool(names) and bool(ASIDE.search(names)))
-                if tag == "header":
-                    silent = here.silent or not _inside_article(here)
+                    bool(names) and tag not in ("html", "body", "main") and _beside(names))
+                if not silent and (tag == "header" or "header" in _WORD.findall(names.lower())):
+                    silent = not _inside_article(here)
                 here = _Element(tag, names, here, silent)
                 verbatim = tag if tag in VERBATIM else None
     if not here.silent and not verbatim:
@@ -128,6 +132,11 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
     return out
 
 
+def _beside(names: str) -> bool:
+    """Whether one of an element's names, as it is or with camel case split, is that of something beside the article."""
+    return any(ASIDE.search(name) or ASIDE.search(_CAMEL.sub("-", name)) for name in names.split() if not ABOUT.match(name))
+
+
 def _inside_article(element: _Element | None) -> bool:
     while element is not None:
         if element.tag in ("article", "main"):

@@ -64,6 +64,13 @@ def test_what_is_left_out_and_what_stays(container):
         "A title & more", LONG, "Short.", "Quoted, boldly, été <tag>.", "One, two.", LONG + " And a link."]
 
 
+def test_names_are_judged_word_by_word():
+    page = (f'<body class="no-sidebar"><div class="header">Site, name.</div><div class="content has-comments"><p>{LONG}</p>'
+            f'<div class="sideBar"><p>{LONG}</p></div><div class="loadable"><p>Kept, too.</p></div></div>'
+            f'<div id="commentList"><p>{LONG}</p></div></body>')
+    assert extract.main_text(page) == f"{LONG}\nKept, too."
+
+
 def test_extraction_of_odd_pages(spark):
     found = [("u", None), (None, ""), ("u", "no tags, only text"), ("u", "<p>a<p>b</div></b>"), ("u", "<article><p>cut &am"),
              ("u", "<article><p>cut <a hre"), ("u", "<p>" + "x y. " * 50_000), ("u", "<div>" * 3000 + "deep"), ("u", "<p>a<p>b</div></b>")]
