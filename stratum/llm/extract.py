@@ -50,7 +50,7 @@ PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 #: Weights of the smoothing along the page, from a block to its second neighbours.
 KERNEL = (0.4, 0.2, 0.1)
 #: Share of the content nodes' text that the article's element holds.
-MOST = 0.8
+MOST = 0.9
 #: A path is content from this share of the page's mean fused value on.
 THRESHOLD = 0.5
 
@@ -182,7 +182,7 @@ def article(blocks: list[tuple[str, _Element]], content: list[bool]) -> _Element
     for (text, element), chosen in zip(blocks, content):
         if chosen:
             total += len(text)
-            # a paragraph is a part of an article, never the whole of several blocks
+            element = element.parent or element  # a block is a part of an article, never the whole
             while element is not None:
                 held[element] += len(text)
                 element = element.parent
