@@ -40,10 +40,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: a cut of the lineage that outlives executors."""
+    """``df`` as a Parquet table in the shared folder: a cut of the lineage that outlives executors.
+
+    Shuffle files that only the finished stages needed go when the driver collects its garbage,
+    so it is asked to here; a long chain of operators would otherwise hold them all.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

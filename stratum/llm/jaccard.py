@@ -321,7 +321,7 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
                 few = keys[code == 1]
                 if len(few) or len(frequent):
                     for name, value in zip(_SIGNED.names, (
-                            cls, len(shingles), allocation.differ, few.view(np.int64), frequent.view(np.int64),
+                            cls, len(shingles), few.view(np.int64), frequent.view(np.int64),
                             allocation.odd_sketch(shingles).view(np.int64), number)):
                         out[name].append(value)
         return pa.table([pa.array(v, f.type) for v, f in zip(out.values(), _SIGNED)], schema=_SIGNED)
@@ -330,7 +330,7 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
              .groupBy("bucket").applyInArrow(answered, "block long, bucket long, codes binary"))
     signed = written(
         texts.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(
-            signed_rows, "cls long, n long, differ long, few array<long>, frequent array<long>, sketch array<long>, band int"),
+            signed_rows, "cls long, n long, few array<long>, frequent array<long>, sketch array<long>, band int"),
         "signatures").dropDuplicates(["cls", "band"])
     pairs = written(_pairs(signed, rule), "pairs")
     members = written(_clusters(signed), "clusters")
@@ -344,7 +344,7 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
     return verified.unionByName(_cluster_links(members, sets, rule))
 
 
-_SIGNED = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("differ", pa.int64()), ("few", pa.list_(pa.int64())),
+_SIGNED = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("few", pa.list_(pa.int64())),
                      ("frequent", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("band", pa.int32())])
 
 
@@ -358,10 +358,12 @@ def _pairs(signed: DataFrame, rule: Rule) -> DataFrame:
         "band", "one", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("other"))
     sizes = F.least("one.n", "other.n") * rule.of >= F.greatest("one.n", "other.n") * rule.share
     pairs = pairs.where(sizes).select("band", F.col("one.cls").alias("a"), F.col("other.cls").alias("b")).distinct()
-    one, other = (signed.select(F.col("cls").alias(c), "band", F.col("sketch").alias(f"s_{c}"), F.col("differ").alias(f"d_{c}"))
+    one, other = (signed.select(F.col("cls").alias(c), "band", F.col("sketch").alias(f"s_{c}"), F.col("n").alias(f"n_{c}"))
                   for c in "ab")
     differ = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return pairs.join(one, ["a", "band"]).join(other, ["b", "band"]).where(differ <= F.col("d_a")).select("a", "b").distinct()
+    most = (rule.of - rule.share) * (F.col("n_a") + F.col("n_b"))
+    return pairs.join(one, ["a", "band"]).join(other, ["b", "band"]).where(
+        differ * (rule.of + rule.share) <= most).select("a", "b").distinct()
 
 
 def _clusters(signed: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ out of line beyond the median by ``SPREAD`` interquartile ranges, but never
 below the rule's floor, so that sources without any spread keep their clean
 texts.  Sketches are built in each map task and merged, so a source with a
 third of all rows costs no more than any other.  Thresholds (a row for each
-language and source) join the measured rows, which are written once in between.
+language and source) join the measured rows; measures, without their texts, are
+written once in between.
 
 Null counts as a text without words, which fails the base rules, as an empty
 text does.  A null language or source is a group of its own.  Repeated rows are
@@ -119,16 +120,18 @@ def thresholds(rows: DataFrame, groups: list[str]) -> DataFrame:
     return sketched.select(*(F.col(g).alias(f"of_{g}") for g in groups), *map(limit, FLOORS))
 
 
-def judged(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"),
-           keep_cols: tuple[str, ...] | None = None) -> DataFrame:
-    """``row`` (the document's columns, or ``keep_cols``, as a struct), its measures ``m``, ``base_failed`` and ``kept``."""
+def _limits(docs: DataFrame, text_col: str, group_cols: tuple[str, ...], keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The written rows (``keep`` columns as struct ``row``, groups, measures ``m``) and their groups' thresholds."""
     groups = [f"group_{i}" for i in range(len(group_cols))]
     rows = written(docs.select(
-        F.struct(*(docs[c] for c in keep_cols or docs.columns)).alias("row"),
+        F.struct(*(docs[c] for c in keep)).alias("row"),
         *(docs[c].alias(g) for c, g in zip(group_cols, groups)), measures(docs[text_col]).alias("m")), "quality-measures")
-    limits = written(thresholds(rows, groups), "quality-thresholds")
+    return rows, written(thresholds(rows, groups), "quality-thresholds")
+
+
+def _verdicts(rows: DataFrame, limits: DataFrame, n_groups: int) -> DataFrame:
     same = F.lit(True)
-    for g in groups:
+    for g in (f"group_{i}" for i in range(n_groups)):
         same = same & F.col(g).eqNullSafe(F.col(f"of_{g}"))
     m = F.col("m")
     in_line = F.lit(True)
@@ -138,6 +141,20 @@ def judged(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...]
         "row", "m", base_failed(m).alias("base_failed"), (~base_failed(m) & in_line).alias("kept"))
 
 
+def judged(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"),
+           keep_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``row`` (the ``keep_cols`` as a struct), its measures ``m``, ``base_failed`` and ``kept``."""
+    rows, limits = _limits(docs, text_col, group_cols, list(keep_cols))
+    return _verdicts(rows, limits, len(group_cols))
+
+
 def keep(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """``docs`` with its columns, without the texts that fail the base rules or lie out of line."""
-    return judged(docs, text_col, group_cols).where("kept").select("row.*")
+    """``docs`` with its columns, without the texts that fail the base rules or lie out of line.
+
+    Texts are measured again where they are filtered, so that no second copy of them is written.
+    """
+    _, limits = _limits(docs, text_col, group_cols, list(group_cols))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+                       *(docs[c].alias(f"group_{i}") for i, c in enumerate(group_cols)),
+                       measures(docs[text_col]).alias("m"))
+    return _verdicts(rows, limits, len(group_cols)).where("kept").select("row.*")
