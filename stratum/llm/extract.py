@@ -15,6 +15,8 @@ Null and empty html give an empty text, as do pages without text.  Repeated rows
 are each extracted; other columns aren't read.  Broken markup is read as it
 comes: a block element closes an open paragraph, an end tag closes up to its
 start tag, an end tag without one is ignored, a tag that is cut off is dropped.
+What lies between a script's, title's or similar tag and its end tag isn't read as
+markup; without an end tag it reaches to the end of the page.
 """
 
 from __future__ import annotations
@@ -56,6 +58,8 @@ THRESHOLD = 0.5
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|"""
                     r"""</?[a-zA-Z][^>]*\Z""", re.DOTALL)
+#: A verbatim element's end tag.
+_ENDS = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*)?(?:>|\Z)", re.IGNORECASE) for tag in VERBATIM}
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[a-z]+")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
@@ -75,7 +79,7 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
     out: list[tuple[str, _Element]] = []
     root = here = _Element("", "", None, False)
     held: list[str] = []
-    at, verbatim = 0, None
+    at = 0
 
     def flush():
         text = " ".join(html.unescape("".join(held)).split())
@@ -86,13 +90,11 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
                 block = block.parent
             out.append((text, block))
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         closing, tag = token[1], (token[2] or "").lower()
-        if verbatim and not (closing and tag == verbatim):
-            continue
-        if not here.silent and token.start() > at and not verbatim:
+        if not here.silent and token.start() > at:
             held.append(page[at:token.start()])
-        at, verbatim = token.end(), None
+        at = token.end()
         if not tag:
             continue
         if closing:
@@ -117,7 +119,12 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
                     to = to.parent
             elif tag == "br":
                 held.append(" ")
-            if tag not in VOID and not token[3].rstrip().endswith("/"):
+            if tag in VOID or token[3].rstrip().endswith("/"):
+                continue
+            if tag in VERBATIM:
+                end = _ENDS[tag].search(page, at)
+                at = end.end() if end else len(page)
+            else:
                 attributes = {k.lower(): v.strip("\"'") for k, v in _NAMES.findall(token[3])} if token[3] else {}
                 names = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).strip()
                 silent = here.silent or tag in SILENT or "hidden" in attributes or (
@@ -125,8 +132,7 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
                 if not silent and (tag == "header" or "header" in _WORD.findall(names.lower())):
                     silent = not _inside_article(here)
                 here = _Element(tag, names, here, silent)
-                verbatim = tag if tag in VERBATIM else None
-    if not here.silent and not verbatim:
+    if not here.silent:
         held.append(page[at:])
     flush()
     return out

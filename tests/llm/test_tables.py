@@ -71,6 +71,17 @@ def test_names_are_judged_word_by_word():
     assert extract.main_text(page) == f"{LONG}\nKept, too."
 
 
+@pytest.mark.parametrize("piece", [
+    "<script>for(i=0;i<n;i++){f(i)}</script>", "<script>s='<!--'; t=\"it's\"</script>", "<SCRIPT>a<b</Script >",
+    "<style>a:after{content:'<b'}</style>", "<textarea>x<y \"</textarea>", "<noscript><img alt='</noscript>",
+    "<script>x = '<\\/script>' + '</scripts' + \"<p\"</script\n>", "<iframe><!-- <a</iframe>"])
+def test_markup_inside_verbatim_elements_is_not_read(piece):
+    page = (f"<html><head><title>If a<b then \"c</title>{piece}</head><body><div><p>{LONG}</p>{piece}<p>{LONG}</p>"
+            f"<script>let last = 1</script><p>After{piece}wards, too.</p></div></body></html>")
+    assert extract.main_text(page) == f"{LONG}\n{LONG}\nAfterwards, too."
+    assert extract.main_text(f"<p>{LONG}</p><script>if (a<b) {{ cut off") == LONG
+
+
 def test_extraction_of_odd_pages(spark):
     found = [("u", None), (None, ""), ("u", "no tags, only text"), ("u", "<p>a<p>b</div></b>"), ("u", "<article><p>cut &am"),
              ("u", "<article><p>cut <a hre"), ("u", "<p>" + "x y. " * 50_000), ("u", "<div>" * 3000 + "deep"), ("u", "<p>a<p>b</div></b>")]
