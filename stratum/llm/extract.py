@@ -8,7 +8,10 @@ page's threshold are content nodes.  The smallest element that holds most of the
 content nodes' text is the article: short paragraphs and headings inside it stay,
 whatever their ratio, and what lies outside it goes.  Elements that are no
 article text by tag or by name (menus, adverts, forms, comments and the like)
-are left out before paths are counted.
+are left out before paths are counted.  A name alone never takes out an article
+element (unless inside another one), nor an element that holds more than ``WHOLE``
+of the content nodes' text as they are with all named elements in, unless the page
+has an article element elsewhere.
 
 Each page is a row of its own, without a shuffle; a page is held by one task.
 Null and empty html give an empty text, as do pages without text.  Repeated rows
@@ -36,8 +39,8 @@ from stratum.llm.common import kind, slices
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol optgroup option p pre section
 select summary table tbody td tfoot th thead title tr ul""".split())
-SILENT = frozenset("""aside audio button canvas datalist dialog footer form head iframe input label math menu nav
-noscript object option script select style svg template textarea title video""".split())
+SILENT = frozenset("""annotation annotation-xml aside audio button canvas datalist dialog footer form head iframe input
+label menu nav noscript object option script select style svg template textarea title video""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 VERBATIM = frozenset("script style textarea title noscript iframe".split())
 #: Words in an element's class, id or role that name something beside the article.
@@ -53,6 +56,8 @@ PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 KERNEL = (0.4, 0.2, 0.1)
 #: Share of the content nodes' text that the article's element holds.
 MOST = 0.9
+#: An element that holds more than this share of the content nodes' text isn't beside the article, whatever its name.
+WHOLE = 0.5
 #: A path is content from this share of the page's mean fused value on.
 THRESHOLD = 0.5
 
@@ -62,38 +67,40 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _ENDS = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*)?(?:>|\Z)", re.IGNORECASE) for tag in VERBATIM}
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[a-z]+")
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
+#: An attribute's name and its value, quoted or bare.
+_ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|\S*))?""")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "silent", "depth")
+    __slots__ = ("tag", "parent", "path", "silent", "depth", "beside")
 
-    def __init__(self, tag: str, names: str, parent: _Element | None, silent: bool):
+    def __init__(self, tag: str, names: str, parent: _Element | None, silent: bool, beside: bool = False):
         self.tag, self.parent, self.silent = tag, parent, silent
+        self.beside = self if beside else parent.beside if parent else None  # the innermost whose name is beside the article
         self.path = (parent.path if parent else "") + "/" + tag + ("." + names if names else "")
         self.depth = parent.depth + 1 if parent else 0
 
 
 def blocks_of(page: str) -> list[tuple[str, _Element]]:
-    """The page's text blocks outside silent elements, in order: text and the element that holds it."""
-    out: list[tuple[str, _Element]] = []
+    """The page's text blocks outside silent elements and those that their names rule out, in order: text
+    and the element that holds it."""
+    found: _Found = []
     root = here = _Element("", "", None, False)
-    held: list[str] = []
+    held: list[tuple[str, _Element | None]] = []
     at = 0
 
     def flush():
-        text = " ".join(html.unescape("".join(held)).split())
-        held.clear()
-        if text:
+        if held:
             block = here
             while block.parent is not None and block.tag not in BLOCKS:
                 block = block.parent
-            out.append((text, block))
+            found.append((held.copy(), block))
+            held.clear()
 
     while token := _TOKEN.search(page, at):
         closing, tag = token[1], (token[2] or "").lower()
         if not here.silent and token.start() > at:
-            held.append(page[at:token.start()])
+            held.append((page[at:token.start()], here.beside))
         at = token.end()
         if not tag:
             continue
@@ -118,23 +125,67 @@ def blocks_of(page: str) -> list[tuple[str, _Element]]:
                         break
                     to = to.parent
             elif tag == "br":
-                held.append(" ")
+                held.append((" ", here.beside))
             if tag in VOID or token[3].rstrip().endswith("/"):
                 continue
             if tag in VERBATIM:
                 end = _ENDS[tag].search(page, at)
                 at = end.end() if end else len(page)
             else:
-                attributes = {k.lower(): v.strip("\"'") for k, v in _NAMES.findall(token[3])} if token[3] else {}
+                attributes = {k.lower(): v.strip("\"'") for k, v in reversed(_ATTRIBUTE.findall(token[3]))} if token[3] else {}
                 names = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).strip()
                 silent = here.silent or tag in SILENT or "hidden" in attributes or (
-                    bool(names) and tag not in ("html", "body", "main") and _beside(names))
-                if not silent and (tag == "header" or "header" in _WORD.findall(names.lower())):
-                    silent = not _inside_article(here)
-                here = _Element(tag, names, here, silent)
+                    tag == "header" and not _inside_article(here))
+                judged = not silent and bool(names) and tag not in ("html", "body", "main") and (
+                    tag != "article" or _inside_article(here, ("article",)))
+                beside = judged and (_beside(names) or "header" in _WORD.findall(names.lower()) and not _inside_article(here))
+                here = _Element(tag, names, here, silent, beside)
     if not here.silent:
-        held.append(page[at:])
+        held.append((page[at:], here.beside))
     flush()
+    return _texts(found, _ruled_out(found))
+
+
+_Found = list[tuple[list[tuple[str, "_Element | None"]], _Element]]
+
+
+def _texts(found: _Found, out: set[_Element]) -> list[tuple[str, _Element]]:
+    """The blocks, of their pieces those that no element of ``out`` holds."""
+    texts = []
+    for pieces, block in found:
+        text = " ".join(html.unescape("".join(piece for piece, beside in pieces if beside not in out)).split())
+        if text:
+            texts.append((text, block))
+    return texts
+
+
+def _ruled_out(found: _Found) -> set[_Element]:
+    """The elements named as beside the article that hold little of the content nodes' text or lie outside the page's
+    article elements (main elements if there are none) that no name covers, and those in them."""
+    named = {beside for pieces, _ in found for _, beside in pieces if beside is not None}
+    if not named:
+        return named
+    blocks = _texts(found, set())
+    chosen = {element for (_, element), content in zip(blocks, content_nodes(blocks)) if content}
+    marks = {tag for pieces, block in found if any(beside is None and piece.strip() for piece, beside in pieces)
+             for tag in ("article", "main") if _inside_article(block, (tag,))}
+    mark = min(marks, default=None)
+    held: dict[_Element, int] = defaultdict(int)
+    total = 0
+    for pieces, block in found:
+        for piece, beside in pieces if block in chosen else ():
+            size = len("".join(piece.split()))
+            total += size
+            while beside is not None:
+                held[beside] += size
+                beside = beside.parent.beside
+    out = set()
+    for element in named:
+        beside = element
+        while beside is not None and held[beside] > WHOLE * total and (mark is None or _inside_article(beside, (mark,))):
+            beside = beside.parent.beside
+        if beside is not None:
+            out.add(element)
     return out
 
 
@@ -143,9 +194,9 @@ def _beside(names: str) -> bool:
     return any(ASIDE.search(name) or ASIDE.search(_CAMEL.sub("-", name)) for name in names.split() if not ABOUT.match(name))
 
 
-def _inside_article(element: _Element | None) -> bool:
+def _inside_article(element: _Element | None, tags: tuple[str, ...] = ("article", "main")) -> bool:
     while element is not None:
-        if element.tag in ("article", "main"):
+        if element.tag in tags:
             return True
         element = element.parent
     return False

@@ -82,6 +82,23 @@ def test_markup_inside_verbatim_elements_is_not_read(piece):
     assert extract.main_text(f"<p>{LONG}</p><script>if (a<b) {{ cut off") == LONG
 
 
+@pytest.mark.parametrize("tag, attributes", [
+    ("div", 'style="overflow: hidden"'), ("div", "title='a hidden gem'"), ("div", 'data-x="1" alt=" hidden id=ads "'),
+    ("article", 'class="post category-announcements"'), ("div", 'class="content-sidebar-wrap"'),
+    ("div", 'id=page class="layout-right-sidebar"'), ("div", 'class="header-and-content"'), ("section", 'class="notice"')])
+def test_a_word_does_not_take_out_the_article(tag, attributes):
+    inside = f"<h1>A title</h1><p>{LONG}</p>{PIECES['sidebar']}<p>It is <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, so.</p><p>{LONG}"
+    page = f"<body>{PIECES['menu']}{PIECES['header']}<{tag} {attributes}>{inside}</{tag}>{PIECES['comment']}{PIECES['footer']}"
+    assert extract.main_text(page) == f"A title\n{LONG}\nIt is x=2, so.\n{LONG}"
+
+
+def test_hidden_and_named_parts_still_go():
+    for attributes in ("hidden", 'HIDDEN=""', "class=x hidden", 'title="a" hidden=until-found', 'class="x ad-box"', "id='comments'"):
+        for tag in ("div", "span"):
+            page = f"<article><p>{LONG}</p><p>Be<{tag} {attributes}>{LONG[:40]}</{tag}></p><p>{LONG}</p></article>"
+            assert extract.main_text(page) == f"{LONG}\nBe\n{LONG}", (tag, attributes)
+
+
 def test_extraction_of_odd_pages(spark):
     found = [("u", None), (None, ""), ("u", "no tags, only text"), ("u", "<p>a<p>b</div></b>"), ("u", "<article><p>cut &am"),
              ("u", "<article><p>cut <a hre"), ("u", "<p>" + "x y. " * 50_000), ("u", "<div>" * 3000 + "deep"), ("u", "<p>a<p>b</div></b>")]
