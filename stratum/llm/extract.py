@@ -5,8 +5,11 @@ their class or id).  For every path the text length and the punctuation of its
 blocks are added up and divided by their number.  Both ratios are smoothed along
 the page, fused into one value a block, and blocks whose path's mean reaches the
 page's threshold are content nodes.  The smallest element that holds most of the
-content nodes' text is the article: short paragraphs and headings inside it stay,
-whatever their ratio, and what lies outside it goes.  Elements that are no
+content nodes' text is the article's core: short paragraphs and headings inside it
+stay, whatever their ratio.  So do, in each part of the page beside the core that has
+content nodes, the smallest element that holds these, and headings that lead to what
+stays.  Where the core lies in an article or main element, only parts in such elements
+count.  The rest goes.  Elements that are no
 article text by tag or by name (menus, adverts, forms, comments and the like)
 are left out before paths are counted.  A name alone never takes out an article
 element (unless inside another one), nor an element that holds more than ``WHOLE``
@@ -54,7 +57,8 @@ ABOUT = re.compile(r"(?:no|not|has|with|without|is|open)[_-]", re.IGNORECASE)
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 #: Weights of the smoothing along the page, from a block to its second neighbours.
 KERNEL = (0.4, 0.2, 0.1)
-#: Share of the content nodes' text that the article's element holds.
+_HEADINGS = frozenset(f"h{n}" for n in range(1, 7))
+#: Share of the content nodes' text that the article's core holds.
 MOST = 0.9
 #: An element that holds more than this share of the content nodes' text isn't beside the article, whatever its name.
 WHOLE = 0.5
@@ -248,16 +252,51 @@ def article(blocks: list[tuple[str, _Element]], content: list[bool]) -> _Element
     return max(named or enough, key=lambda e: e.depth, default=None)
 
 
+def kept(blocks: list[tuple[str, _Element]], content: list[bool]) -> list[bool]:
+    """Whether each block belongs to the article: to its core, to another part with content nodes, or a heading of these."""
+    core = article(blocks, content)
+    above, element = set(), core
+    while element is not None:
+        above.add(element)
+        element = element.parent
+    marked = core is not None and _inside_article(core)
+    open_ = [not marked or _inside_article(element) for _, element in blocks]
+    out, branches = [], []
+    parts: dict[_Element, set[_Element]] = {}
+    for (_, element), chosen, allowed in zip(blocks, content, open_):
+        path = [element]
+        while path[-1] not in above:
+            path.append(path[-1].parent)
+        inside = path.pop() is core
+        branch = path[-1] if path else None
+        out.append(inside or chosen and allowed)
+        branches.append(None if inside else branch)
+        if chosen and allowed and not inside and branch is not None:
+            holders = set(path[1:] or path)
+            parts[branch] = parts[branch] & holders if branch in parts else holders
+    tops = {max(found, key=lambda e: e.depth) for found in parts.values() if found}
+    for i, (_, element) in enumerate(blocks):
+        while not out[i] and open_[i] and branches[i] in parts and element not in above:
+            out[i] = element in tops
+            element = element.parent
+    return _with_headings(blocks, out, open_)
+
+
+def _with_headings(blocks: list[tuple[str, _Element]], out: list[bool], allowed: list[bool]) -> list[bool]:
+    """The blocks kept, the headings right before them, and if there is no h1, the last one before them."""
+    for i in range(len(blocks) - 2, -1, -1):
+        out[i] = out[i] or out[i + 1] and allowed[i] and blocks[i][1].tag in _HEADINGS
+    if not any(chosen and element.tag == "h1" for (_, element), chosen in zip(blocks, out)):
+        for i in range(out.index(True) - 1 if True in out else -1, -1, -1):
+            if allowed[i] and blocks[i][1].tag == "h1":
+                out[i] = True
+                break
+    return out
+
+
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
-    inside = article(blocks, content_nodes(blocks))
-    out = []
-    for text, element in blocks:
-        while element is not None and element is not inside:
-            element = element.parent
-        if element is not None:
-            out.append(text)
-    return "\n".join(out)
+    return "\n".join(text for (text, _), chosen in zip(blocks, kept(blocks, content_nodes(blocks))) if chosen)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

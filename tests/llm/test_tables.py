@@ -99,6 +99,20 @@ def test_hidden_and_named_parts_still_go():
             assert extract.main_text(page) == f"{LONG}\nBe\n{LONG}", (tag, attributes)
 
 
+@pytest.mark.parametrize("body, lines", [
+    ("<div class=post><h1>A title</h1><div class=lead><p>{0}</p></div><div class=entry>{1}</div></div>", ["A title", LONG, *[LONG] * 12]),
+    ("<div><div><h2>One</h2>{1}</div><div><h2>Two</h2><p>{0}</p><p>So.</p></div></div>", ["One", *[LONG] * 12, "Two", LONG, "So."]),
+    ("<article><section>{1}</section><section><p>{0}</p></section></article>", [*[LONG] * 12, LONG]),
+    ("<main><article>{1}</article><section><h3>Two</h3><p>{0}</p></section></main>", [*[LONG] * 12, "Two", LONG]),
+    ("<article>{1}</article><article><p>{0}</p></article>", [*[LONG] * 12, LONG]),
+    ("<div><h1>A title</h1><div>By X</div><div class=entry>{1}</div></div>", ["A title", "By X", *[LONG] * 12]),
+    ("<div><div>{1}</div><div>" + "<li><a href=x>More</a>" * 12 + "</div></div>", [LONG] * 12),
+    ("<article>{1}</article><div><p>{0}</p></div>", [LONG] * 12)])
+def test_no_part_of_the_article_is_lost(body, lines):
+    page = f"<body>{PIECES['menu']}{PIECES['header']}{body}{PIECES['sidebar']}{PIECES['comment']}{PIECES['footer']}"
+    assert extract.main_text(page.format(LONG, f"<p>{LONG}</p>" * 12)).split("\n") == lines
+
+
 def test_extraction_of_odd_pages(spark):
     found = [("u", None), (None, ""), ("u", "no tags, only text"), ("u", "<p>a<p>b</div></b>"), ("u", "<article><p>cut &am"),
              ("u", "<article><p>cut <a hre"), ("u", "<p>" + "x y. " * 50_000), ("u", "<div>" * 3000 + "deep"), ("u", "<p>a<p>b</div></b>")]
