@@ -26,7 +26,19 @@ from pyspark.sql import functions as F
 from stratum.llm.common import slices
 
 #: Raise it with every change of RULES: blobs are then scanned anew.
-RULE_VERSION = "1"
+RULE_VERSION = "3"
+
+#: A private key from its BEGIN line over the body to the END line; where that is missing, over header lines and the
+#: lines of base64 (also in quotes, or with escaped line breaks), of which the last may be short.
+_PEM = re.compile(r"""
+    -----BEGIN\ [A-Z ]{0,40}PRIVATE\ KEY-----
+    (?: [^-]*+ (?:-(?!----)[^-]*+)*+ -{5,}+END\ [A-Z ]{0,40}PRIVATE\ KEY-----
+      | (?: (?:\s|\\++[nrt]|[>|\#*])++ [A-Z][A-Za-z]*-[A-Z][A-Za-z]*:[^\r\n\\]*+ )*+
+        (?: (?:\s|\\++[nrt]|\\(?=[\r\n])|["'`,>|\#*]|\+(?=\s*["'`]))++ [A-Za-z0-9+/]{16,}+={0,2} )*+
+        (?: (?:\s|\\++[nrt]|\\(?=[\r\n])|["'`,>|\#*]|\+(?=\s*["'`]))++ [A-Za-z0-9+/]++={1,2}
+          | [\ \t>|\#*]*+ (?:[\r\n]|\\++[nr]|["'`]\s*+(?:\+\s*+)?["'`]) (?:\s|\\++[nrt]|[>|\#*])*+ [A-Za-z0-9+/]++(?=[ \t]*(?:[\r\n\\"'`]|\Z))
+          | \s++ [A-Za-z0-9+/]++(?=\s*\Z) )?+
+    )""", re.VERBOSE)
 
 #: Kind, pattern, group whose length counts, characters it needs.  The first three are fixed values.
 RULES = (
@@ -34,7 +46,7 @@ RULES = (
                           re.IGNORECASE | re.ASCII), 2, 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
     ("hex", re.compile(r"[0-9a-f]{24,}"), 0, 24),
-    ("pem", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"), 0, 1),
+    ("pem", _PEM, 0, 1),
     ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0, 1),
     ("prefixed", re.compile(r"(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})"), 0, 1),
 )

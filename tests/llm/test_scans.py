@@ -1,5 +1,6 @@
 """Decontamination, BPE, secrets and licenses against plain versions."""
 
+import base64
 import hashlib
 import random
 import re
@@ -193,6 +194,27 @@ def test_redaction_masks_spans_and_leaves_clean_rows_alone(spark, tmp_path):
     assert secrets.redact(docs_of(spark, []), secrets.Ledger(spark, str(tmp_path / "m"))).count() == 0
 
 
+def test_a_private_key_is_masked_with_its_body(spark, tmp_path):
+    lines = [base64.b64encode(bytes((i * 7 + k * 13) % 256 for k in range(48))).decode() for i in range(6)] + ["q83vAQ=="]
+    begin, end = "-----BEGIN {}PRIVATE KEY-----", "-----END {}PRIVATE KEY-----"
+    joints = ["\n", "\r\n", "\\n", "\n    ", " ", '\\n" +\n  "', "\n> ", '",\n"']
+    bodies = [joint + joint.join(lines) + joint for joint in joints]
+    bodies.append("\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n" + "\n".join(lines) + "\n")
+    whole = ["a " + begin.format(k) + body + end.format(k) + " b" for k in ("", "RSA ", "ENCRYPTED ") for body in bodies]
+    twice = f"{whole[0]} and {whole[1]}"
+    cut = ["a " + begin.format("EC ") + body.rstrip('\\n" +>,\r') for body in bodies]
+    more = ["a " + begin.format("") + "\n" + "\n".join(lines) + "\nThe text goes on, as it was.",
+            "a " + begin.format("") + " starts a key.", "a " + begin.format("") + "\n" + lines[0][:7]]
+    docs = docs_of(spark, [*whole, twice, *cut, *more])
+    got = [r["text"] for r in rows(secrets.redact(docs, secrets.Ledger(spark, str(tmp_path / "l"))).orderBy("doc_id"))]
+    assert got[:len(whole)] == ["a [secret] b"] * len(whole)
+    assert got[len(whole)] == "a [secret] b and a [secret] b"
+    for text in got:
+        assert not any(line in text for line in lines), text
+    assert all(text.startswith("a [secret]") for text in got)
+    assert got[-3:] == ["a [secret]\nThe text goes on, as it was.", "a [secret] starts a key.", "a [secret]"]
+
+
 # -- licenses --------------------------------------------------------------
 
 def test_license_phrases_against_a_plain_search(spark, tmp_path):
