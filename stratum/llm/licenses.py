@@ -84,9 +84,9 @@ class Scanner:
         """Notices with bounded errors in words joined by spaces, by first word and label."""
         out = []
         for number, stretches in self.windows(text).items():
-            n, _, label, pattern = self.notices[number]
+            n, k, label, pattern = self.notices[number]
             for a, b in stretches:
-                for m in pattern.finditer(text, a, b):
+                for m in _matches(pattern, text, a, b, n - k):
                     edits = sum(m.fuzzy_counts)
                     inner = m[0].strip(" ")
                     if inner:
@@ -97,6 +97,19 @@ class Scanner:
         return sorted(out, key=lambda s: (s["first_word"], s["label"], s["last_word"]))
 
 
+def _matches(pattern, text: str, start: int, end: int, least: int):
+    """Matches from the best one on, then the best ones of what lies before and behind it, and so on."""
+    parts = [(start, end)]
+    while parts:
+        a, b = parts.pop()
+        if b - a < max(least, 1) or not (m := pattern.search(text, a, b)):
+            continue
+        yield m
+        if m.end() > m.start():
+            parts.append((a, m.start()))
+        parts.append((max(m.end(), m.start() + 1), b))
+
+
 def phrase_places(text: bytes) -> tuple[list[int], set[str]]:
     """First words of all exact phrases, sorted, and their labels; text: words with a space around each."""
     places, labels = [], set()

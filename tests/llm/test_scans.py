@@ -257,3 +257,13 @@ def test_every_notice_within_its_bound_is_found():
                 i = rng.randrange(len(chars))
                 chars[i:i + 1] = rng.choice([[], ["q"], [chars[i], "z"]])
             assert label in {s["label"] for s in scanner.spans(" aa " + "".join(chars) + " bb ")}
+
+
+def test_a_notice_with_edits_beside_a_better_one_is_found():
+    scanner = licenses.Scanner([("hello world", "x")])
+    for text, edits in (("hellx world hello world", [1, 0]), ("hello world hello wrld", [0, 1]), ("hello worl hello world helo world", [1, 0, 1])):
+        assert [(s["first_word"], s["edits"]) for s in scanner.spans(text)] == [(2 * i, e) for i, e in enumerate(edits)]
+    notice = "released under the mit license"
+    text = " ".join(notice.replace("under", u) for u in ("undr", "under", "undxx", "unde", "under"))
+    assert [(s["first_word"], s["edits"]) for s in licenses.Scanner().spans(text) if s["label"] == "mit"] == [
+        (0, 1), (5, 0), (10, 2), (15, 1), (20, 0)]
