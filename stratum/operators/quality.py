@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from stratum.contracts import MAX_SAMPLES, Conditional, Contract
 from stratum.functions import clean as C
 from stratum.functions.keys import null_safe_condition
+from stratum.operators.skew import is_hot, salted_join
 
 ERROR, WARNING = "error", "warning"
 
@@ -169,31 +170,30 @@ def row_violations(df: DataFrame, rules: Sequence[RowRule], artifact: Column, re
 def duplicates_after_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every occurrence of a key after the first in ``order`` (nulls group together).
 
-    1. Equal rows are counted in one hash aggregate (map-side partial), so
-       copies of a row, however many, are one row from here on.
-    2. Each key's number of rows and first ``order`` tuple come from the
-       counted rows, again with a partial aggregate: a key with a third of
-       all rows never gathers them in one task.
-    3. Counted rows of keys seen twice or more are joined to that and dealt
-       out once for each copy, the first one less.  The counted rows are
-       spread by a hash of the whole row first and joined on a key that holds
-       a salt, so a hot key's rows stay in as many tasks as the salt has values.
-
-    ``order`` should be a total order of the rows.
+    Rows that tie on ``order`` are ordered by their other columns, so exactly one
+    row of a key is its first whatever the order is.
+
+    1. Keys are counted (narrow, with a partial aggregate); only rows of keys
+       seen twice or more go on.
+    2. Equal rows among these are counted, so copies of a row, however many,
+       are one row from here on; a key's first row is a minimum, again with a
+       partial aggregate.
+    3. The counted rows are joined to their key's first row and dealt out once
+       for each copy, the first one less.  A key with a large share of all rows,
+       found by a sketch, is salted by a hash of the row, so its rows stay in
+       many tasks; other keys aren't.
     """
     key, order = list(key), list(order)
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    counted = counted.withColumn("_at", F.struct(*order))
-    keys = counted.groupBy(*key).agg(F.sum("_copies").alias("_rows"), F.min("_at").alias("_first")) \
-        .where(F.col("_rows") > 1)
-    salts = df.sparkSession.sparkContext.defaultParallelism
-    salted = counted.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    spread = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    cond = null_safe_condition("c", "k", (*key, "_salt"))
-    later = F.when(F.col("c._at") == F.col("k._first"), F.col("c._copies") - 1).otherwise(F.col("c._copies"))
+    rest = [c for c in df.columns if c not in order]
+    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(*key)
+    rows = df.alias("d").join(repeated.alias("k"), null_safe_condition("d", "k", key), "left_semi")
+    counted = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = counted.withColumn("_at", F.struct(*order, *rest))
+    first = counted.groupBy(*key).agg(F.min("_at").alias("_first"))
+    later = F.col("_copies") - F.when(F.col("_at") == F.col("_first"), 1).otherwise(0)
     return (
-        salted.alias("c").join(spread.alias("k"), cond).select("c.*", later.alias("_later"))
-        .where("_later > 0")
+        salted_join(counted, first, key, is_hot(df, key))
+        .withColumn("_later", later).where("_later > 0")
         .withColumn("_later", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_later"))))
         .select(*df.columns)
     )

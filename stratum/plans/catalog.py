@@ -242,6 +242,7 @@ def member_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------- batch 3: row rules
 
 from stratum.operators import quality as Q  # noqa: E402
+from stratum.operators import skew as SK  # noqa: E402
 from stratum.operators import validate as V  # noqa: E402
 from stratum.plans import quality_fixture as QF  # noqa: E402
 
@@ -323,6 +324,19 @@ def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  ["event_id"]).drop("day")
 
 
+@query
+def duplicate_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem rows after the first of an order and line, where the order column ties on all of them: whole rows decide."""
+    li = T.table(spark, sf_dir, "lineitem")
+    return Q.duplicates_after_first(li, ["l_orderkey", "l_linenumber"], ["l_linenumber"])
+
+
+@query
+def frequent_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with a fiftieth of the detail rows or more, named by a sketch and counted exactly."""
+    return SK.frequent_keys(T.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"], share=0.02)
+
+
 @query
 def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     parent = T.v_parent(spark, sf_dir)
@@ -639,10 +653,14 @@ def _lake_path(spark: SparkSession, layer: str, name: str) -> str:
 
 @query
 def silver_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table exported as CSV below its layer's prefix and read back as text."""
+    """The silver table exported as CSV below its layer's prefix and read back as text.
+
+    ``note`` holds what quoting is for: quotes, the separator, a backslash before a quote, line breaks, blanks.
+    """
     silver = S.to_silver(T.raw_orders(spark, sf_dir), T.RAW_CONTRACT, SOURCE, keep_invalid=False)
+    silver = silver.withColumn("note", F.format_string(' %s "%s"; \\"\n\\', "source_row_number", "time_val"))
     types = dict(silver.dtypes)
-    columns = ["source_row_number", "yr", "int_val", "date_val", "time_val", "status"]
+    columns = ["source_row_number", "yr", "int_val", "date_val", "time_val", "status", "note"]
     path = _lake_path(spark, "silver", "orders")
     L.export_csv(silver.select(*[C.as_text(c, types[c]).alias(c) for c in columns]), path)
     return L.read_text_csv(spark, path, columns)

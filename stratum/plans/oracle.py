@@ -345,6 +345,11 @@ _LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exten
 ORACLE["duplicate_grain"] = f"""SELECT {_LI_COLS} FROM (
     SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LI_COLS}) AS rn
     FROM lineitem) WHERE rn > 1"""
+ORACLE["duplicate_tied"] = f"""SELECT {_LI_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_linenumber, {_LI_COLS}) AS rn
+    FROM lineitem) WHERE rn > 1"""
+ORACLE["frequent_keys"] = """SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS n FROM lineitem
+    GROUP BY ALL HAVING count(*) >= (SELECT count(*) FROM lineitem) * 0.02"""
 ORACLE["duplicate_source_row"] = """SELECT event_id, day, user_id FROM (
     SELECT event_id, CAST(ts AS DATE) AS day, user_id,
       row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts, event_id) AS rn
@@ -608,7 +613,9 @@ ORACLE["issue_rollup_multi_year"] = W(
 )
 ORACLE["silver_csv_round_trip"] = RAW(
     f"""SELECT CAST(k AS VARCHAR) AS source_row_number, CAST(yr AS VARCHAR) AS yr, CAST(int_val AS VARCHAR) AS int_val,
-        CAST(date_val AS VARCHAR) AS date_val, time_val, status FROM ({_typed_sql(True)})""")
+        CAST(date_val AS VARCHAR) AS date_val, time_val, status,
+        ' ' || CAST(k AS VARCHAR) || ' "' || coalesce(time_val, 'null') || '"; \\"' || chr(10) || '\\' AS note
+        FROM ({_typed_sql(True)})""")
 ORACLE["appended_table"] = W(
     """SELECT CAST(yr AS INTEGER) AS yr, count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS total
     FROM v_parent GROUP BY yr""",

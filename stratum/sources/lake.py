@@ -15,6 +15,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 LAYERS = ("bronze", "silver", "quality", "gold")
 
+#: Standard quoting, as other CSV readers expect it: a quote inside a field is doubled, a backslash is a letter.
+CSV_FORM = {"sep": ";", "quote": '"', "escape": '"', "encoding": "UTF-8",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+FILE_RECORDS = 1_000_000
+
 
 def prefix(root: str, layer: str, source: str, partitions: Mapping[str, object] | None = None,
            sub: str | None = None) -> str:
@@ -36,9 +41,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 
 def export_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Silver CSV export: ``;``-separated, header, nulls as empty, UTF-8."""
-    writer = df.write.mode(mode).option("sep", ";").option("header", True).option("nullValue", "") \
-        .option("emptyValue", "").option("encoding", "UTF-8")
+    """Silver CSV export: ``;``-separated, header, nulls as empty, UTF-8; quotes inside a field are doubled.
+
+    A file holds ``FILE_RECORDS`` at most, since a file with line breaks in fields is read by one task.
+    """
+    writer = df.write.mode(mode).options(**CSV_FORM).option("header", True).option("nullValue", "") \
+        .option("emptyValue", "").option("maxRecordsPerFile", FILE_RECORDS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -52,8 +60,8 @@ def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     """
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     return (
-        spark.read.schema(schema).option("sep", ";").option("header", True)
-        .option("enforceSchema", False).option("encoding", "UTF-8").csv(path)
+        spark.read.schema(schema).options(**CSV_FORM).option("header", True).option("multiLine", True)
+        .option("enforceSchema", False).csv(path)
     )
 
 
