@@ -39,19 +39,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, below: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: a cut of the lineage that outlives executors.
 
     Shuffle files that only the finished stages needed go when the driver collects its garbage,
-    so it is asked to here; a long chain of operators would otherwise hold them all.
+    so it is asked to here; a long chain of operators would otherwise hold them all.  ``below`` is
+    a folder of ``scratch`` that the caller removes once all that is read from it is written elsewhere.
     """
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = f"{below}/{name}-{uuid.uuid4().hex}" if below else scratch(spark, name)
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``scratch`` with its tables."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

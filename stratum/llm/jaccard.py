@@ -6,24 +6,26 @@ Links are exact: candidates come from signatures that no linked pair can avoid
 sharing, and every candidate is verified on the sets.
 
 *Universe partition.*  Sizes fall into bands; a set works in its own band and, if
-a smaller set of the band below can link with it, in that one too.  In a band
-linked sets differ in at most H shingles.  The universe of shingles is hashed into
-m segments; a set's subset in each segment is hashed to a key.  With
-m = H + 1 + slack segments, linked sets agree in more than ``slack`` segments.
-With ceil((H + 1) / 2) segments and the keys of all one-deletions of each subset,
-they agree in one.  The cost model takes, for each band, the cheaper of these
-allocations by rows and expected false partners.
-
-*Skipping frequent segments.*  Blocks of documents send their keys, each once, to
-buckets, which answer whether others have a key too, and if so many that it is
-frequent (empty segments, passages that many documents share).  A set with
-at most ``slack`` frequent keys leaves them out; a set with more keeps them all.  If
-two linked sets agreed in frequent segments only, there would be more than ``slack``
-of these, so both keep them: nothing is lost.
-
-*Verification.*  Keys with few sets give pairs.  Sets with frequent keys fall into
-clusters, whose members are dealt into chunks; chunks meet two at a time, and a
-pair of chunks gives a spanning forest of its links, not all pairs.  Pairs whose
+a smaller set of the band below can link with it, in that one too.  There its links
+differ from it in at most H shingles, H being its own bound.  The universe of shingles is
+hashed into m segments; a set's subset in each segment that it occupies is hashed to a key.
+A set of k occupied segments shares at least k - H keys with any set it links with.  One
+allocation takes these keys, the other fewer segments and the keys of all one-deletions of
+each subset, where linked sets agree in one of those segments that hold two shingles or more
+unless H / 2 segments and more differ twice.  The cost model takes, for each band, the cheaper of these
+by rows and expected false partners.  A set with too few occupied segments for its H
+(hardly ever) has one more key, which all such sets of its band share.
+
+*Rarest keys.*  Blocks of documents send their keys, each once, to buckets, which answer how
+often each occurs, as a power of two.  A set keeps its H + 1 rarest keys (ties by the key):
+of k - H shared keys the rarest is among the H + 1 rarest of both sets.  With one-deletions a
+set leaves out frequent keys as long as it has segments enough without them, else it keeps all.
+
+*Verification.*  Kept keys with few sets give pairs.  A kept key with many sets has a hub, its least
+set, with which the others are paired.  What is then in one component needs no more pairs; sets of
+a frequent key that aren't all in one go, with what their frequent keys connect them to, into a cluster, whose
+members are dealt into chunks; chunks meet two at a time, and a pair of chunks gives a
+spanning forest of the links between components, not all pairs.  Pairs whose
 odd sketches (a bit for each bucket with an odd number of shingles; each shingle
 that differs flips one bit) differ in more than H bits can't link; what is left
 is counted on the sets.  Equal sets are one class throughout and are never paired.
@@ -38,7 +40,7 @@ shingles, or the sets of two classes, are taken as equal with a chance near 2^-6
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +49,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.blocks import Block, Hashes, blocks, mixed
-from stratum.llm.common import written
+from stratum.llm.common import remove, scratch, written
 from stratum.llm.components import components
 
-#: Keys for a bucket, sets from which on a key is frequent, sets in a chunk of a cluster.
-BUCKET_KEYS, FREQUENT, CHUNK = 500_000, 24, 512
+#: Keys for a bucket; sets (up to the next power of two) beyond which a key is frequent; sets in a chunk of a cluster.
+BUCKET_KEYS, FREQUENT, CHUNK = 500_000, 32, 512
 #: Of the cost model: chance that a segment with a single shingle is shared by chance.
 SINGLE_SHARED = 0.02
 
@@ -124,12 +126,12 @@ class Rule:
 
 @dataclass(frozen=True)
 class Allocation:
-    """Of a band: segments, whether they have one-deletions, frequent keys that may be left out, sketch bits."""
+    """Of a band: its last size, segments, whether they have one-deletions, sketch bits."""
 
-    differ: int
+    rule: Rule
+    high: int
     segments: int
     deletions: bool
-    slack: int
     sketch: int
 
     @staticmethod
@@ -139,33 +141,77 @@ class Allocation:
         sketch = 64 * max(1, math.ceil(8 * differ / 64))
         found = []
         for deletions in (False, True):
-            m = -(-(differ + 1) // 2) if deletions else differ + 1
+            allocation = Allocation(rule, high, -(-(differ + 1) // 2) if deletions else differ + 1, deletions, sketch)
+            while allocation.segments < 64 * high and not allocation.enough(low):
+                allocation = replace(allocation, segments=allocation.segments + 1 + allocation.segments // 50)
+            m = allocation.segments
             rate = mean / m
             empty = math.exp(-rate)
             if deletions:
                 partners = n_sets * m * (1 + rate) * (empty * (1 + rate)) ** 2
-                found.append((m + mean + partners, Allocation(differ, m, True, 0, sketch)))
+                found.append((m + mean + partners, allocation))
             else:
-                expected = m * empty
-                slack = max(2, math.ceil(expected + 3 * math.sqrt(expected)))
-                if m == 1:  # equal sets only
-                    slack = 0
-                rate = mean / (m + slack)
-                partners = n_sets * (m + slack) * (rate * math.exp(-rate) * SINGLE_SHARED) ** 2 if slack else 0
-                found.append((m + slack + partners, Allocation(differ, m + slack, False, slack, sketch)))
+                partners = n_sets * m * (rate * empty * SINGLE_SHARED) ** 2 if differ else 0
+                found.append((m + partners, allocation))
         return min(found, key=lambda f: f[0])[1]
 
-    def keys(self, band: int, shingles: np.ndarray) -> np.ndarray:
+    def differ(self, n: int) -> int:
+        """Most shingles in which a set of ``n`` and one that it meets in this band and links with differ."""
+        partner = self.rule.largest_partner(n)
+        return self.rule.differ(n + (min(partner, self.high) if n > self.high else partner))
+
+    def needed(self, n: int) -> int:
+        """Segments (of two shingles or more, with one-deletions) that a set must have to share a key with any it links with."""
+        return 1 + (self.differ(n) // 2 if self.deletions else self.differ(n))
+
+    def enough(self, low: int) -> bool:
+        """Whether sets of all sizes can be expected to have the segments they need, and some to leave out."""
+        for n in (low, (low + self.high) // 2, self.high, self.rule.largest_partner(self.high)):
+            m, rate, need = self.segments, n / self.segments, self.needed(n)
+            empty = math.exp(-rate)
+            if self.deletions:
+                used = 1 - empty * (1 + rate)
+                variance, wanted = m * used * (1 - used), min(need + 1 + need // 8, max(need, n / 20))
+            else:
+                used = 1 - empty
+                variance, wanted = m * empty * (1 - (1 + rate) * empty), min(need + 2 + need // 8, max(need, n * 3 / 4))
+            if m * used - 3 * math.sqrt(max(0, variance)) < wanted - 0.25:
+                return False
+        return True
+
+    def keys(self, band: int, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys, and the segment of each; -1 is that of the key of sets with too few segments."""
+        n = len(shingles)
+        if not self.differ(n):  # equal sets only, which are one class
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
         tag = np.uint64(band << 32)
         segment = ((mixed(shingles, 2) >> np.uint64(32)) * np.uint64(self.segments) >> np.uint64(32)).astype(np.int64)
         values = mixed(shingles, 3)
         sums = np.zeros(self.segments, dtype=np.uint64)
         np.add.at(sums, segment, values)
-        out = mixed(sums * _TIMES + (tag | np.arange(self.segments, dtype=np.uint64)), 4)
+        held = np.bincount(segment, minlength=self.segments)
+        of = np.flatnonzero(held)
+        sums_of = sums[of]
+        if self.deletions:
+            several = held[segment] > 1
+            of = np.concatenate([of, segment[several]])
+            sums_of = np.concatenate([sums_of, sums[segment[several]] - values[several]])
+        if int((held > self.deletions).sum()) < self.needed(n):
+            of, sums_of = np.append(of, -1), np.append(sums_of, np.uint64(0))
+        return mixed(sums_of * _TIMES + (tag | (of & 0xFFFFFFFF).astype(np.uint64)), 4), of
+
+    def kept(self, n: int, keys: np.ndarray, segment: np.ndarray, often: np.ndarray, frequent: int) -> np.ndarray:
+        """Places of the keys that a set of ``n`` shingles keeps, ``often`` being how often each occurs;
+        those beyond ``frequent`` count as frequent."""
+        always = segment < 0
         if self.deletions:
-            without = sums[segment] - values
-            out = np.concatenate([out, mixed(without * _TIMES + (tag | segment.astype(np.uint64)), 4)])
-        return np.unique(out)
+            several = np.bincount(segment[~always], minlength=self.segments) > 1  # its subset's key and the one-deletions
+            held = np.unique(segment[(often > frequent) & ~always])
+            spare = int(several.sum()) - self.needed(n)
+            leave = (often > frequent) & ~always if several[held].sum() <= spare else np.zeros(len(keys), bool)
+            return np.flatnonzero(~leave)
+        order = np.lexsort((keys, np.where(always, -1, often)))
+        return order[:self.needed(n) + int(always.any())]
 
     def odd_sketch(self, shingles: np.ndarray) -> np.ndarray:
         return odd_sketch(shingles, self.sketch)
@@ -196,15 +242,17 @@ class Signed:
 
     def __init__(self, block: Block, n: int, plan: Plan):
         self.rows: list[tuple[int, int, np.ndarray]] = []  # class, band, shingles
-        keys, seen = [], set()
+        keys, segments, seen = [], [], set()
         for shingles in shingle_sets(block, n):
             if not len(shingles) or (cls := class_of(shingles)) in seen:
                 continue
             seen.add(cls)
             for band in plan.bands_of(len(shingles)):
                 self.rows.append((cls, band, shingles))
-                keys.append(plan.allocations[band].keys(band, shingles))
-        self.sizes = [len(k) for k in keys]
+                own, of = plan.allocations[band].keys(band, shingles)
+                keys.append(own)
+                segments.append(of)
+        self.sizes, self.segments = [len(k) for k in keys], segments
         flat = np.concatenate(keys) if keys else np.empty(0, dtype=np.uint64)
         self.keys, self.inverse, self.counts = np.unique(flat, return_inverse=True, return_counts=True)
 
@@ -260,8 +308,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     of_class = components(verified).withColumnsRenamed({"node": "cls"})
     least = classes.join(of_class, "cls").groupBy("component").agg(F.min("least").alias("reached"))
     reached = of_class.join(least, "component").select("cls", "reached")
-    named = classes.join(reached, "cls", "left").select(
-        "cls", F.coalesce("reached", "least").alias("component_id"))
+    # a table of its own, so that adaptive execution can split a class of very many rows
+    named = written(classes.join(reached, "cls", "left").select(
+        "cls", F.coalesce("reached", "least").alias("component_id")), "named")
     found = rows.where("cls is not null").join(named, "cls").select("id", "n", "component_id")
     alone = rows.where("cls is null").select("id", "n", F.col("id").alias("component_id"))
     return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
@@ -279,13 +328,15 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
     plan = Plan(rule, starts, n_sets)
     n_keys = sum(n * (a.segments + (starts[i + 1] if a.deletions else 0)) for i, a in enumerate(plan.allocations)
                  for n in [n_sets.get(i, 0)])
+    frequent_from = math.ceil(math.log2(FREQUENT))
     shared = spark.sparkContext.broadcast((plan, max(1, -(-2 * n_keys // BUCKET_KEYS))))
+    work = scratch(spark, "jaccard")
 
     def keyed(batches):
         for number, block in _each(batches):
             plan, n_buckets = shared.value
             signed = Signed(block, words, plan)
-            found = [(bucket, number, _five(signed.keys[a:b]), np.minimum(signed.counts[a:b], FREQUENT + 1).astype(np.uint8).tobytes())
+            found = [(bucket, number, _five(signed.keys[a:b]), np.minimum(signed.counts[a:b], 255).astype(np.uint8).tobytes())
                      for bucket, a, b in signed.parts(n_buckets)]
             types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -295,8 +346,8 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
         keys = [_from_five(k) for k in table.column("keys").to_pylist()]
         counts = np.concatenate([np.frombuffer(c, dtype=np.uint8) for c in table.column("counts").to_pylist()])
         values, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, weights=counts, minlength=len(values))[inverse]
-        code = (total > 1).astype(np.uint8) + (total > FREQUENT)
+        total = np.bincount(inverse, weights=counts, minlength=len(values))
+        code = np.ceil(np.log2(total)).astype(np.uint8)[inverse]
         codes = [zstandard.compress(c.tobytes(), 3) for c in np.split(code, np.cumsum([len(k) for k in keys])[:-1])]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "codes": pa.array(codes, pa.binary())})
 
@@ -310,15 +361,14 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
             for bucket, a, b in signed.parts(n_buckets):
                 codes[a:b] = np.frombuffer(zstandard.decompress(got[bucket]), dtype=np.uint8)
             at = 0
-            for (cls, number, shingles), size in zip(signed.rows, signed.sizes):
+            for (cls, number, shingles), size, segment in zip(signed.rows, signed.sizes, signed.segments):
                 of_row = signed.inverse[at:at + size]
                 at += size
-                keys, code = signed.keys[of_row], codes[of_row]
+                keys, often = signed.keys[of_row], codes[of_row]
                 allocation = plan.allocations[number]
-                frequent = keys[code == 2]
-                if len(frequent) <= allocation.slack:
-                    frequent = frequent[:0]
-                few = keys[code == 1]
+                kept = allocation.kept(len(shingles), keys, segment, often, frequent_from)
+                keys, often = keys[kept], often[kept]
+                few, frequent = np.unique(keys[(often > 0) & (often <= frequent_from)]), np.unique(keys[often > frequent_from])
                 if len(few) or len(frequent):
                     for name, value in zip(_SIGNED.names, (
                             cls, len(shingles), few.view(np.int64), frequent.view(np.int64),
@@ -331,33 +381,40 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
     signed = written(
         texts.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(
             signed_rows, "cls long, n long, few array<long>, frequent array<long>, sketch array<long>, band int"),
-        "signatures").dropDuplicates(["cls", "band"])
-    pairs = written(_pairs(signed, rule), "pairs")
-    members = written(_clusters(signed), "clusters")
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(members.select("cls")).distinct()
-    sets = written(_sets_of(texts, classes, wanted, words), "shingles")
-    one, other = (sets.withColumnsRenamed({"cls": c, "shingles": f"set_{c}"}) for c in "ab")
-    shared_count = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    joint = F.size("set_a").cast("long") + F.size("set_b")
-    verified = (pairs.join(other, "b").join(one, "a")
-                .where(F.lit(rule.of) * shared_count >= F.lit(rule.share) * (joint - shared_count)).select("a", "b"))
-    return verified.unionByName(_cluster_links(members, sets, rule))
+        "signatures", work).dropDuplicates(["cls", "band"])
+    frequent = written(signed.where(F.size("frequent") > 0).select("cls", "n", "band", F.explode("frequent").alias("key")), "frequent", work)
+    hubs = frequent.groupBy("key").agg(F.min_by(F.struct("cls", "n"), "cls").alias("hub"))
+    to_hub = frequent.join(hubs, "key").where("cls <> hub.cls").select(
+        "band", F.struct("cls", "n").alias("one"), F.col("hub").alias("other")).distinct()
+    pairs = written(_near(_few(signed).unionByName(to_hub), signed, rule), "pairs", work)
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    verified = written(_verified(pairs, _sets_of(texts, classes, wanted, words, work), rule), "verified", work)
+    if not frequent.isEmpty():
+        members = written(_clusters(frequent, verified, work), "clusters", work)
+        more = _cluster_links(members, _sets_of(texts, classes, members.select("cls"), words, work), rule)
+        verified = verified.unionByName(more)
+    found = written(verified, "links")
+    remove(spark, work)
+    return found
 
 
 _SIGNED = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("few", pa.list_(pa.int64())),
                      ("frequent", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("band", pa.int32())])
 
 
-def _pairs(signed: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of classes that share a key which few have (``FREQUENT`` at most, so a group is bounded),
-    are near enough in size, and whose sketches don't rule them out."""
+def _few(signed: DataFrame) -> DataFrame:
+    """Pairs of sets that share a kept key of few (``FREQUENT`` or the next power of two, so a group is bounded)."""
     members = signed.select(F.explode("few").alias("key"), "band", F.struct("cls", "n").alias("member"))
     groups = members.groupBy("key", "band").agg(F.array_sort(F.collect_set("member")).alias("m")).where(F.size("m") > 1)
     near = F.posexplode("m").alias("i", "one")
-    pairs = groups.select("band", "m", near).select(
+    return groups.select("band", "m", near).select(
         "band", "one", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("other"))
+
+
+def _near(pairs: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
+    """Those pairs that are near enough in size and whose sketches don't rule them out."""
     sizes = F.least("one.n", "other.n") * rule.of >= F.greatest("one.n", "other.n") * rule.share
-    pairs = pairs.where(sizes).select("band", F.col("one.cls").alias("a"), F.col("other.cls").alias("b")).distinct()
+    pairs = pairs.where(sizes).select("band", F.least("one.cls", "other.cls").alias("a"), F.greatest("one.cls", "other.cls").alias("b")).distinct()
     one, other = (signed.select(F.col("cls").alias(c), "band", F.col("sketch").alias(f"s_{c}"), F.col("n").alias(f"n_{c}"))
                   for c in "ab")
     differ = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
@@ -366,16 +423,31 @@ def _pairs(signed: DataFrame, rule: Rule) -> DataFrame:
         differ * (rule.of + rule.share) <= most).select("a", "b").distinct()
 
 
-def _clusters(signed: DataFrame) -> DataFrame:
-    """``cls``, ``cluster`` and its ``chunks`` for the classes that keep frequent keys; a cluster is what these connect."""
-    members = written(signed.where(F.size("frequent") > 0).select("cls", F.explode("frequent").alias("key")).distinct(), "frequent")
-    least = members.groupBy("key").agg(F.min("cls").alias("least"))
-    joined = components(members.join(least, "key").select(F.col("cls").alias("a"), F.col("least").alias("b")))
+def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    one, other = (sets.withColumnsRenamed({"cls": c, "shingles": f"set_{c}"}) for c in "ab")
+    shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
+    joint = F.size("set_a").cast("long") + F.size("set_b")
+    return (pairs.join(other, "b").join(one, "a")
+            .where(F.lit(rule.of) * shared >= F.lit(rule.share) * (joint - shared)).select("a", "b"))
+
+
+def _clusters(frequent: DataFrame, verified: DataFrame, work: str) -> DataFrame:
+    """``cls``, its component ``label`` so far, ``cluster`` and its ``chunks``, of the sets that share a frequent key with a
+    set of another component; a cluster is what these keys connect."""
+    label = components(verified).withColumnsRenamed({"node": "cls", "component": "label"})
+    members = frequent.select("cls", "key").distinct().join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    members = written(members, "labelled", work)
+    open_ = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("cls").alias("hub")) \
+        .where("least < most").select("key", "hub")
+    members = written(members.join(open_, "key").select("cls", "label", "hub").distinct(), "open", work)
+    joined = components(members.select(F.col("cls").alias("a"), F.col("hub").alias("b")))
     chunks = joined.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
-    return joined.join(chunks, "component").select(F.col("node").alias("cls"), F.col("component").alias("cluster"), "chunks")
+    labels = members.select("cls", "label").distinct()
+    return joined.join(chunks, "component").join(labels, F.col("node") == F.col("cls")).select(
+        "cls", "label", F.col("component").alias("cluster"), "chunks")
 
 
-def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int, work: str) -> DataFrame:
     """``cls`` and sorted ``shingles`` of the classes wanted, each from one block that holds it."""
     places = classes.join(wanted, "cls").select("cls", "block")
 
@@ -387,29 +459,31 @@ def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int
                     out[cls] = shingles.view(np.int64)
         return pa.table({"cls": pa.array(list(out), pa.int64()), "shingles": pa.array(list(out.values()), pa.list_(pa.int64()))})
 
-    return texts.groupBy("block").cogroup(places.groupBy("block")).applyInArrow(found, "cls long, shingles array<long>")
+    return written(texts.groupBy("block").cogroup(places.groupBy("block")).applyInArrow(
+        found, "cls long, shingles array<long>"), "shingles", work)
 
 
 def _cluster_links(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """A spanning forest of the links between each two chunks of a cluster (and within each)."""
     own = F.pmod(F.xxhash64("cls"), F.col("chunks"))
     met = members.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    tiles = met.select("cls", "cluster", "own", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j")).distinct()
+    tiles = met.select("cls", "label", "cluster", "own", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j")).distinct()
 
     def forest(table):
-        a, b = spanning_links(table.column("cls").to_pylist(), table.column("own").to_numpy(),
+        a, b = spanning_links(table.column("cls").to_pylist(), table.column("label").to_numpy(), table.column("own").to_numpy(),
                               [np.array(s, dtype=np.int64).view(np.uint64) for s in table.column("shingles").to_pylist()], rule)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return tiles.join(sets, "cls").groupBy("cluster", "i", "j").applyInArrow(forest, "a long, b long")
 
 
-def spanning_links(classes: list[int], chunk: np.ndarray, sets: list[np.ndarray], rule: Rule) -> tuple[list[int], list[int]]:
-    """Links between two chunks (or within one) that connect all that their links connect."""
+def spanning_links(classes: list[int], label: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray],
+                   rule: Rule) -> tuple[list[int], list[int]]:
+    """Links between two chunks (or within one) that connect all that their links connect; equal labels are connected."""
     n = np.array([len(s) for s in sets])
     bits = 64 * max(1, math.ceil(8 * rule.differ(2 * int(n.max(initial=1))) / 64))
     sketches = np.stack([odd_sketch(s, bits) for s in sets])
-    label = np.arange(len(sets))
+    label = np.unique(label, return_inverse=True)[1]
     one = chunk == chunk.min()
     others = one if one.all() else ~one
     a, b = [], []

@@ -152,11 +152,13 @@ def test_join_of_no_rows_and_of_texts_without_words(spark):
     assert [r["doc_id"] for r in rows(jaccard.keep_one(docs_of(spark, ["a b c", None, "A b\nc", "d"])).orderBy("doc_id"))] == [0, 1, 3]
 
 
-def test_linked_sets_agree_in_more_segments_than_may_be_left_out():
+@pytest.mark.parametrize("n_sets", [0, 10**12])
+def test_linked_sets_keep_a_key_in_common(n_sets):
     rng = np.random.default_rng(2)
     for share in (60, 80, 90):
         rule = jaccard.Rule(share, 100)
-        plan = jaccard.Plan(rule, rule.bands(700), {})
+        starts = rule.bands(700)
+        plan = jaccard.Plan(rule, starts, dict.fromkeys(range(len(starts)), n_sets))
         for _ in range(300):
             n = int(rng.integers(1, 600))
             one = rng.integers(0, 1 << 62, n).astype(np.uint64)
@@ -169,9 +171,19 @@ def test_linked_sets_agree_in_more_segments_than_may_be_left_out():
             band = min(plan.bands_of(n)[-1], plan.bands_of(len(other))[-1])
             assert band in plan.bands_of(n) and band in plan.bands_of(len(other))
             allocation = plan.allocations[band]
-            common = np.intersect1d(allocation.keys(band, one), allocation.keys(band, other))
-            assert len(common) > allocation.slack
-            assert np.bitwise_count(allocation.odd_sketch(one) ^ allocation.odd_sketch(other)).sum() <= allocation.differ
+            differ = len(np.setxor1d(one, other))
+            assert differ <= min(allocation.differ(len(one)), allocation.differ(len(other)))
+            if differ:
+                # how often a key occurs, as any function of the key; a key that both have isn't rare at random
+                both, odds = [], int(rng.integers(1, 4))
+                for s in (one, other):
+                    keys, segment = allocation.keys(band, s)
+                    often = (keys >> np.uint64(20)).astype(np.int64) % (4 * odds)
+                    kept = allocation.kept(len(s), keys, segment, often, 5)
+                    assert allocation.deletions or len(kept) <= allocation.needed(len(s)) + 1
+                    both.append(keys[kept])
+                assert len(np.intersect1d(*both))
+            assert np.bitwise_count(allocation.odd_sketch(one) ^ allocation.odd_sketch(other)).sum() <= differ
 
 
 def test_deletions_find_what_segments_alone_would_not():
@@ -179,7 +191,44 @@ def test_deletions_find_what_segments_alone_would_not():
     allocation = jaccard.Allocation.cheapest(rule, 9, 17, 10_000_000)
     assert allocation.deletions
     one = np.arange(16, dtype=np.uint64)
-    assert len(np.intersect1d(allocation.keys(3, one), allocation.keys(3, one[1:]))) > 0
+    assert len(np.intersect1d(allocation.keys(3, one)[0], allocation.keys(3, one[1:])[0])) > 0
+
+
+def test_a_set_with_too_few_segments_meets_others_like_it():
+    allocation = jaccard.Allocation(jaccard.Rule(80, 100), 625, 40, False, 64)
+    rng = np.random.default_rng(5)
+    one, other = (allocation.keys(2, rng.integers(0, 1 << 62, 600).astype(np.uint64)) for _ in range(2))
+    assert (one[1] < 0).sum() == (other[1] < 0).sum() == 1 and one[0][one[1] < 0] == other[0][other[1] < 0]
+    often = np.full(len(one[0]), 9)
+    assert one[1][allocation.kept(600, *one, often, 5)].min() == -1
+
+
+def test_unrelated_texts_share_no_frequent_key(spark, monkeypatch):
+    """Texts of uneven lengths at a share of 0.8: none of their kept keys is frequent, so no cluster forms."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(4000)], k=rng.choice([40, 120, 300, 700, 900]))) for _ in range(300)]
+    seen = []
+    plain = jaccard._clusters
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    monkeypatch.setattr(jaccard, "_clusters", lambda *args: seen.append(1) or plain(*args))
+    assert linked(jaccard.link(docs_of(spark, texts))) == plain_components(list(enumerate(texts)), 5, 80)
+    assert not seen
+
+
+def test_a_group_of_near_copies_closes_at_its_hub(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in rng.choices(range(4000), k=200)]
+    texts = []
+    for _ in range(400):
+        copy = list(base)
+        copy[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    clusters = []
+    plain = jaccard._clusters
+    monkeypatch.setattr(jaccard, "_clusters", lambda *args: clusters.append(plain(*args)) or clusters[-1])
+    monkeypatch.setattr(jaccard, "remove", lambda *args: None)
+    assert {r["component_id"] for r in rows(jaccard.link(docs_of(spark, texts)))} == {0}
+    assert len(clusters) == 1 and clusters[0].count() == 0
 
 
 def test_components_of_chains_and_stars(spark):
