@@ -67,3 +67,71 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN response <> page_id THEN response END AS refers_to
 FROM q"""
+
+
+def _cells(scale: int) -> str:
+    """Kept vectors of 64 finite components as rows (r, i, v), r numbering the vectors by id."""
+    return f"""
+kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64),
+cells AS MATERIALIZED (SELECT r, i, CAST(floor(embedding[i] * CAST({scale} AS DOUBLE)) AS BIGINT) AS v
+  FROM kept, (SELECT unnest(range(1, 65)) AS i))"""
+
+
+_FLOORED = "(s - ((s % n) + n) % n) // n"
+
+
+def _orchard(rounds: int = 6, entries: int = 16) -> str:
+    parts = [f"""WITH {_cells(4096)},
+x AS MATERIALIZED (SELECT r, (i - 1) // 8 AS p, i, v FROM cells),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, i, v FROM x WHERE r <= {entries})"""]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS MATERIALIZED (SELECT r, p, min(struct_pack(d := d, e := e)) AS best FROM (
+  SELECT x.r, x.p, e, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d FROM x JOIN c{k} c ON c.p = x.p AND c.i = x.i
+  GROUP BY x.r, x.p, e) GROUP BY r, p)""")
+        if k < rounds:
+            parts.append(f"""m{k} AS (SELECT x.p, best.e AS e, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{k} a
+  ON a.r = x.r AND a.p = x.p GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, c.i, CASE WHEN n IS NULL THEN v ELSE {_FLOORED} END AS v FROM c{k} c LEFT JOIN m{k} m
+  ON m.p = c.p AND m.e = c.e AND m.i = c.i)""")
+    parts.append(f"""rows AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, i)) FROM c{rounds}) AS codebooks_sha256
+FROM rows JOIN kept USING (r)""")
+    return ",\n".join(parts[:-1]) + ",\n" + parts[-1]
+
+
+def _kmeans(rounds: int = 10, centroids: int = 8) -> str:
+    parts = [f"""WITH {_cells(1024)},
+seeds AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)) NULLS LAST, r) - 1 AS c FROM kept),
+c0 AS MATERIALIZED (SELECT c, i, v FROM cells JOIN seeds USING (r) WHERE c < {centroids})"""]
+    for k in range(rounds + 1):
+        parts.append(f"""a{k} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, c := c)) AS best FROM (
+  SELECT x.r, c.c, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d FROM cells x JOIN c{k} c ON c.i = x.i GROUP BY x.r, c.c) GROUP BY r)""")
+        if k < rounds:
+            parts.append(f"""m{k} AS (SELECT best.c AS c, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM cells JOIN a{k} USING (r) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT c.c, c.i, CASE WHEN n IS NULL THEN v ELSE {_FLOORED} END AS v FROM c{k} c LEFT JOIN m{k} m
+  ON m.c = c.c AND m.i = c.i)""")
+    parts.append(f"""sha AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN sha ON sha.c = best.c""")
+    return ",\n".join(parts[:-1]) + ",\n" + parts[-1]
+
+
+ORACLE["op11_orchard_codes"] = _orchard()
+ORACLE["op12_ns_kmeans"] = _kmeans()
+ORACLE["op13_reply_trees"] = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL
+  VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n,
+  coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+f AS (SELECT *, regexp_replace(text, '(<<?/?|\[/?)(\\*)(s>|SYS>>|INST\]|ROLE\])', '\1\\\2\3', 'g') AS body,
+  regexp_replace(role, '(<<?/?|\[/?)(\\*)(s>|SYS>>|INST\]|ROLE\])', '\1\\\2\3', 'g') AS head FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(body) + CASE role WHEN 'user' THEN 16 WHEN 'assistant' THEN 10 WHEN 'system' THEN 18
+    ELSE 17 + length(replace(replace(head, '~', '~0'), chr(10), '~1')) END) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""

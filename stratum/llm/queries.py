@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, decontaminate, extract, jaccard, licenses, quality, secrets, substrings, urls, warc
+from stratum.llm import (bpe, clusters, codes, decontaminate, extract, jaccard, licenses, quality, secrets, substrings, trees,
+                         urls, warc)
 from stratum.llm.common import scratch
 from stratum.llm.oracle import ORACLE
 
@@ -77,6 +78,33 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    books = codes.train(vectors)
+    found = codes.error_by(codes.encode(vectors, books, keep_cols=("label",)), "label")
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.summarised(*clusters.kmeans(_table(spark, sf_dir, "embeddings")))
+
+
+#: A conversation whose texts hold control strings of chat templates: its id and what both of its turns say; fixed values.
+TRICKY_ID, TRICKY_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+def op13_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(TRICKY_ID, i, role, TRICKY_TEXT) for i, role in enumerate(("user", "assistant"))]
+    found = trees.conversations(trees.chains(rows.unionByName(spark.createDataFrame(tricky, rows.schema))))
+    read = found.select(F.col("leaf.conv").alias("conv_id"), trees.read_back(F.col("formatted")).alias("turns"),
+                        trees.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+                        F.length("formatted").cast("long").alias("formatted_chars"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_html_extraction": op2_html_extraction,
@@ -88,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_licenses": op10_licenses,
+    "op11_orchard_codes": op11_orchard_codes,
+    "op12_ns_kmeans": op12_ns_kmeans,
+    "op13_reply_trees": op13_reply_trees,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
