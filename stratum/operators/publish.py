@@ -56,6 +56,12 @@ def write_slices(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder whose contents are written elsewhere."""
+    fs, folder = _fs(spark, path)
+    fs.delete(folder, True)
+
+
 def new_run(base: str) -> str:
     """A fresh run folder below ``base`` (never reused, never overwritten)."""
     return f"{base.rstrip('/')}/run={uuid.uuid4().hex}"

@@ -63,7 +63,7 @@ class SilverRun:
     run_dir: str
     tables: dict[str, str]
     artifacts: DataFrame
-    members: list[dict] = field(default_factory=list)
+    members: DataFrame | None = None
     schemas: dict = field(default_factory=dict)
     years: tuple[int, ...] | None = None
 
@@ -94,6 +94,11 @@ def _check_members(members: DataFrame, archives: DataFrame, treatments: Mapping[
             "archive of {year}: missing datasets [{missing}], duplicated [{duplicated}], extra [{extra}]")
 
 
+def _stage(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_silver(
     spark: SparkSession,
     bronze_root: str,
@@ -110,21 +115,19 @@ def build_silver(
     if archives.isEmpty():
         raise PipelineError(f"no archives below {bronze_root}")
     _check_archives(archives, treatments)
-    found = S.classify_members(A.list_members(archives), "member", "year")
-    # the member list is metadata, one row per file: listed once, then a table of its own
-    members_df = spark.createDataFrame(found.collect(), found.schema)
-    _check_members(members_df, archives, treatments)
-    members = [r.asDict() for r in members_df.collect()]
-
-    meta = spark.createDataFrame(
-        [(m["archive"], m["member"], m["dataset"], treatments[m["year"]].kind,
-          list(contracts[m["dataset"]].source_columns)) for m in members],
-        "archive string, member string, dataset string, kind string, expected array<string>",
-    )
-    # parse once, write once, a folder for each dataset: every later step reads this durable table
+    paths = [r["archive"] for r in archives.select("archive").collect()]  # one per archive
+    members = _stage(S.classify_members(A.list_members(spark, paths), "member", "year"), f"{run_dir}/_staging/members")
+    _check_members(members, archives, treatments)
+
+    widths = spark.createDataFrame([(n, list(c.source_columns)) for n, c in contracts.items()], "dataset string, expected array<string>")
+    meta = members.join(maybe_broadcast(widths), "dataset").select(
+        "archive", "member", "dataset", F.element_at(_kind_map(treatments), F.col("year")).alias("kind"), "expected")
+    # decompress once, parse once, a folder for each dataset: every later step reads this durable table
+    chunks = _stage(A.read_chunks(spark, paths), f"{run_dir}/_staging/chunks")
     staged_path = f"{run_dir}/_staging/records"
-    A.read_members(members_df, partitions=len(members)).join(maybe_broadcast(meta), ["archive", "member"]) \
+    A.read_records(chunks).join(maybe_broadcast(meta), ["archive", "member"]) \
         .write.mode("overwrite").partitionBy("dataset").parquet(staged_path)
+    P.remove(spark, f"{run_dir}/_staging/chunks")
     records = spark.read.parquet(staged_path)
     first = records.where("record_no = 1 and fields <> expected").first()
     if first:
@@ -194,11 +197,9 @@ def _artifacts(spark, records, src, members, tables, schemas, contracts, treatme
     silver_counts = parts[0]
     for p in parts[1:]:
         silver_counts = silver_counts.unionByName(p)
-    meta = spark.createDataFrame(
-        [(m["archive"], m["member"], m["year"], treatments[m["year"]].kind, m["dataset"], m["fund"],
-          m["dimension"]) for m in members],
-        "archive string, member string, year int, kind string, dataset string, fund string, dimension string",
-    ).withColumn("base", F.regexp_extract("member", r"([^/]+)$", 1))
+    meta = members.select(
+        "archive", "member", "year", F.element_at(_kind_map(treatments), F.col("year")).alias("kind"), "dataset", "fund", "dimension",
+        F.regexp_extract("member", r"([^/]+)$", 1).alias("base"))
     enc = A.headers(records).select("archive", "member", "encoding")
     out = (
         meta.join(enc, ["archive", "member"], "left")
@@ -572,5 +573,5 @@ def backfill(spark: SparkSession, lake_root: str, years: Sequence[int] | None =
         raise Q.GateClosed(f"quality report missing for {missing} or invalid for {invalid}")
     tables = {n: f"{run_dir}/silver/{n}" for n in contracts}
     schemas = {n: spark.read.parquet(p).schema for n, p in tables.items()}
-    silver = SilverRun(run_dir, tables, manifest_artifacts(spark, run_dir, years), [], schemas, years)
+    silver = SilverRun(run_dir, tables, manifest_artifacts(spark, run_dir, years), None, schemas, years)
     return load_gold(spark, silver, f"{lake_root}/gold/{source}", contracts=contracts)

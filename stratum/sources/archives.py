@@ -1,50 +1,26 @@
 """Archive scan: ZIP archives of delimited members -> raw record frames.
 
-Two distributed steps, both deterministic (a lost executor recomputes the
-same rows):
-
-1. :func:`list_members` -- one task per archive reads only the ZIP central
-   directory and emits one row per ``.csv`` member (name, size).
-2. :func:`read_members` -- members are spread over tasks (``repartition`` by
-   member), and each task streams its member: it validates UTF-8 once with an
-   incremental decoder (falling back to Latin-1, which accepts any byte),
-   then parses ``;``-separated records with quoting and embedded newlines,
-   yielding Arrow batches of at most ``batch_rows`` records.  Memory per task
-   is bounded by the batch, not by the member or the archive.
+1. :func:`scan_archives` lists archives (Spark's ``binaryFile`` listing, no content).
+2. :func:`list_members` and :func:`read_chunks` are the ``zip_members`` data source: one row per
+   member, or its decompressed bytes in chunks of whole lines.  Both run in tasks; no member row is on the driver.
+3. :func:`read_records` parses written chunks, each in a task of its own however large the member
+   is, and numbers records as one reader of the member would.
 
 Record numbers count CSV records (not lines); the header is record 1 and is
 emitted as such, data records start at 2 -- exactly what ``spark.read.csv``
-cannot provide.  Files are opened through ``pyarrow.fs``, so local, HDFS and
-object-store URIs work alike; no archive content passes through the driver.
+cannot provide.  A member is decompressed by one task as a stream (deflate has no entry points); its memory is a
+chunk, and what costs time, parsing, is split.
 """
 
 from __future__ import annotations
 
-import codecs
-import csv
-import io
-import zipfile
-from typing import Iterator
+import json
+from typing import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMBER_SCHEMA = "archive string, year int, member string, member_size long"
-RECORD_SCHEMA = (
-    "archive string, year int, member string, encoding string, record_no long, "
-    "fields array<string>"
-)
-DEFAULT_BATCH_ROWS = 50_000
-
-
-def _open(path: str):
-    from pyarrow import fs as pafs
-
-    if "://" not in path:
-        path = "file://" + path
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
+from stratum.sources import csv_split, zip_source
 
 
 def scan_archives(spark: SparkSession, root: str, year_key: str = "ano_eleicao",
@@ -73,77 +49,25 @@ def scan_archives(spark: SparkSession, root: str, year_key: str = "ano_eleicao",
     return catalogue if provenance is None else catalogue.join(provenance, "year", "left")
 
 
-def _strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") and not path.startswith("file://") else path
-
-
-def _list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for archive, year in zip(pdf["archive"], pdf["year"]):
-            with _open(_strip_scheme(archive)) as handle, zipfile.ZipFile(handle) as zf:
-                for info in zf.infolist():
-                    if info.is_dir() or not info.filename.lower().endswith(".csv"):
-                        continue
-                    rows.append((archive, year, info.filename, info.file_size))
-        yield pd.DataFrame(rows, columns=["archive", "year", "member", "member_size"])
-
-
-def list_members(archives: DataFrame) -> DataFrame:
-    """One row per ``.csv`` member (directories skipped, case-insensitive)."""
-    return archives.select("archive", "year").repartition("archive").mapInPandas(_list, MEMBER_SCHEMA)
-
-
-def _utf8_ok(zf: zipfile.ZipFile, member: str) -> bool:
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    with zf.open(member) as raw:
-        try:
-            while True:
-                chunk = raw.read(1 << 20)
-                if not chunk:
-                    decoder.decode(b"", final=True)
-                    return True
-                decoder.decode(chunk)
-        except UnicodeDecodeError:
-            return False
-
-
-def _reader(batch_rows: int):
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["archive", "year", "member", "encoding", "record_no", "fields"]
-        for pdf in batches:
-            for archive, year, member in zip(pdf["archive"], pdf["year"], pdf["member"]):
-                with _open(_strip_scheme(archive)) as handle, zipfile.ZipFile(handle) as zf:
-                    encoding = "utf-8-sig" if _utf8_ok(zf, member) else "latin-1"
-                    with zf.open(member) as raw:
-                        text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-                        out = []
-                        for record_no, fields in enumerate(csv.reader(text, delimiter=";"), start=1):
-                            out.append((archive, year, member, encoding, record_no, fields))
-                            if len(out) >= batch_rows:
-                                yield pd.DataFrame(out, columns=cols)
-                                out = []
-                        if out:
-                            yield pd.DataFrame(out, columns=cols)
-
-    return read
-
-
-def read_members(members: DataFrame, partitions: int | None = None,
-                 batch_rows: int = DEFAULT_BATCH_ROWS) -> DataFrame:
-    """Raw records of every member: record 1 is the header.
-
-    Members are dealt in turn over ``partitions`` (one task
-    per member by default), so members of one archive are parsed in parallel
-    and no two land in a task while another has none.
-    """
-    listed = members.select("archive", "year", "member")
-    if partitions is None:
-        partitions = max(1, listed.count())
-    # member lists are metadata: one row per file
-    ranked = listed.withColumn("_task", F.row_number().over(Window.orderBy("archive", "member")) % partitions)
-    spread = ranked.repartitionByRange(partitions, "_task").drop("_task")
-    return spread.mapInPandas(_reader(batch_rows), RECORD_SCHEMA)
+def _members(spark: SparkSession, archives: Sequence[str], schema: str, **options) -> DataFrame:
+    zip_source.register(spark)
+    return spark.read.format("zip_members").schema(schema).options(
+        archives=json.dumps(list(archives)), **{k: str(v) for k, v in options.items()}).load()
+
+
+def list_members(spark: SparkSession, archives: Sequence[str], **options) -> DataFrame:
+    """One row per ``.csv`` member (directories skipped, case-insensitive): archive, year, member, member_size."""
+    return _members(spark, archives, zip_source.MEMBER_SCHEMA, **options)
+
+
+def read_chunks(spark: SparkSession, archives: Sequence[str], **options) -> DataFrame:
+    """The members' bytes: archive, year, member, member_size, chunk, data."""
+    return _members(spark, archives, zip_source.CHUNK_SCHEMA, **options)
+
+
+def read_records(chunks: DataFrame) -> DataFrame:
+    """Raw records of every member from a written table of chunks; record 1 is the header."""
+    return csv_split.parsed(chunks)
 
 
 def headers(records: DataFrame) -> DataFrame:
