@@ -304,8 +304,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
     rows = written(texts.mapInArrow(sized, "id long, block long, n long, cls long"), "sets")
     classes = rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("id").alias("least"), F.min("block").alias("block"))
-    verified = links(texts, classes, words, rule)
-    of_class = components(verified).withColumnsRenamed({"node": "cls"})
+    of_class = linked_classes(texts, classes, words, rule).withColumnsRenamed({"node": "cls"})
     least = classes.join(of_class, "cls").groupBy("component").agg(F.min("least").alias("reached"))
     reached = of_class.join(least, "component").select("cls", "reached")
     # a table of its own, so that adaptive execution can split a class of very many rows
@@ -316,8 +315,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataFrame:
-    """Verified links ``a``, ``b`` between classes whose components are those of all links."""
+def linked_classes(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataFrame:
+    """``node`` and ``component`` of every class that links with another."""
     spark = texts.sparkSession
     largest = classes.agg(F.max("n")).first()[0] or 1
     starts = rule.bands(largest)
@@ -388,12 +387,14 @@ def links(texts: DataFrame, classes: DataFrame, words: int, rule: Rule) -> DataF
         "band", F.struct("cls", "n").alias("one"), F.col("hub").alias("other")).distinct()
     pairs = written(_near(_few(signed).unionByName(to_hub), signed, rule), "pairs", work)
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    verified = written(_verified(pairs, _sets_of(texts, classes, wanted, words, work), rule), "verified", work)
-    if not frequent.isEmpty():
-        members = written(_clusters(frequent, verified, work), "clusters", work)
+    verified = _verified(pairs, _sets_of(texts, classes, wanted, words, work), rule)
+    found = components(verified)
+    open_ = written(_open(frequent, found, work), "open", work)
+    if not open_.isEmpty():
+        members = written(_clusters(open_), "clusters", work)
         more = _cluster_links(members, _sets_of(texts, classes, members.select("cls"), words, work), rule)
-        verified = verified.unionByName(more)
-    found = written(verified, "links")
+        so_far = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(so_far.unionByName(more))
     remove(spark, work)
     return found
 
@@ -431,15 +432,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             .where(F.lit(rule.of) * shared >= F.lit(rule.share) * (joint - shared)).select("a", "b"))
 
 
-def _clusters(frequent: DataFrame, verified: DataFrame, work: str) -> DataFrame:
-    """``cls``, its component ``label`` so far, ``cluster`` and its ``chunks``, of the sets that share a frequent key with a
-    set of another component; a cluster is what these keys connect."""
-    label = components(verified).withColumnsRenamed({"node": "cls", "component": "label"})
+def _open(frequent: DataFrame, found: DataFrame, work: str) -> DataFrame:
+    """``cls``, its component ``label`` so far and a ``hub``, of the sets that share a frequent key (which has the hub) with
+    a set of another component."""
+    label = found.select(F.col("node").alias("cls"), F.col("component").alias("label"))
     members = frequent.select("cls", "key").distinct().join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     members = written(members, "labelled", work)
     open_ = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("cls").alias("hub")) \
         .where("least < most").select("key", "hub")
-    members = written(members.join(open_, "key").select("cls", "label", "hub").distinct(), "open", work)
+    return members.join(open_, "key").select("cls", "label", "hub").distinct()
+
+
+def _clusters(members: DataFrame) -> DataFrame:
+    """``cls``, ``label``, ``cluster`` and its ``chunks``; a cluster is what hubs connect."""
     joined = components(members.select(F.col("cls").alias("a"), F.col("hub").alias("b")))
     chunks = joined.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
     labels = members.select("cls", "label").distinct()
