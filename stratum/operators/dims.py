@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import null_safe_condition, surrogate_key
+from stratum.session import maybe_broadcast, written_once
 
 
 class DimensionConflict(ValueError):
@@ -42,13 +43,43 @@ def conflicts(df: DataFrame, key: Sequence[str], attr: str) -> DataFrame:
     return pairs.alias("p").join(many.alias("m"), cond).select("p.*", "m.n_values")
 
 
-def resolve_last_writer(df: DataFrame, key: Sequence[str], attr: str, order_col: str) -> DataFrame:
-    """One attribute per key: the one with the highest ``order_col``.
+def resolve_last_writer(df: DataFrame, key: Sequence[str], attr: str, order: str | Sequence[str]) -> DataFrame:
+    """One attribute per key: the one that comes last by ``order`` (columns, the first one first).
 
-    ``max_by`` is a plain aggregate with map-side partial aggregation, so a
-    key holding a third of the rows never gathers its rows in one task.
+    Order columns say who came last, e.g. the load's time, then archive and row; should two rows tie on
+    all of them, the larger attribute counts, so the result never depends on how rows lie.
+    ``max`` of a struct is a plain aggregate with map-side partial aggregation, so a
+    key holding a third of the rows never gathers its rows in one task.  Nulls come first.
     """
-    return df.groupBy(*key).agg(F.max_by(attr, order_col).alias(attr))
+    order = [order] if isinstance(order, str) else list(order)
+    at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(attr).alias("v"))
+    return df.groupBy(*key).agg(F.max(at).alias("_last")).select(*key, F.col("_last.v").alias(attr))
+
+
+def with_dense_ids(existing: DataFrame, incoming: DataFrame, key: Sequence[str], id_col: str) -> DataFrame:
+    """``existing`` (key and ``id_col``) with the keys only ``incoming`` has, numbered on from the largest id without gaps.
+
+    As identity columns do, but in the order of the keys (nulls first), so a repeated run gives the same ids.  Ids
+    of existing keys stay.  New keys are distinct, so ranges of them are even: they are range-partitioned, sorted and
+    written with their place in the partition; a partition's first id is the sum of the counts before it, which is a window
+    over one row a partition.  No task sees more than its range, nothing is numbered by one task.
+    """
+    spark = existing.sparkSession
+    known = existing.select(*key, id_col)
+    new = incoming.select(*key).distinct().alias("n")
+    absent = new.join(known.alias("e"), null_safe_condition("n", "e", tuple(key)), "left_anti")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = absent.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
+    place = F.monotonically_increasing_id()  # partition number above, place in the partition below
+    placed = written_once(placed.withColumn("_place", place), "new-keys").withColumns({
+        "_part": F.shiftright("_place", 33), "_at": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row for each partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    top = F.coalesce(known.agg(F.max(id_col).alias("m")).scalar(), F.lit(0))
+    numbered = placed.join(maybe_broadcast(starts), "_part").select(
+        *key, (top + F.col("_start") + F.col("_at") + 1).cast(existing.schema[id_col].dataType).alias(id_col))
+    return known.unionByName(numbered)
 
 
 def upsert(

@@ -286,35 +286,38 @@ def completeness(artifacts: DataFrame, expected_datasets: Sequence[str] | Mappin
     )
 
 
+#: Bits of a key's presence in the two files.
+IN_PARENT, IN_CHILD = 1, 2
+
+
+def presence(parent: DataFrame, child: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every key of either file (nulls equal) once, with ``presence``, the bits of the files that have it.
+
+    One aggregation over both files: rows meet by key after a partial aggregate, so a key is sent once
+    by a task however many rows it has.
+    """
+    columns = list(columns)
+    sides = parent.select(*columns, F.lit(IN_PARENT).alias("presence")).unionByName(
+        child.select(*columns, F.lit(IN_CHILD).alias("presence")))
+    return sides.groupBy(*columns).agg(F.bit_or("presence").alias("presence"))
+
+
 def coverage(parent: DataFrame, child: DataFrame, key: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Parent keys without a child and child keys without a parent, null-safe.
 
-    Both sides are reduced to distinct keys first; each direction is one
-    null-safe anti join.  Output per group: side, n, rate = n / max(parents, 1).
+    Both files are read once, and one exchange brings keys together; groups are counted by partial aggregates.
+    Output per group: side, n, rate = n / max(parents, 1); sides without any such key give no row.
     """
-    if not group:
-        out = coverage(parent.withColumn("_all", F.lit(1)), child.withColumn("_all", F.lit(1)), key, ["_all"])
-        return out.drop("_all")
-    cols = [*group, *key]
-    p = parent.select(*cols).distinct().alias("p")
-    c = child.select(*cols).distinct().alias("c")
-    no_child = (
-        p.join(c, null_safe_condition("p", "c", tuple(cols)), "left_anti")
-        .groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("side", F.lit("parent_without_child"))
-    )
-    orphan = (
-        c.join(p, null_safe_condition("c", "p", tuple(cols)), "left_anti")
-        .groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("side", F.lit("child_without_parent"))
-    )
-    parents = p.groupBy(*group).agg(F.count(F.lit(1)).alias("parents"))
-    out = no_child.unionByName(orphan).join(parents, list(group), "left")
+    group = list(group)
+    here = presence(parent, child, [*group, *key])
+    sides = {"parent_without_child": IN_PARENT, "child_without_parent": IN_CHILD}
+    counted = here.groupBy(*group).agg(
+        *[F.count_if(F.col("presence") == bit).alias(side) for side, bit in sides.items()],
+        F.count_if(F.col("presence").bitwiseAND(IN_PARENT) > 0).alias("_parents"))
+    out = counted.unpivot([*group, "_parents"], list(sides), "side", "n").where("n > 0")
     return out.select(
         *group, "side", F.col("n").cast("bigint").alias("n"),
-        F.round(F.col("n") / F.greatest(F.coalesce(F.col("parents"), F.lit(0)), F.lit(1)).cast("double"), 6)
-        .alias("rate"),
-    )
+        F.round(F.col("n") / F.greatest("_parents", F.lit(1)).cast("double"), 6).alias("rate"))
 
 
 def coverage_issues(parent: DataFrame, child: DataFrame, key: Sequence[str], artifact: str,

@@ -241,6 +241,7 @@ def member_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------- batch 3: row rules
 
+from stratum.operators import partials as PA  # noqa: E402
 from stratum.operators import quality as Q  # noqa: E402
 from stratum.operators import skew as SK  # noqa: E402
 from stratum.operators import validate as V  # noqa: E402
@@ -423,6 +424,36 @@ def issue_rollup_multi_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.rollup(issues.unionByName(counts), rows, by=["yr"])
 
 
+def _partials_by_year(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Stored partials of the fixture's years, of which one year was then loaded anew (with its declared row count put right)."""
+    issues, arts = QF.all_issues(spark, sf_dir)
+    year = F.regexp_extract("artifact", r"_([0-9]{4})\.csv$", 1).cast("int")
+    issues = issues.withColumn("yr", year)
+    base = _lake_path(spark, "quality", "orders")
+    paths = f"{base}findings", f"{base}artifacts"
+    for name, frame in zip(paths, (PA.findings(issues, "yr"), arts)):
+        PA.store(frame, name, "yr")
+    reloaded = issues.where((F.col("yr") == 1997) & (F.col("rule") != "row_count_integrity"))
+    PA.store(PA.findings(reloaded, "yr"), paths[0], "yr")
+    PA.store(arts.where("yr = 1997").withColumn("expected_rows", F.col("rows")), paths[1], "yr")
+    return paths
+
+
+@query
+def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid, artifacts, rows, errors and warnings over all years, merged from stored partials after one year's reload."""
+    found, arts = _partials_by_year(spark, sf_dir)
+    return PA.report(PA.stored(spark, found, PA.FINDINGS_SCHEMA, "yr"), PA.stored(spark, arts, PA.ARTIFACTS_SCHEMA, "yr"), ["yr"])
+
+
+@query
+def incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings with rate, first message and first records, merged from stored partials after one year's reload."""
+    found, arts = _partials_by_year(spark, sf_dir)
+    out = PA.rollup(PA.stored(spark, found, PA.FINDINGS_SCHEMA, "yr"), PA.stored(spark, arts, PA.ARTIFACTS_SCHEMA, "yr"), ["yr"])
+    return out.withColumn("records", F.array_join("records", ","))
+
+
 # ---------------------------------------------------------------- batch 6: gold
 
 from stratum.functions.keys import natural_key  # noqa: E402
@@ -506,6 +537,23 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.check_surrogate_keys(places, "location_id", PLACE)
 
 
+@query
+def dim_last_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type of each user's last event of the table: by day, then by event id (many events tie on the day)."""
+    ev = T.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return D.resolve_last_writer(ev, ["user_id"], "event_type", ["day", "event_id"])
+
+
+@query
+def dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parties numbered without gaps: those of years up to 1998 have ids already, all others follow in order."""
+    parties = written_once(T.v_line(spark, sf_dir).groupBy("yr", "party_no").agg(F.count(F.lit(1)).alias("n")), "parties")
+    key = ["yr", "party_no"]
+    none = spark.createDataFrame([], "yr smallint, party_no bigint, party_id bigint")
+    first = D.with_dense_ids(none, parties.where(F.col("yr") <= 1998), key, "party_id")
+    return D.with_dense_ids(first, parties, key, "party_id")
+
+
 @query
 def unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(year, order, line) must be unique in the detail rows (nulls equal)."""
@@ -643,7 +691,9 @@ def gated_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ batch 7: lake I/O
 
 from stratum.session import checkpoint_dir  # noqa: E402
+from stratum.sources import archives as A  # noqa: E402
 from stratum.sources import lake as L  # noqa: E402
+from stratum.sources import member_files as MF  # noqa: E402
 
 
 def _lake_path(spark: SparkSession, layer: str, name: str) -> str:
@@ -666,6 +716,38 @@ def silver_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.read_text_csv(spark, path, columns)
 
 
+def _noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a yearly member's records: number, status, and a note that needs quoting."""
+    orders = T.table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return orders.select(
+        F.format_string("orders_%d.csv", F.year("o_orderdate")).alias("member"), F.col("o_orderkey").alias("k"),
+        F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('said "'), "o_orderpriority", F.lit('";\nthen\r\n\\'), day))
+        .when(F.col("o_orderkey") % 3 == 1, day).alias("note"))
+
+
+@query
+def member_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly members written as one named CSV file each, then read back file by file."""
+    path = _lake_path(spark, "silver", "members")
+    MF.export_members(_noted(spark, sf_dir), path, "member", "k", ["key", "status", "note"], part_records=20_000)
+    back = L.read_text_csv(spark, path, ["key", "status", "note"])
+    return back.select(F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1).alias("file"), "key", "status", "note")
+
+
+@query
+def member_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly members packed into archives, then listed, decompressed and parsed by many tasks: records keep their numbers."""
+    path = _lake_path(spark, "bronze", "members")
+    MF.export_members(_noted(spark, sf_dir), f"{path}files", "member", "k", ["key", "status", "note"], suffix="", part_records=20_000)
+    packed = A.pack_members(spark, f"{path}files", f"{path}raw")
+    chunks = written_once(A.read_chunks(spark, packed, splitBytes=1 << 16, chunkBytes=1 << 14), "chunks")
+    records = A.data_records(A.read_records(chunks))
+    return records.select("member", "encoding", "record_no", *[F.get("fields", i).alias(c) for i, c in enumerate(("key", "status", "note"))],
+                          F.size("fields").alias("width"))
+
+
 @query
 def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parent files appended year by year's parity to one partitioned table, read back and counted."""

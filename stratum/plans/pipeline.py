@@ -10,9 +10,11 @@ of lineage); every later step reads written tables.  The manifest's row counts
 come from the parsed records, the quality step counts the silver tables, so the
 two are taken independently.
 Publishing: everything a run produces, facts included, goes to its own
-``run=<id>/`` folder.  After all checks pass one pointer file is replaced; it
+``run=<id>/`` folder.  After all checks pass one version is appended to the log; it
 names the run's dimensions and audit, and for every fact slice the run folder
-that holds it.  A failing run publishes nothing.
+that holds it.  A failing run publishes nothing.  Of two loads at once that share a
+slice the later one is refused; else it builds its (small) dimensions again on what the first one
+published, and both stay.
 """
 
 from __future__ import annotations
@@ -34,14 +36,17 @@ from stratum.contracts import (
     Contract,
     Treatment,
 )
+from stratum.functions import clean as C
 from stratum.functions.keys import null_safe_condition
 from stratum.operators import dims as D
 from stratum.operators import facts as FA
+from stratum.operators import partials as PA
 from stratum.operators import publish as P
 from stratum.operators import quality as Q
 from stratum.operators import silver as S
 from stratum.sources import archives as A
 from stratum.sources import lake as L
+from stratum.sources import member_files as MF
 from stratum.session import maybe_broadcast
 
 YEAR = "ano_eleicao"
@@ -214,6 +219,24 @@ def _artifacts(spark, records, src, members, tables, schemas, contracts, treatme
     )
 
 
+def export_silver(spark: SparkSession, silver: SilverRun, lake_root: str, source: str = SOURCE_NAME,
+                  contracts: Mapping[str, Contract] = ELECTORAL_CONTRACTS) -> DataFrame:
+    """A treated CSV file for each member, ``{stem}_tratado.csv`` below its year's prefix; the manifest's counts must hold."""
+    done = []
+    for name in silver.tables:
+        df, columns = silver.read(spark, name), S.silver_columns(contracts[name])
+        types = dict(df.dtypes)
+        mine = silver.artifacts.where(F.col("dataset") == name)
+        for year in sorted(r["year"] for r in mine.select("year").distinct().collect()):  # one per archive
+            rows = df.where(F.col("_pyear") == year).select(
+                F.col("source_member").alias("_member"), F.col("source_row_number").alias("_no"),
+                *[C.as_text(c, types[c]).alias(c) for c in columns])
+            declared = mine.where(F.col("year") == year).select("member", F.col("row_count").alias("rows"))
+            folder = L.prefix(lake_root, "silver", source, {YEAR: year}, "tratado")
+            done.append(MF.export_members(rows, folder, "_member", "_no", columns, declared))
+    return _union(done)
+
+
 # ---------------------------------------------------------------------- quality
 
 
@@ -314,11 +337,35 @@ def run_quality(
     overall = Q.report(issues.withColumn("_all", F.lit(1)), counted.withColumn("_all", F.lit(1)), ["_all"]).drop("_all")
     out = QualityRun(issues, rollup, samples, profiles, report, overall)
     if write:
+        # what reports over any years merge from; a year loaded again has its own anew, others stay as they are
+        PA.store(PA.findings(issues, "year"), f"{base}/{FINDINGS}", "year")
+        PA.store(counted.select("artifact", "rows", "expected_rows", "year"), f"{base}/{ARTIFACTS}", "year")
         L.write_json(nested_report(out), f"{base}/report", partition_by=("year",))
         L.write_json(overall.withColumn("generated_at", F.current_timestamp()), f"{base}/report_overall", partition_by=())
     return out
 
 
+FINDINGS, ARTIFACTS = "findings", "artifacts"
+
+
+def published_quality(spark: SparkSession, lake_root: str, source: str = SOURCE_NAME) -> tuple[DataFrame, DataFrame]:
+    """Stored partials (findings, artifacts) of every published year, each from the run that loaded it last."""
+    state = P.pointer(spark, L.prefix(lake_root, "silver", source)) or {"partials": {}}
+    parts: dict[str, list[DataFrame]] = {FINDINGS: [], ARTIFACTS: []}
+    for folder in sorted(set(state["partials"].values())):
+        years = [int(y) for y, f in state["partials"].items() if f == folder]
+        for name, schema in ((FINDINGS, PA.FINDINGS_SCHEMA), (ARTIFACTS, PA.ARTIFACTS_SCHEMA)):
+            parts[name].append(PA.stored(spark, f"{folder}/{name}", schema, "year", years))
+    if not parts[FINDINGS]:
+        raise PipelineError("no published silver run")
+    return _union(parts[FINDINGS]), _union(parts[ARTIFACTS])
+
+
+def published_report(spark: SparkSession, lake_root: str, by: Sequence[str] = (), source: str = SOURCE_NAME) -> DataFrame:
+    """The quality report over all published years, or for each value of ``by``; no record is read for it."""
+    return PA.report(*published_quality(spark, lake_root, source), by)
+
+
 def nested_report(quality: QualityRun) -> DataFrame:
     """One document per year: totals, the artifacts' profiles, and the issues with their first records."""
     key = ["year", "artifact", "rule"]
@@ -398,30 +445,30 @@ def _parties(stages: Mapping[str, DataFrame]) -> DataFrame:
     return D.resolve_last_writer(order, [YEAR, "numero_partido"], "sigla_partido", "_order")
 
 
-def load_gold(spark: SparkSession, silver: SilverRun, gold_root: str, *,
-              contracts: Mapping[str, Contract] = ELECTORAL_CONTRACTS) -> GoldRun:
-    """Dimension upserts, fact slices, constraints, reconciliation and audit, published in one step."""
-    published = P.pointer(spark, gold_root) or {"run": None, "facts": {}}
+def _previous(spark: SparkSession, run: str | None, name: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{run}/{name}") if run else spark.createDataFrame([], schema)
 
-    def previous(name: str, schema: str) -> DataFrame:
-        if published["run"]:
-            return spark.read.schema(schema).parquet(f"{published['run']}/{name}")
-        return spark.createDataFrame([], schema)
 
-    for name in silver.tables:
-        header = F.array(*[F.lit(x) for x in S.silver_columns(contracts[name])])
-        other = silver.artifacts.where((F.col("dataset") == name) & (F.col("columns") != header)).first()
-        if other:
-            raise FA.LoadError(f"the manifest's header of {other['member']} isn't the contract's: {other['columns']}")
-    stages = {n: silver.read(spark, n).withColumn(YEAR, F.col("_pyear").cast("smallint")) for n in silver.tables}
+def _keep(spark: SparkSession, folder: str, name: str, df: DataFrame, checks: Mapping[str, str], *unique: Sequence[str]) -> DataFrame:
+    """Write a table of a run and hold it to its constraints."""
+    df.write.parquet(f"{folder}/{name}")
+    written = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    _hold(name, written, checks, unique)
+    return written
 
-    run_dir = P.new_run(gold_root)
+
+def _dimensions(spark: SparkSession, stages: Mapping[str, DataFrame], run: str | None, folder: str) -> dict[str, DataFrame]:
+    """The dimensions of a published ``run`` with what the stages add, written to ``folder``.
+
+    Ids derive from natural keys, so building them on another run's dimensions gives the same ids.
+    """
     dims: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, checks: Mapping[str, str], *unique: Sequence[str]) -> None:
-        df.write.parquet(f"{run_dir}/{name}")
-        dims[name] = spark.read.schema(df.schema).parquet(f"{run_dir}/{name}")
-        _hold(name, dims[name], checks, unique)
+        dims[name] = _keep(spark, folder, name, df, checks, *unique)
+
+    def previous(name: str, schema: str) -> DataFrame:
+        return _previous(spark, run, name, schema)
 
     year_t = f"{YEAR} smallint"
     years = [(t.year, t.kind) for t in ELECTORAL_TREATMENTS.values()]
@@ -442,9 +489,25 @@ def load_gold(spark: SparkSession, silver: SilverRun, gold_root: str, *,
     places = _union([s.select(*LOCATION) for s in stages.values() if "municipio" in s.columns])
     keep("dim_localidade", D.with_surrogate(D.insert_absent(old, places, list(LOCATION)), "localidade_id", list(LOCATION)),
          LOCATION_CHECKS, LOCATION, ["localidade_id"])
+    return dims
+
+
+def load_gold(spark: SparkSession, silver: SilverRun, gold_root: str, *,
+              contracts: Mapping[str, Contract] = ELECTORAL_CONTRACTS) -> GoldRun:
+    """Dimension upserts, fact slices, constraints, reconciliation and audit, published in one step."""
+    version, published = P.head(spark, gold_root)
+    published = published or {"run": None, "facts": {}}
+    for name in silver.tables:
+        header = F.array(*[F.lit(x) for x in S.silver_columns(contracts[name])])
+        other = silver.artifacts.where((F.col("dataset") == name) & (F.col("columns") != header)).first()
+        if other:
+            raise FA.LoadError(f"the manifest's header of {other['member']} isn't the contract's: {other['columns']}")
+    stages = {n: silver.read(spark, n).withColumn(YEAR, F.col("_pyear").cast("smallint")) for n in silver.tables}
+
+    run_dir = P.new_run(gold_root)
+    dims = _dimensions(spark, stages, published["run"], run_dir)
 
     results = []
-    facts: dict[str, dict[str, str]] = {n: dict(published["facts"].get(n, {})) for n in stages}
     for name, st in stages.items():
         c = contracts[name]
         lookups = [FA.Lookup(dims["dim_partido"], (YEAR, "numero_partido"), "partido_id"),
@@ -490,15 +553,25 @@ def load_gold(spark: SparkSession, silver: SilverRun, gold_root: str, *,
         raise FA.LoadError(f"count differs from the manifest: {differs.asDict()}")
     audit_schema = ("yr smallint, dataset string, source_member string, output_key string, source_rows bigint, "
                     "deleted_rows bigint, inserted_rows bigint, loaded_at timestamp")
-    audit = FA.audit_upsert(previous("carga_arquivo", audit_schema),
-                            FA.audit_rows(results_df.withColumn("loaded_at", F.current_timestamp())))
-    keep("carga_arquivo", audit, AUDIT_CHECKS, ["yr", "dataset"])
-    for r in results_df.collect():  # one row per artifact
-        facts[r["dataset"]][f"{r['yr']}/{r['source_member']}"] = f"{run_dir}/facts/{r['dataset']}"
-    for name, slices in published["facts"].items():
-        facts.setdefault(name, slices)
-    P.publish(spark, gold_root, run_dir, {"facts": facts})
-    return GoldRun(results_df, dims["carga_arquivo"])
+    stamped = results_df.withColumn("loaded_at", F.current_timestamp())
+    loaded_now = spark.createDataFrame(stamped.collect(), stamped.schema)
+    mine = {n: {f"{r['yr']}/{r['source_member']}": f"{run_dir}/facts/{n}" for r in results_df.collect() if r["dataset"] == n}
+            for n in stages}
+    audits: list[DataFrame] = []
+
+    def state(current: dict | None) -> dict:
+        current = current or {"run": None, "facts": {}}
+        folder = run_dir
+        if audits or current["run"] != published["run"]:  # someone else was first: on top of theirs
+            folder = f"{run_dir}/on-{uuid.uuid4().hex}"
+            _dimensions(spark, stages, current["run"], folder)
+        audit = FA.audit_upsert(_previous(spark, current["run"], "carga_arquivo", audit_schema), FA.audit_rows(loaded_now))
+        audits.append(_keep(spark, folder, "carga_arquivo", audit, AUDIT_CHECKS, ["yr", "dataset"]))
+        facts = {n: current["facts"].get(n, {}) | mine.get(n, {}) for n in {*current["facts"], *mine}}
+        return {"run": folder, "facts": facts}
+
+    P.commit(spark, gold_root, state, start=version, touched=mine)
+    return GoldRun(results_df, audits[-1])
 
 
 def read_facts(spark: SparkSession, slices: Mapping[str, str], schema=None) -> DataFrame:
@@ -547,7 +620,8 @@ def run(spark: SparkSession, lake_root: str, years: Sequence[int] | None = None,
     quality = run_quality(spark, silver)
     Q.gate(quality.report, ["year"])
     gold = load_gold(spark, silver, gold_root)
-    P.publish(spark, base, run_dir)
+    loaded = {str(r["year"]): f"{run_dir}/quality" for r in quality.report.select("year").collect()}  # one per archive
+    P.commit(spark, base, lambda now: {"run": run_dir, "partials": {**((now or {}).get("partials", {})), **loaded}})
     return {"silver_run": run_dir, "report": quality.report, "load": gold.results, "audit": gold.audit}
 
 

@@ -15,6 +15,8 @@ chunk, and what costs time, parsing, is split.
 from __future__ import annotations
 
 import json
+import shutil
+import zipfile
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +51,27 @@ def scan_archives(spark: SparkSession, root: str, year_key: str = "ano_eleicao",
     return catalogue if provenance is None else catalogue.join(provenance, "year", "left")
 
 
+def pack_members(spark: SparkSession, folder: str, target: str) -> list[str]:
+    """Pack every file of ``folder`` into an archive of its own, ``target/{name}.zip``; a task streams each.  Returns the archives."""
+    listed = spark.read.format("binaryFile").load(folder).select("path")
+    files = [r["path"] for r in listed.collect()]  # a row a file, as a directory listing has
+
+    def pack(batches):
+        for batch in batches:
+            for path in batch["path"]:
+                name = path.rsplit("/", 1)[1]
+                filesystem, inner = zip_source.filesystem_of(f"{target}/{name}.zip")
+                filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                with zip_source.open_file(path) as source, filesystem.open_output_stream(inner) as sink, \
+                        zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+                    with archive.open(name, "w", force_zip64=True) as member:
+                        shutil.copyfileobj(source, member, 4 << 20)
+            yield batch
+
+    work = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, len(files)), "path")
+    return [f"{target}/{r['path'].rsplit('/', 1)[1]}.zip" for r in work.mapInPandas(pack, "path string").collect()]
+
+
 def _members(spark: SparkSession, archives: Sequence[str], schema: str, **options) -> DataFrame:
     zip_source.register(spark)
     return spark.read.format("zip_members").schema(schema).options(

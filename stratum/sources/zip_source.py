@@ -30,16 +30,17 @@ SPLIT_BYTES, CHUNK_BYTES = 64 << 20, 8 << 20
 _ROWS = 4096
 
 
-def plain_path(path: str) -> str:
-    """A local path without its scheme; others stay."""
-    return path[len("file:"):] if path.startswith("file:") and not path.startswith("file://") else path
+def filesystem_of(path: str):
+    """The file system of a path and the path in it; local paths come with or without a scheme and aren't URI-encoded."""
+    from pyarrow import fs as pafs
 
+    if path.startswith("file:") or "://" not in path:
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(path)
 
-def open_file(path: str):
-    from pyarrow import fs as pafs
 
-    path = plain_path(path)
-    filesystem, inner = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+def open_file(path: str):
+    filesystem, inner = filesystem_of(path)
     return filesystem.open_input_file(inner)
 
 
@@ -47,12 +48,11 @@ def archives_below(path: str) -> list[tuple[str, int]]:
     """Path and size of every ``*.zip`` below a folder, or of the file itself."""
     from pyarrow import fs as pafs
 
-    plain = plain_path(path)
-    filesystem, inner = pafs.FileSystem.from_uri(plain if "://" in plain else "file://" + plain)
+    filesystem, inner = filesystem_of(path)
     info = filesystem.get_file_info(inner)
     if info.is_file:
         return [(path, info.size)]
-    root = plain[:len(plain) - len(inner)] if plain.endswith(inner) else ""
+    root = path[:len(path) - len(inner)] if path.endswith(inner) else ""
     found = filesystem.get_file_info(pafs.FileSelector(inner, recursive=True, allow_not_found=True))
     return sorted((root + i.path, i.size) for i in found if i.is_file and i.path.lower().endswith(".zip"))
 

@@ -25,3 +25,35 @@ def test_a_run_and_backfills_of_one_and_of_all_years(spark):
     assert len(counts(PL.backfill(spark, lake).results)) == 8
     with pytest.raises(Q.GateClosed, match="2020"):
         PL.backfill(spark, lake, [2020])
+
+
+def test_two_loads_at_once(spark, monkeypatch):
+    """A load of another year published meanwhile stays beside ours, its parties too; one of the same year refuses ours."""
+    from tests.conftest import line
+
+    lake = lake_of((2022, archive(2022)), (2024, archive(2024, {d: [line(d, 2024, sigla_partido="sol", numero_partido="88")]
+                                                                for d in EXPECTED_DATASETS})))
+    PL.run(spark, lake)
+    commit = PL.P.commit
+
+    def meanwhile(year):
+        def first_another(*args, **kwargs):
+            monkeypatch.setattr(PL.P, "commit", commit)
+            PL.backfill(spark, lake, [year])
+            return commit(*args, **kwargs)
+        monkeypatch.setattr(PL.P, "commit", first_another)
+
+    gold = next(p for p in (f"{lake}/gold/{PL.SOURCE_NAME}",))
+    meanwhile(2024)
+    PL.backfill(spark, lake, [2022])
+    version, state = PL.P.head(spark, gold)
+    assert version == 3
+    for dataset in EXPECTED_DATASETS:
+        folders = {k.split("/")[0]: v for k, v in state["facts"][dataset].items()}
+        assert folders.keys() == {"2022", "2024"} and folders["2022"] != folders["2024"]
+    assert {r["sigla_partido"] for r in PL.gold_view(spark, gold, "fp_genero").collect()} == {"LUA NOVA", "SOL"}
+    assert {(r["yr"], r["deleted_rows"]) for r in spark.read.parquet(f"{state['run']}/carga_arquivo").collect()} == {(2022, 1), (2024, 1)}
+    meanwhile(2022)
+    with pytest.raises(PL.P.Conflict, match="2022"):
+        PL.backfill(spark, lake, [2022])
+    assert PL.P.head(spark, gold)[0] == 4

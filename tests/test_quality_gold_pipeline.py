@@ -146,7 +146,7 @@ def test_loading_again_replaces_the_slices(good, spark):
     assert one["output_key"].endswith("/ano_eleicao=2024/source_member=fp_genero_2024.csv") and one["loaded_at"]
 
 
-@pytest.mark.parametrize("moment", ["P.publish", "FA.audit_upsert", "D.insert_absent"])
+@pytest.mark.parametrize("moment", ["P.commit", "FA.audit_upsert", "D.insert_absent"])
 def test_a_load_that_fails_leaves_the_published_state(spark, monkeypatch, moment):
     lake = lake_with()
     root = f"{lake}/gold"
