@@ -1,24 +1,26 @@
 """Quality rules with adaptive thresholds, in DataFrame functions only.
 
-Every text is measured once, in its own row.  For each language and source,
-mergeable quantile sketches (KLL) of the shares give the quartiles; a share is
-out of line beyond the median by ``SPREAD`` interquartile ranges, but never
-below the rule's floor, so that sources without any spread keep their clean
-texts.  Sketches are built in each map task and merged, so a source with a
-third of all rows costs no more than any other.  Thresholds (a row for each
-language and source) join the measured rows; measures, without their texts, are
+Every text is measured once, in its own row.  For each language and source, sketches of its texts' shares
+give the quartiles: a sketch counts texts by share in whole steps of a fixed size, so sketches
+of tasks, of sources and of languages merge by adding counts, in any order with the same result, and a quantile
+is right to one step.  A share's threshold is ``SPREAD`` interquartile ranges beyond the median.  A source
+with fewer than ``GROUP_TEXTS`` texts takes its language's sketch, a language with fewer that of all texts.  What a
+text has beyond its threshold must exceed what chance gives: ``SPREAD`` deviations of a count as large as the threshold allows the text
+(one at least).  No cutoff is fixed; all of them come from the texts.
+
+Tasks add their counts up before they are shuffled, so a source with a third of all rows costs no more than
+any other.  Thresholds (a row for each language and source) join the measured rows; measures, without their texts, are
 written once in between.
 
 Null counts as a text without words, which fails the base rules, as an empty
 text does.  A null language or source is a group of its own.  Repeated rows are
-each judged.  Empty tables give empty results.  KLL sketches are approximate
-and pick at random beyond ``SKETCH_K`` values of a group, so a text whose share
-lies within the sketch's rank error of a threshold may be judged either way.
+each judged.  Empty tables give empty results.  A very long text is one row's value.  Other columns may have any name;
+verdicts don't depend on how rows are dealt.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import written
@@ -30,12 +32,13 @@ SPACE = r"[ \t-\r]"
 WINDOW = 5
 #: Base limits: fewest words, and the largest percentage of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: Accuracy of the sketches; ranks are right to about 2 / SKETCH_K.
-SKETCH_K = 4096
-#: Interquartile ranges beyond the median that are still in line.
-SPREAD = 4.0
-#: Shares that are judged and the floors of their thresholds.
-FLOORS = {"symbol_share": 0.05, "upper_share": 0.5, "line_share": 0.5, "word_length": 20.0}
+#: Interquartile ranges beyond the median, and deviations of a count, that are still in line.
+SPREAD = 4
+#: Texts from which on a group has thresholds of its own.
+GROUP_TEXTS = 30
+#: What is judged: a count, what it is a share of, and the sketch's steps for a share of one.
+SHARES = {"symbols": ("n_symbols", "word_chars", 10_000), "capitals": ("n_upper", "word_chars", 10_000),
+          "repeated_lines": ("n_dup_lines", "n_lines", 10_000), "word_length": ("word_chars", "n_words", 100)}
 
 
 def _let(value: Column, body) -> Column:
@@ -100,24 +103,63 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
 
 
-def _shares(m: Column) -> dict[str, Column]:
-    return {"symbol_share": m["n_symbols"] / m["word_chars"], "upper_share": m["n_upper"] / m["word_chars"],
-            "line_share": m["n_dup_lines"] / m["n_lines"], "word_length": m["word_chars"] / m["n_words"]}
-
-
-def thresholds(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Of each group the largest share in line, for each share, from the measures ``m``; texts that
+def sketches(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """``groups``, ``share``, ``step`` and ``n``: texts of each group by the share's step, from the measures ``m``; texts that
     fail the base rules don't count."""
     m = F.col("m")
-    ranks = F.array(*map(F.lit, (0.25, 0.5, 0.75)))
-    sketched = rows.where(~base_failed(m)).groupBy(*groups).agg(
-        *(F.kll_sketch_agg_double(share, F.lit(SKETCH_K)).alias(name) for name, share in _shares(m).items()))
+    steps = [F.struct(F.lit(name).alias("share"), F.floor(m[count] * resolution / m[of]).cast("long").alias("step"))
+             for name, (count, of, resolution) in SHARES.items()]
+    cells = rows.where(~base_failed(m)).select(*groups, F.explode(F.array(*steps)).alias("c"))
+    return cells.groupBy(*groups, "c.share", "c.step").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """Of each group and share ``texts``, ``middle`` (the median) and ``spread`` (between the quartiles), in steps.
+
+    A quantile is the first step at or below which that part of the texts lies.  Windows are over the steps of a sketch.
+    """
+    merged = sketch.groupBy(*groups, "share", "step").agg(F.sum("n").alias("n"))
+    below = F.sum("n").over(Window.partitionBy(*groups, "share").orderBy("step"))
+    texts = F.sum("n").over(Window.partitionBy(*groups, "share"))
+    placed = merged.withColumns({"below": below, "texts": texts})
+    first, middle, third = (F.min(F.when(4 * F.col("below") >= k * F.col("texts"), F.col("step"))) for k in (1, 2, 3))
+    return placed.groupBy(*groups, "share").agg(
+        F.first("texts").alias("texts"), middle.alias("middle"), (third - first).alias("spread"))
 
-    def limit(name):
-        return _let(F.kll_sketch_get_quantile_double(name, ranks), lambda q: F.greatest(
-            F.lit(FLOORS[name]), q[1] + SPREAD * (q[2] - q[0]))).alias(f"most_{name}")
 
-    return sketched.select(*(F.col(g).alias(f"of_{g}") for g in groups), *map(limit, FLOORS))
+def thresholds(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Of each group (``of_`` columns) the largest share in line, in steps, for each share.
+
+    ``groups`` go from the widest to the narrowest; each narrower sketch is merged into the wider ones.
+    """
+    sketch = written(sketches(rows, groups), "quality-sketches")
+    levels = [quartiles(sketch, groups[:i]) for i in range(len(groups), -1, -1)]
+    found = levels[0].withColumnsRenamed({c: f"{c}_0" for c in ("texts", "middle", "spread")})
+    for k, level in enumerate(levels[1:], 1):
+        wider = level.select(*(F.col(g).alias(f"w_{g}") for g in groups[:len(groups) - k]), F.col("share").alias("w_share"),
+                             *(F.col(c).alias(f"{c}_{k}") for c in ("texts", "middle", "spread")))
+        same = F.col("share") == F.col("w_share")
+        for g in groups[:len(groups) - k]:
+            same = same & F.col(g).eqNullSafe(F.col(f"w_{g}"))
+        found = found.join(wider, same).drop("w_share", *(f"w_{g}" for g in groups[:len(groups) - k]))
+    last = len(levels) - 1
+    # the narrowest level with texts enough
+    most = F.col(f"middle_{last}") + SPREAD * F.col(f"spread_{last}")
+    for k in range(last - 1, -1, -1):
+        most = F.when(F.col(f"texts_{k}") >= GROUP_TEXTS, F.col(f"middle_{k}") + SPREAD * F.col(f"spread_{k}")).otherwise(most)
+    limits = found.withColumn("most", most)
+    return limits.groupBy(*(F.col(g).alias(f"of_{g}") for g in groups)).pivot("share", list(SHARES)).agg(F.max("most")) \
+        .withColumnsRenamed({name: f"most_{name}" for name in SHARES})
+
+
+def in_line(m: Column) -> Column:
+    """Whether no count lies further beyond its group's threshold than chance takes it."""
+    verdict = F.lit(True)
+    for name, (count, of, resolution) in SHARES.items():
+        # the step's upper end, as the sketch doesn't tell shares within a step apart
+        allowed = (F.col(f"most_{name}") + 1) * m[of] / F.lit(resolution)
+        verdict = verdict & (m[count] <= allowed + SPREAD * F.sqrt(F.greatest(allowed, F.lit(1.0))))
+    return F.coalesce(verdict, F.lit(False))
 
 
 def _limits(docs: DataFrame, text_col: str, group_cols: tuple[str, ...], keep: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -134,11 +176,8 @@ def _verdicts(rows: DataFrame, limits: DataFrame, n_groups: int) -> DataFrame:
     for g in (f"group_{i}" for i in range(n_groups)):
         same = same & F.col(g).eqNullSafe(F.col(f"of_{g}"))
     m = F.col("m")
-    in_line = F.lit(True)
-    for name, share in _shares(m).items():
-        in_line = in_line & F.coalesce(share <= F.col(f"most_{name}"), F.lit(False))
     return rows.join(limits, same, "left").select(
-        "row", "m", base_failed(m).alias("base_failed"), (~base_failed(m) & in_line).alias("kept"))
+        "row", "m", base_failed(m).alias("base_failed"), (~base_failed(m) & in_line(m)).alias("kept"))
 
 
 def judged(docs: DataFrame, text_col: str = "text", group_cols: tuple[str, ...] = ("lang", "source"),

@@ -2,7 +2,9 @@
 
 import hashlib
 import html
+import math
 import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -267,6 +269,50 @@ def test_thresholds_keep_good_texts_and_refuse_junk(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def plain_kept(found):
+    """Verdicts from thresholds by language and source, worked out text by text in whole numbers."""
+    measured = {}
+    for i, text, lang, source in found:
+        n_words, chars, symbols, dup_lines, _, failed = plain_measures(text)
+        lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        upper = sum(unicodedata.category(c) == "Lu" for c in text or "")
+        measured[i] = (lang, source, failed, {"symbols": (symbols, chars, 10_000), "capitals": (upper, chars, 10_000),
+                                              "repeated_lines": (dup_lines, len(lines), 10_000), "word_length": (chars, n_words, 100)})
+
+    def quartiles(name, match):
+        steps = sorted(c * r // o for lang, source, failed, of in measured.values() if not failed and match(lang, source)
+                       for c, o, r in [of[name]])
+        at = [steps[-(-k * len(steps) // 4) - 1] for k in (1, 2, 3)]
+        return len(steps), at[1], at[2] - at[0]
+
+    def limit(name, lang, source):
+        levels = [quartiles(name, lambda a, b: (a, b) == (lang, source)), quartiles(name, lambda a, b: a == lang),
+                  quartiles(name, lambda a, b: True)]
+        use = next(x for k, x in enumerate(levels) if k == 2 or x[0] >= 30)
+        return use[1] + 4 * use[2]
+
+    limits, kept = {}, {}
+    for i, (lang, source, failed, of) in measured.items():
+        kept[i] = not failed
+        for name, (count, size, resolution) in of.items() if not failed else ():
+            key = name, lang, source
+            limits[key] = limits[key] if key in limits else limit(*key)
+            allowed = (limits[key] + 1) * size / resolution
+            kept[i] &= count <= allowed + 4 * math.sqrt(max(1, allowed))
+    return kept
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_verdicts_against_a_plain_version(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").when(F.col("doc_id") % 7 > 0, F.col("source")))
+    expected = plain_kept([(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()])
+    for n in (1, 7):
+        got = {r["row"]["doc_id"]: r["kept"] for r in rows(quality.judged(docs.repartition(n)))}
+        assert got == expected
+    assert {r["doc_id"] for r in rows(quality.keep(docs))} == {i for i, k in expected.items() if k}
+
+
 def test_thresholds_adapt_to_their_group(spark):
     plain = "word number one and then some more words of a text that is long enough to judge"
     rich = plain.replace(" ", " # ", 9)
