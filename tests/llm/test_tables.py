@@ -3,6 +3,7 @@
 import hashlib
 import html
 import math
+import random
 import re
 import unicodedata
 from collections import Counter
@@ -165,6 +166,26 @@ def test_many_rules_and_a_cascade_of_several_levels(spark):
     assert urls.judge(pages_of(spark, [])).count() == 0
 
 
+def test_very_many_rules_of_many_shapes(spark):
+    """100,000 rules of over sixteen shapes, far more than there are URLs: judged by the same expressions."""
+    rules = [(("allow", "block")[i % 2], ("a.b." * (i % 4)) + f"h{i}.net", "/" + "p" * (i % 9)) for i in range(100_000)]
+    assert len(urls._shapes(rules)) > urls.UNROLLED
+    rng = random.Random(4)
+    found = []
+    for _ in range(1500):
+        _, host, path = rng.choice(rules)
+        found.append((f"http://{rng.choice(['', 'w.', 'x.y.'])}{host}{rng.choice([path, path + 'q', path[:-1], ''])}", ""))
+    by_host = {}
+    for rule in rules:
+        by_host.setdefault(rule[1].rsplit(".", 2)[-2], []).append(rule)
+    got = rows(urls.judge(pages_of(spark, [*found, found[0], (None, "")]), rules=rules))
+    assert len(got) == 1502
+    for r in got:
+        url = [*found, found[0], (None, "")][r["page_id"]][0]
+        near = by_host.get(re.search(r"(h[0-9]+)\.net", url)[1], []) if url else []
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == plain_verdict(url, near)
+
+
 def test_a_cascade_is_exact_for_its_universe(spark):
     universe = spark.range(5000).select(F.col("id").cast("string").alias("key"))
     listed = universe.where("key % 7 = 0")
