@@ -4,9 +4,11 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -267,3 +269,22 @@ def test_a_notice_with_edits_beside_a_better_one_is_found():
     text = " ".join(notice.replace("under", u) for u in ("undr", "under", "undxx", "unde", "under"))
     assert [(s["first_word"], s["edits"]) for s in licenses.Scanner().spans(text) if s["label"] == "mit"] == [
         (0, 1), (5, 0), (10, 2), (15, 1), (20, 0)]
+
+
+@pytest.mark.parametrize("text,starts", [
+    ("eyJ" * 200_000, []), ("eyJabcdefgh." * 60_000, [0]), ("xeyJabcdefgh.abcdefgh.abcdefgh", [1]), ("eyJa.eyJabcdefgh.abcdefgh.abcdefgh-", [5]),
+    ("eyJeyJabcdefg.abcdefgh.abcdefgh eyJabcdefgh.abcdefg.abcdefgh", [0]), ("..eyJabcdefgh.eyJabcdefgh.eyJabcdefgh.x", [2])])
+def test_tokens_in_runs_are_found_in_linear_time(text, starts):
+    before = time.perf_counter()
+    found = [s["start"] for s in secrets.spans_of(text) if s["kind"] == "jwt"]
+    assert found[:1] == starts and time.perf_counter() - before < 5
+
+
+def test_a_blob_appended_twice_counts_once(spark, tmp_path):
+    docs = docs_of(spark, ["password=abcdefgh", "clean"])
+    ledger = secrets.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.scan(docs)
+    table = spark.read.parquet(ledger.path)
+    table.write.mode("append").partitionBy("rule_version").parquet(ledger.path)  # another scan at the same time
+    assert spark.read.parquet(ledger.path).count() == 4
+    assert sorted(len(r["spans"]) for r in rows(ledger.findings(docs, ["doc_id"]))) == [0, 1]
