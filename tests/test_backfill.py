@@ -57,3 +57,36 @@ def test_two_loads_at_once(spark, monkeypatch):
     with pytest.raises(PL.P.Conflict, match="2022"):
         PL.backfill(spark, lake, [2022])
     assert PL.P.head(spark, gold)[0] == 4
+
+
+def test_reports_merge_from_the_years_that_were_loaded(spark):
+    """A year loaded again replaces its own partials; the report over all years reads no record and no other year's silver."""
+    lake = lake_of((2022, archive(2022)), (2024, archive(2024)))
+    first = PL.run(spark, lake)
+    base = f"{lake}/silver/{PL.SOURCE_NAME}"
+    before = PL.P.pointer(spark, base)["partials"]
+    assert before.keys() == {"2022", "2024"} and len(set(before.values())) == 1
+    second = PL.run(spark, lake, years=[2024])
+    after = PL.P.pointer(spark, base)["partials"]
+    assert after["2022"] == before["2022"] and after["2024"] == f"{second['silver_run']}/quality"
+    report = PL.published_report(spark, lake)
+    assert [r.asDict() for r in report.collect()] == [
+        {"valid": True, "artifacts": 8, "rows": 8, "errors": 0, "warnings": 0}]
+    assert {r["year"]: r["rows"] for r in PL.published_report(spark, lake, ["year"]).collect()} == {2022: 4, 2024: 4}
+    read = "".join(f for d in PL.published_quality(spark, lake) for f in d.inputFiles())
+    assert f"{first['silver_run']}/quality" in read and "/silver/fefc" not in read and "year=2024" in read
+
+
+def test_silver_is_exported_a_file_a_member(spark):
+    import csv
+
+    lake = lake_of((2024, archive(2024)))
+    silver = PL.build_silver(spark, f"{lake}/bronze/{PL.SOURCE_NAME}", f"{lake}/run")
+    done = PL.export_silver(spark, silver, lake).collect()
+    assert {r["member"] for r in done} == {f"{d}_2024.csv" for d in EXPECTED_DATASETS}
+    for r in done:
+        assert r["path"].endswith(f"/ano_eleicao=2024/tratado/{r['member'].removesuffix('.csv')}_tratado.csv")
+        with open(r["path"], encoding="utf-8", newline="") as handle:
+            header, *records = csv.reader(handle, delimiter=";")
+        assert len(records) == r["records"] == 1 and len(header) == len(records[0])
+        assert dict(zip(header, records[0]))["sigla_partido"] == "LUA NOVA"
