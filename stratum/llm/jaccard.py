@@ -382,7 +382,8 @@ def linked_classes(texts: DataFrame, classes: DataFrame, words: int, rule: Rule)
             signed_rows, "cls long, n long, few array<long>, frequent array<long>, sketch array<long>, band int"),
         "signatures", work).dropDuplicates(["cls", "band"])
     frequent = written(signed.where(F.size("frequent") > 0).select("cls", "n", "band", F.explode("frequent").alias("key")), "frequent", work)
-    hubs = frequent.groupBy("key").agg(F.min_by(F.struct("cls", "n"), "cls").alias("hub"))
+    # a table of its own, so that adaptive execution can split a key of very many sets
+    hubs = written(frequent.groupBy("key").agg(F.min_by(F.struct("cls", "n"), "cls").alias("hub")), "hubs", work)
     to_hub = frequent.join(hubs, "key").where("cls <> hub.cls").select(
         "band", F.struct("cls", "n").alias("one"), F.col("hub").alias("other")).distinct()
     pairs = written(_near(_few(signed).unionByName(to_hub), signed, rule), "pairs", work)
@@ -440,6 +441,7 @@ def _open(frequent: DataFrame, found: DataFrame, work: str) -> DataFrame:
     members = written(members, "labelled", work)
     open_ = members.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("cls").alias("hub")) \
         .where("least < most").select("key", "hub")
+    open_ = written(open_, "open-keys", work)
     return members.join(open_, "key").select("cls", "label", "hub").distinct()
 
 
