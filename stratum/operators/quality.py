@@ -240,6 +240,16 @@ def missing_columns(df: DataFrame, contract: Contract, artifacts: DataFrame, art
     )
 
 
+def schema_issues(artifacts: DataFrame, header: Sequence[str], stored: Sequence[str]) -> DataFrame:
+    """``schema_integrity`` per artifact: the declared ``columns`` aren't the contract's ``header`` in its order, or
+    aren't those that are ``stored``.  ``artifacts``: (artifact, columns)."""
+    due = F.array(*[F.lit(c) for c in header])
+    there = F.array(*[F.lit(c) for c in sorted(stored)])
+    bad = artifacts.where(~F.col("columns").eqNullSafe(due) | ~F.sort_array("columns").eqNullSafe(there))
+    return bad.select(*table_issue(
+        F.col("artifact"), "schema_integrity", "stored schema differs from the silver manifest", F.lit(1)))
+
+
 def row_count_issues(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """``row_count_integrity`` per artifact: observed rows != declared rows.
 

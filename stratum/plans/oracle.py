@@ -387,6 +387,9 @@ ORACLE["missing_columns"] = W(
         'source_member' AS "column" FROM v_child""",
     "v_child",
 )
+ORACLE["schema_integrity"] = """SELECT DISTINCT 'orders_' || CAST(year(o_orderdate) AS VARCHAR) || '.csv' AS artifact,
+      'schema_integrity' AS rule, 'error' AS severity, 'stored schema differs from the silver manifest' AS message, CAST(1 AS BIGINT) AS n
+    FROM orders WHERE year(o_orderdate) % 4 <> 2"""
 ORACLE["scope_check"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, count(*) AS rows FROM orders
     GROUP BY year(o_orderdate) HAVING year(o_orderdate) NOT IN (1996, 1998, 2000)"""
 ORACLE["duplicate_keys"] = """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem

@@ -294,10 +294,7 @@ def run_quality(
         ]
         # table rules: the manifest's header in its order, columns that are stored, columns that are required
         mine = arts.where(F.col("dataset") == name)
-        header = F.array(*[F.lit(x) for x in S.silver_columns(c)])
-        stored = F.array(*[F.lit(x) for x in sorted(x for x in df.columns if not x.startswith("_"))])
-        of_member.append(mine.where((F.col("columns") != header) | (F.sort_array("columns") != stored)).select(
-            *Q.table_issue(F.col("artifact"), "schema_integrity", "stored schema differs from the silver manifest", F.lit(1))))
+        of_member.append(Q.schema_issues(mine, S.silver_columns(c), [x for x in df.columns if not x.startswith("_")]))
         of_member.append(Q.missing_columns(df, c, mine.select("artifact")))
         by_year = mine.select("artifact", "year").distinct()
         found.append(_union(of_member).join(maybe_broadcast(by_year), "artifact"))
