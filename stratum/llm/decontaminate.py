@@ -24,7 +24,7 @@ words as hit but names no item.  Empty tables give empty or clean results.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,9 @@ from stratum.llm.common import kind, slices, utf8
 
 #: Bytes of benchmark text in a block, which is broadcast.
 BLOCK_BYTES = 8 << 20
-#: Bytes of training text in a shard, unless one document has more.
-SHARD_BYTES = 4 << 20
+#: Bytes of training text in a shard, unless one document has more.  A shard's keys and their order take some 20 times as much,
+#: and a worker keeps the memory it had once.
+SHARD_BYTES = 1 << 20
 
 #: A-Z become a-z; ASCII characters that are neither letters nor digits become spaces.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -76,14 +77,18 @@ class TestSuffixes:
                           for n, found in lengths.items()}
         self.shortest = min(lengths, default=0)
 
-    def keys(self, words: np.ndarray, fill: int = 0) -> list[np.ndarray]:
-        """Key columns of rows of words, as many words in a key as fit; rows that end early are filled."""
+    def keys(self, word: Callable[[int], np.ndarray], rows: int, words: int, fill: int = 0) -> list[np.ndarray]:
+        """Key columns of rows of words, as many words in a key as fit; rows that end early are filled.
+
+        ``word`` gives the rows' k-th words, of ``words``, so no table of all words of all rows is made.
+        """
         per, bits, columns = 64 // self.bits, np.uint64(self.bits), []
         filler = np.uint64(((1 << self.bits) - 1) * fill)
         for start in range(0, self.window, per):
-            key = np.zeros(len(words), dtype=np.uint64)
+            key = np.zeros(rows, dtype=np.uint64)
             for k in range(start, min(start + per, self.window)):
-                key = key << bits | (words[:, k] if k < words.shape[1] else filler)
+                key <<= bits
+                key |= word(k) if k < words else filler
             columns.append(key)
         return columns
 
@@ -98,12 +103,12 @@ class TestSuffixes:
             return none, none
         places = np.flatnonzero(known[self.shortest:][:last] - known[:last] == self.shortest)
         padded = np.concatenate([ids, np.zeros(self.window, dtype=ids.dtype)])
-        columns = self.keys(np.stack([padded[places + k] for k in range(self.window)], axis=1))
+        columns = self.keys(lambda k: padded[places + k], len(places), self.window)
         order = sorted_suffixes(columns)
         places, columns = places[order], [c[order] for c in columns]
         at, which = [], []
         for n, (suffixes, numbers) in self.by_length.items():
-            low, high = self.keys(suffixes), self.keys(suffixes, fill=1)
+            low, high = (self.keys(lambda k: suffixes[:, k], len(suffixes), n, fill) for fill in (0, 1))
             begin = np.searchsorted(columns[0], low[0], "left")
             end = np.searchsorted(columns[0], high[0], "right")
             for i in np.flatnonzero(begin < end).tolist():
