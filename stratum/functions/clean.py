@@ -21,6 +21,9 @@ WHITESPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 
+# Visible ASCII is none of these; a text of it alone has nothing to collapse, which this pattern tells at a fraction of the cost.
+NOT_VISIBLE_ASCII = "[^!-~]"
+
 INTEGER_PATTERN = r"^-?[0-9]+$"
 DATE_PATTERN = r"^(0?[1-9]|[12][0-9]|3[01])/(0?[1-9]|1[0-2])/[0-9]{4}$"
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):([0-5]?[0-9])(:([0-5]?[0-9]))?$"
@@ -33,13 +36,19 @@ def _col(c: Column | str) -> Column:
 
 def collapse_whitespace(c: Column | str) -> Column:
     """Whitespace runs to one space, then strip."""
-    return F.trim(F.regexp_replace(_col(c).cast("string"), WHITESPACE, " "))
+    text = _col(c).cast("string")
+    return F.when(text.rlike(NOT_VISIBLE_ASCII), F.trim(F.regexp_replace(text, WHITESPACE, " "))).otherwise(text)
+
+
+def without_empty(c: Column | str) -> Column:
+    """Null out empty tokens (``-``, ``n/a``, ...) of collapsed text."""
+    c = _col(c)
+    return F.when(~F.lower(c).isin(*EMPTY_TOKENS), c)
 
 
 def clean_text(c: Column | str) -> Column:
-    """Collapse whitespace and null out empty tokens (``-``, ``n/a``, ...)."""
-    collapsed = collapse_whitespace(c)
-    return F.when(~F.lower(collapsed).isin(*EMPTY_TOKENS), collapsed)
+    """Collapse whitespace and null out empty tokens."""
+    return without_empty(collapse_whitespace(c))
 
 
 BLANK_PATTERN = "^" + WHITESPACE[:-1] + "*$"

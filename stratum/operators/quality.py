@@ -203,11 +203,16 @@ def duplicate_issues(
     df: DataFrame, key: Sequence[str], order: Sequence[str], artifact: Column, record_no: Column,
     rule: str, column: str | None, message: str,
 ) -> DataFrame:
-    dups = duplicates_after_first(df, key, order)
+    """One issue for each row of a key after its first in ``order``.
+
+    Only what is compared or told of a row goes through the shuffles, not its other columns.
+    """
+    told = df.select(*dict.fromkeys([*key, *order]), artifact.alias("_artifact"), record_no.cast("bigint").alias("_record_no"))
+    dups = duplicates_after_first(told, key, order)
     return dups.select(
-        artifact.alias("artifact"), F.lit(rule).alias("rule"), F.lit(ERROR).alias("severity"),
+        F.col("_artifact").alias("artifact"), F.lit(rule).alias("rule"), F.lit(ERROR).alias("severity"),
         F.lit(column).cast("string").alias("column"), F.lit(message).alias("message"),
-        record_no.cast("bigint").alias("record_no"), F.lit(1).cast("bigint").alias("n"),
+        F.col("_record_no").alias("record_no"), F.lit(1).cast("bigint").alias("n"),
     )
 
 

@@ -108,9 +108,10 @@ def to_silver(raw: DataFrame, contract: Contract, source_name: str, keep_invalid
               passthrough: Sequence[str] = ()) -> DataFrame:
     """Clean, drop blank records, type, stamp lineage and order columns.
 
-    Three narrow projections: (1) clean every cell once, (2) drop records
-    whose cells are all null, type the cells and flag invalid ones, (3) add
-    the derived date-time and fix the column order.  Catalyst keeps them
+    Narrow projections: (1) collapse every cell's white space once and null
+    out empty tokens, (2) drop records whose cells are all null, type the
+    cells and flag invalid ones, (3) add the derived date-time and fix the
+    column order.  Catalyst keeps them
     apart where collapsing would re-evaluate an expensive expression, and
     whole-stage codegen fuses them into one pass.
 
@@ -118,11 +119,13 @@ def to_silver(raw: DataFrame, contract: Contract, source_name: str, keep_invalid
     year), the combined date-time, ``_partition_year`` and the
     ``_invalid_<column>`` flags (when ``keep_invalid``).
     """
-    cleaned = raw.select(
+    collapsed = raw.select(
         *RAW_LINEAGE,
-        *[C.clean_text(c).alias(_clean_name(c)) for c in contract.source_columns],
+        *[C.collapse_whitespace(c).alias(_clean_name(c)) for c in contract.source_columns],
         *passthrough,
     )
+    cleaned = collapsed.withColumns({
+        _clean_name(c): C.without_empty(_clean_name(c)) for c in contract.source_columns})
     present = F.coalesce(*[F.col(_clean_name(c)) for c in contract.source_columns]).isNotNull()
     typed, flags = typed_columns(contract)
     flag_names = [invalid_flag(contract.canonical(s)) for s in contract.source_columns

@@ -72,11 +72,24 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="stratum-shared-")
 
 
+#: Generated methods longer than this are not compiled by the JVM.
+METHOD_LIMIT, COMPILED_METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
+
+
 def written_once(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back: computed once, columns pruned on read."""
+    """``df`` as a Parquet table in the shared folder, read back: computed once, columns pruned on read.
+
+    The JVM interprets generated methods of more than 8000 bytes for good, which wide projections exceed; while
+    the table is written, such stages run as separate operators instead, whose methods Spark splits.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, str(min(int(before), COMPILED_METHOD_BYTES)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

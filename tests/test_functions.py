@@ -94,3 +94,39 @@ def test_natural_key_trims_and_empties_nulls(spark):
 def test_rate(spark):
     df = spark.createDataFrame([(1, 3), (2, 0)], "n long, rows long")
     assert [r[0] for r in df.select(C.rate("n", "rows")).collect()] == [0.333333, 1.0]
+
+
+def test_cells_are_collapsed_by_one_expensive_replacement_at_most(spark):
+    """Texts of visible ASCII skip the replacement; all others are collapsed as before, white space of any kind included."""
+    texts = ["ab", " a  b ", "a  b", "　", "", "\x1c", "é", "é\tü", "a~!", None, "n/a", " N/A "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.c for r in df.select("i", C.collapse_whitespace("t").alias("c")).orderBy("i").collect()]
+    assert got == [t if t is None else " ".join(t.split()) for t in texts]
+
+
+def test_duplicate_issues_shuffle_only_what_they_tell(spark):
+    from stratum.operators import quality as Q
+
+    rows = spark.createDataFrame([("m", 1, "x" * 9), ("m", 1, "y"), ("n", 1, "z")], "member string, no long, wide string")
+    issues = Q.duplicate_issues(rows, ["member", "no"], ["no"], F.col("member"), F.col("no"), "duplicate", None, "twice")
+    assert [(r.artifact, r.record_no) for r in issues.collect()] == [("m", 1)]
+    assert "wide" not in issues._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0].split("LogicalRDD")[0]
+
+
+def test_tables_are_written_with_methods_that_the_jvm_compiles(spark):
+    from stratum.session import METHOD_LIMIT, written_once
+
+    before = spark.conf.get(METHOD_LIMIT)
+    seen = []
+
+    class Frame:
+        sparkSession, schema = spark, spark.range(1).schema
+
+        class write:
+            @staticmethod
+            def parquet(path):
+                seen.append(int(spark.conf.get(METHOD_LIMIT)))
+                spark.range(1).write.parquet(path)
+
+    assert written_once(Frame, "limit").count() == 1
+    assert seen == [8000] and spark.conf.get(METHOD_LIMIT) == before
