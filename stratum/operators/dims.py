@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.keys import null_safe_condition, surrogate_key
-from stratum.session import maybe_broadcast, written_once
+from stratum.session import dealt, maybe_broadcast, written_once
 
 
 class DimensionConflict(ValueError):
@@ -127,9 +127,14 @@ def insert_absent(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys appearing more than once, with their count (nulls equal)."""
+    """Keys appearing more than once, with their count (nulls equal).
+
+    Keys are nearly as many as rows, so they are dealt over as many tasks as the input needs: a task's table of
+    keys stays the same size, and isn't held beside the sorts of a join that ``df`` ends with.
+    """
     return (
-        df.groupBy(*key)
+        dealt(df.select(*key), key)
+        .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
     )

@@ -103,3 +103,21 @@ def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
     beyond it the join shuffles, and adaptive execution decides by the size it measures."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return F.broadcast(df) if int(str(size)) <= max_bytes else df
+
+
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, by Catalyst's statistics (no job); a file read twice counts twice."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(int(str(x.stats().sizeInBytes())) for x in read if x.getClass().getSimpleName() == "LogicalRelation")
+
+
+#: File bytes for each task of an aggregation that holds about as many keys as there are rows.
+DEALT_BYTES = 8 * 1024 * 1024
+
+
+def dealt(df: DataFrame, columns, bytes_each: int = DEALT_BYTES) -> DataFrame:
+    """``df`` dealt by ``columns`` over a task for each ``bytes_each`` of its files, so what a task holds doesn't grow with
+    them; a table of few files' bytes stays as it is."""
+    n = -(-file_bytes(df) // bytes_each)
+    return df.repartition(n, *columns) if n > 1 else df
